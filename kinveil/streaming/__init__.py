@@ -1,0 +1 @@
+"""Nothing here on purpose: no query of this engine consumes a stream."""
