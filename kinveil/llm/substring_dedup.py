@@ -5,8 +5,9 @@ pairs (a symbol of the left class followed by one of the right class; a hash bit
 decides the class). A name is a fingerprint of what it stands for, so one name means one content in
 the whole corpus, without a dictionary to exchange. Each symbol carries the span of words that its
 existence depends on; a window that covers that span must contain the symbol wherever the window
-occurs. So every window picks an anchor from its own content alone: the least name among the
-symbols of the highest level that it determines (single words at worst, so none goes without).
+occurs. So every window picks an anchor from its own content alone: the longest of the
+symbols of the highest level that it determines, by least name among equals (single words at worst,
+so no window goes without).
 
 Equal windows have equal anchors. Runs of consecutive windows under one anchor make one row: the
 anchor's name, the fingerprint of the whole stretch, where it stands. Grouping by both settles
@@ -40,10 +41,11 @@ LEVELS = (0, 4, 9)
 
 
 class Symbols:
-    """A level of the parse: names; [cs, ce) of words that decide each; [lo, hi) of its document."""
+    """A level of the parse: names; how many words each stands for; [cs, ce) of words that decide it;
+    [lo, hi) of its document."""
 
-    def __init__(self, name, cs, ce, lo, hi):
-        self.name, self.cs, self.ce, self.lo, self.hi = name, cs, ce, lo, hi
+    def __init__(self, name, size, cs, ce, lo, hi):
+        self.name, self.size, self.cs, self.ce, self.lo, self.hi = name, size, cs, ce, lo, hi
 
     def around(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether the next symbol is of the same document; from where the previous, to where the next
@@ -59,7 +61,7 @@ class Symbols:
         first = np.flatnonzero(np.concatenate([[True], (self.name[1:] != self.name[:-1]) | ~joined]))
         size = np.diff(np.append(first, len(self.name)))
         named = np.where(size == 1, self.name[first], mix(self.name[first] * U(0xA24BAED4963EE407) + size.astype(U) * U(0x9FB21C651E98DF25) + salt))
-        return Symbols(named, before[first], after[first + size - 1], self.lo[first], self.hi[first])
+        return Symbols(named, np.add.reduceat(self.size, first), before[first], after[first + size - 1], self.lo[first], self.hi[first])
 
     def pairs(self, salt: U) -> Symbols:
         joined, before, after = self.around()
@@ -71,14 +73,16 @@ class Symbols:
         named[at] = mix(self.name[at] * U(0xA24BAED4963EE407) + self.name[at + 1] * U(0x9FB21C651E98DF25) + salt)
         keep = np.ones(len(left), bool)
         keep[at + 1] = False
-        return Symbols(named[keep], np.where(left, self.cs, before)[keep], np.where(left, after, self.ce)[keep], self.lo[keep], self.hi[keep])
+        total = self.size.copy()
+        total[at] += self.size[at + 1]
+        return Symbols(named[keep], total[keep], np.where(left, self.cs, before)[keep], np.where(left, after, self.ce)[keep], self.lo[keep], self.hi[keep])
 
 
 def parse(words: Words) -> list[Symbols]:
     """The levels that anchors come from, lowest first."""
     n = np.arange(len(words))
     lo, hi = np.repeat(words.first[:-1], words.count), np.repeat(words.first[1:], words.count)
-    now = Symbols(words.name, n, n + 1, lo, hi)
+    now = Symbols(words.name, np.ones(len(n), np.int64), n, n + 1, lo, hi)
     out = [now]
     for k, kind in enumerate(ROUNDS, 1):
         salt = mix(np.array([k], U))[0]
@@ -99,7 +103,8 @@ def anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
         has = b > a
         at, a, b = open_[has], a[has], b[has]
         power = np.frexp((b - a).astype(np.float64))[1] - 1
-        least = [level.name]
+        # The least key is the longest symbol's: it stands in the fewest texts.
+        least = [(U(63) - np.minimum(level.size, 63).astype(U)) << U(58) | level.name >> U(6)]
         for k in range(int(power.max(initial=0))):
             least.append(np.minimum(least[-1][: -(1 << k)], least[-1][1 << k :]))
         for k, column in enumerate(least):
