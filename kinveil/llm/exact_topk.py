@@ -143,9 +143,9 @@ def op8_exact_topk(spark, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-with e as (select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) v from embeddings
-           where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
-s as (select q.vec_id query_id, e.vec_id, cast(list_sum(list_transform(generate_series(1, len(q.v)), i -> q.v[i] * e.v[i])) as bigint) score
+with e as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v from embeddings
+           where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, e.vec_id, cast(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * e.v[i])) as bigint) score
       from e q, e where q.vec_id % 50 = 0 and e.vec_id <> q.vec_id),
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) "rank" from s)
 select query_id, "rank", vec_id, score from r where "rank" <= 5

@@ -301,7 +301,7 @@ def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 with recursive w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
 s as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
-      else list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' '))) end g from w),
+      else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) end g from w),
 x as (select doc_id, len(g) n, unnest(g) t from s),
 p as (select a.doc_id a, b.doc_id b, count(*) c, any_value(a.n) na, any_value(b.n) nb from x a join x b on a.t = b.t and a.doc_id < b.doc_id group by 1, 2),
 l as (select a, b from p where c / (na + nb - c) >= 0.8),
