@@ -2,8 +2,8 @@
 
 Texts are split into words (the pieces that merges never cross) with numpy: code points have one of
 four classes, and word borders follow from class changes, the space before a word and contractions.
-Spark counts the distinct words; those that occur more than once, the most frequent first up to
-`table_words` (a fixed bound on what is broadcast: about 40 bytes a word), are encoded once each by
+Spark counts the distinct words; those that occur more than once, and often enough that there are at
+most `table_words` of them (a fixed bound on what is broadcast: about 40 bytes a word), are encoded once each by
 the tokenizers library into a table word name -> ids. Texts then join that table by position: each
 slice finds its distinct words, looks up their ids and lays them out in the order of the text. Words
 that the table lacks, which are above all those that occur once in the corpus, are encoded where
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinveil.llm._text import U, mix, prefix, signed, slices, span
+from kinveil.operators.staging import stage
 
 TABLE_WORDS = 1 << 20
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -155,8 +156,21 @@ def _texts(batch_column: pa.Array):
         yield a, b, ["" if t is None else t for t in batch_column.slice(a, b - a).to_pylist()]
 
 
+def least_count(words: DataFrame, most: int) -> int:
+    """The least n such that at most `most` words occur n times or more. Counts are added up by n, and
+    from 2**16 on by the power of two below, so what the driver gets does not grow with the words."""
+    step = F.when(F.col("n") < 1 << 16, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long"))
+    held, least = 0, 1 << 62
+    for r in sorted(words.groupBy(step.alias("n")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        held += r.words
+        if held > most:
+            break
+        least = r.n
+    return least
+
+
 def word_table(docs: DataFrame, path: str, text_col: str = "text", table_words: int = TABLE_WORDS) -> dict[str, np.ndarray]:
-    """The distinct words that occur more than once, the most frequent table_words of them, encoded:
+    """The distinct words that occur more than once, at most table_words of them by count, encoded:
     sorted names, and ids from offset[i] to offset[i + 1] of each."""
 
     def words(batches):
@@ -176,8 +190,9 @@ def word_table(docs: DataFrame, path: str, text_col: str = "text", table_words:
             yield pa.record_batch([batch.column("name"), pa.array([np.asarray(i, np.int32).tobytes() for i in ids], pa.binary())], names=["name", "ids"])
 
     found = docs.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(words, "name long, word string, n long")
-    found = found.groupBy("name").agg(F.min("word").alias("word"), F.sum("n").alias("n")).where("n > 1")
-    top = found.orderBy(F.desc("n"), "name").limit(table_words).repartition(64, "name").mapInArrow(encoded, "name long, ids binary").toArrow()
+    found = stage(found.groupBy("name").agg(F.min("word").alias("word"), F.sum("n").alias("n")).where("n > 1"), "words")
+    least = least_count(found, table_words)
+    top = found.where(F.col("n") >= least).repartition(64, "name").mapInArrow(encoded, "name long, ids binary").toArrow()
     name = top.column("name").to_numpy().view(U)
     order = np.argsort(name)
     ids = top.column("ids").combine_chunks().take(pa.array(order))

@@ -38,6 +38,11 @@ def test_every_code_point_has_its_class():
             assert len(alone) == want, hex(c)
 
 
+def test_least_count(spark):
+    words = spark.createDataFrame([(2,), (2,), (3,), (9,), (70000,), (99999,)], "n long")
+    assert [bpe.least_count(words, k) for k in (6, 5, 4, 2, 1)] == [2, 3, 3, 65536, 1 << 62]
+
+
 @pytest.mark.parametrize("table_words", [1 << 20, 5])
 def test_query_shape(spark, table_words):
     tool = Tokenizer.from_file(PATH)
