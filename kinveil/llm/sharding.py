@@ -117,10 +117,12 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     placed = leaf.join(base.select("cell", "part", F.col("to").alias("shard"), "base"), ["cell", "part"]).select(F.col("g1").alias(g1), F.col("g2").alias(g2), F.col("shard").alias("__sh_to"), (F.col("base") + F.col("before")).alias("__sh_slot"), F.col("n").alias("__sh_n"))
 
     salted = rows.join(placed, [g1, g2]).withColumn(salt, F.pmod(F.xxhash64(F.col(id_col)), F.expr(f"__sh_n div {SALTED} + 1")))
-    share = salted.where("__sh_n > 1").groupBy(g1, g2, salt).agg(F.count("*").alias("__sh_m"))
+    # Dealt anew: else the join's partitioning by group would do for what follows.
+    copied = salted.where("__sh_n > 1").repartition(g1, g2, salt)
+    share = copied.groupBy(g1, g2, salt).agg(F.count("*").alias("__sh_m"))
     share = share.select(g1, g2, salt, (F.sum("__sh_m").over(W.partitionBy(g1, g2).orderBy(salt).rowsBetween(W.unboundedPreceding, 0)) - F.col("__sh_m")).alias("__sh_ahead"))
     within = F.row_number().over(W.partitionBy(g1, g2, salt).orderBy(F.col(id_col).asc_nulls_last())) - 1
-    many = salted.where("__sh_n > 1").withColumn("__sh_rank", within).join(share, [g1, g2, salt]).withColumn("__sh_slot", F.col("__sh_slot") + F.col("__sh_ahead") + F.col("__sh_rank"))
+    many = copied.withColumn("__sh_rank", within).join(share, [g1, g2, salt]).withColumn("__sh_slot", F.col("__sh_slot") + F.col("__sh_ahead") + F.col("__sh_rank"))
     keep = [*(F.col(c) for c in others), F.col(size).alias("size"), F.col("__sh_crc").alias("text_crc32"), F.col("__sh_to").cast("int").alias("shard"), F.col("__sh_slot").cast("long").alias("slot")]
     return reduce(DataFrame.unionAll, [salted.where("__sh_n = 1").select(*keep), many.select(*keep)])
 
