@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinveil.operators.staging import stage
+
 #: Fixed values: (verdict, host, start of path) of the rules op6 is asked for.
 RULES = (
     ("allow", "com", "/"),
@@ -90,7 +92,8 @@ def reputation(pages: DataFrame, bad_col: str) -> DataFrame:
     """host, n, bad, a, b: every host's labelled pages and posterior; pages: host, and bad_col 0/1 or null."""
     domain, suffix = levels()
     hosts = pages.groupBy("host").agg(F.count(bad_col).alias("n"), F.coalesce(F.sum(bad_col), F.lit(0)).cast("long").alias("bad"))
-    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
+    # One row a host, written: every level below reads these sums, none the pages again.
+    hosts = stage(hosts.withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     sums = lambda key: hosts.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     root = hosts.agg(F.try_divide(F.coalesce(F.sum("bad"), F.lit(0)) + START_RATE, F.sum("n") + 1).alias("prior"))
     top = _shrunk(sums(["suffix"]).join(F.broadcast(root)))
