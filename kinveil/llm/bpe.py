@@ -152,7 +152,7 @@ class Split:
 
 
 def _texts(batch_column: pa.Array):
-    for a, b, _, _ in slices(batch_column, 4_000_000):
+    for a, b, _, _ in slices(batch_column):
         yield a, b, ["" if t is None else t for t in batch_column.slice(a, b - a).to_pylist()]
 
 
