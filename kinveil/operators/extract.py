@@ -138,7 +138,7 @@ def from_csv(df: DataFrame, conf: Translation, position: str = "position", stric
     return with_ids(out, conf.initial_id)
 
 
-def with_ids(records: DataFrame, initial: int = 0, blocks: int = 64) -> DataFrame:
+def with_ids(records: DataFrame, initial: int = 0) -> DataFrame:
     """Ids initial, initial + 1, .. for rows of blank id, by position. Counted by blocks of positions, so
     that no task numbers all of them."""
     blank = records.where("record_id = ''").withColumn("__blk", F.expr("position div 65536"))
