@@ -6,15 +6,20 @@ only, so equal words, pairs and windows get the same name on every executor with
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 U = np.uint64
 #: Bytes of text that are turned into arrays at a time (a longer text makes a slice of its own).
-SLICE = 2_000_000
+SLICE = 1_000_000
+#: Most bytes of rows that go to Python at a time (a longer row goes alone), and the setting that says so.
+BATCH = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _INV = pow(BASE, -1, 1 << 64)
@@ -101,3 +106,27 @@ class Words:
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
+
+def _release() -> None:
+    """Give freed memory back: workers live on, and what they hold counts against the next stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow, with at most BATCH bytes sent to Python at a time (by default batches are counted
+    in rows, and their memory grows with the texts) and memory given back when a task ends. The bound is
+    a setting of df's session; a lower one stays."""
+    spark = df.sparkSession
+    held = spark.conf.get(_BATCH_KEY).lower().rstrip("b")
+    if not held.isdigit() or int(held) > BATCH:
+        spark.conf.set(_BATCH_KEY, BATCH)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _release()
+
+    return df.mapInArrow(tidy, schema)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, mix, prefix, signed, slices, span
+from kinveil.llm._text import U, arrow_map, mix, prefix, signed, slices, span
 from kinveil.operators.staging import stage
 
 TABLE_WORDS = 1 << 20
@@ -189,10 +189,10 @@ def word_table(docs: DataFrame, path: str, text_col: str = "text", table_words:
             ids = tool.encode(batch.column("word").to_pylist())
             yield pa.record_batch([batch.column("name"), pa.array([np.asarray(i, np.int32).tobytes() for i in ids], pa.binary())], names=["name", "ids"])
 
-    found = docs.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(words, "name long, word string, n long")
+    found = arrow_map(docs.select(text_col).where(F.col(text_col).isNotNull()), words, "name long, word string, n long")
     found = stage(found.groupBy("name").agg(F.min("word").alias("word"), F.sum("n").alias("n")).where("n > 1"), "words")
     least = least_count(found, table_words)
-    top = found.where(F.col("n") >= least).repartition(64, "name").mapInArrow(encoded, "name long, ids binary").toArrow()
+    top = arrow_map(found.where(F.col("n") >= least).repartition(64, "name"), encoded, "name long, ids binary").toArrow()
     name = top.column("name").to_numpy().view(U)
     order = np.argsort(name)
     ids = top.column("ids").combine_chunks().take(pa.array(order))
@@ -258,7 +258,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", table_words: int
                 cols = [c for k, c in enumerate(part.columns) if k != at]
                 yield pa.record_batch([*cols, *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -272,7 +272,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
             text = [None if x is None else b"".join([pieces[i] for i in x]).decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(text, pa.string())], names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return arrow_map(encoded, run, schema)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

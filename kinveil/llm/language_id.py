@@ -25,24 +25,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinveil.llm._text import arrow_map
+
 BUCKETS = 1 << 15
 _U = np.uint32
 
 
-def grams(text: str | None) -> np.ndarray | None:
-    """Counts by bucket of the whole text's n-grams; None without a letter."""
-    if not text or not any(map(str.isalpha, text)):
-        return None
-    x = np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "surrogatepass"), _U).astype(_U)
+#: Code points of one text that are turned into arrays at a time.
+PART = 1 << 18
+_BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
+
+
+def _buckets(x: np.ndarray, seen: int) -> np.ndarray:
+    """Counts by bucket of the n-grams of x that end at or after its code point `seen`."""
     at, key = [], x * _U(0x9E3779B1)
     for n in range(1, 4):
         if n > 1:
             key = (key[:-1] ^ (key[:-1] >> _U(15))) * _U(0x85EBCA77) + x[n - 1 :] * _U(0xC2B2AE3D)
-        mixed = (key ^ (key >> _U(16))) * _U(0x27D4EB2F)
-        at.append(mixed >> _U(17))
+        fresh = key[max(0, seen - n + 1) :]
+        at.append(((fresh ^ (fresh >> _U(16))) * _U(0x27D4EB2F)) >> _U(17))
     return np.bincount(np.concatenate(at), minlength=BUCKETS)
 
 
+def grams(text: str | None) -> np.ndarray | None:
+    """Counts by bucket of the whole text's n-grams; None without a letter. White space counts as one
+    space, and one stands at both ends. A long text is read part by part, each with the two code points
+    before it, so memory does not grow with its length."""
+    if not text or not any(map(str.isalpha, text)):
+        return None
+    total, held, text = 0, np.zeros(0, _U), f" {text.lower()} "
+    for a in range(0, len(text), PART):
+        x = np.concatenate([held, np.frombuffer(text[a : a + PART].encode("utf-32-le", "surrogatepass"), _U)])
+        blank = _BLANK[np.minimum(x, len(_BLANK) - 1)]
+        x[blank] = 0x20
+        blank[1:] &= blank[:-1]
+        blank[: max(len(held), 1)] = False
+        x = x[~blank]
+        total = total + _buckets(x, len(held))
+        held = x[-2:]
+    return total
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -141,7 +164,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
             yield pa.record_batch([pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())], schema=pa.schema([("n", pa.int64()), ("df", pa.binary())]))
 
     # One array a task; folded over 32 tasks before the driver adds the rest.
-    parts = train.select("text").mapInArrow(frequencies, _SUMMED).repartition(32).mapInArrow(fold, _SUMMED).collect()
+    parts = arrow_map(arrow_map(train.select("text"), frequencies, _SUMMED).repartition(32), fold, _SUMMED).collect()
     n = sum(p.n for p in parts)
     df = sum((np.frombuffer(p.df, np.int64) for p in parts), np.zeros(BUCKETS, np.int64))
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
@@ -155,7 +178,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[3][r[2]].astype(np.int32).tobytes() for r in rows], pa.binary())], names=["id", "lang", "at", "n"])
 
     ids = train.sparkSession.createDataFrame([(i,) for i in dict.fromkeys(chosen)], "id string")
-    sample = train.join(F.broadcast(ids), "id", "left_semi").mapInArrow(counted, "id string, lang string, at binary, n binary").collect() if chosen else []
+    sample = arrow_map(train.join(F.broadcast(ids), "id", "left_semi"), counted, "id string, lang string, at binary, n binary").collect() if chosen else []
     sample.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.lang, r.at, r.n))
     sample = sample[:train_rows]
     model = Model(sorted({r.lang for r in sample}), idf, np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
@@ -179,7 +202,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             got = [model.predict(t.as_py()) for t in batch.column(at)]
             yield pa.record_batch([*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

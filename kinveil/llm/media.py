@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from kinveil.llm._text import arrow_map
+
 #: The op5 payload is laid out as grey rows of this many samples; 576 is a multiple of it.
 WIDTH = 24
 BLOCK = 576
@@ -155,7 +157,7 @@ def tiles(df: DataFrame, media_col: str = "media", height: int = 32, width: int
             rows = [one(v.as_py()) for v in batch.column(at)]
             yield pa.record_batch([*batch.columns, *(pa.array([r[k] for r in rows], t) for k, (_, _, t) in enumerate(new))], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return arrow_map(df, run, schema)
 
 
 OP5 = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_sha256 string"
@@ -182,7 +184,7 @@ def text_media(docs: DataFrame) -> DataFrame:
             rows = [one(t.as_py()) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, OP5)
+    return arrow_map(docs.select("doc_id", "text"), run, OP5)
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, Words, mix, prefix, signed, slices, span
+from kinveil.llm._text import U, Words, arrow_map, mix, prefix, signed, slices, span
 from kinveil.operators.components import components
 from kinveil.operators.staging import stage
 
@@ -265,18 +265,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each row of docs: doc_id, class_id (the least id of those linked by any chain of
     similarities of threshold or more) and n_links (documents that are that similar to this one)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    every = stage(texts.mapInArrow(_sets(n), "doc long, k1 long, k2 long, sig binary"), "sets")
+    every = stage(arrow_map(texts, _sets(n), "doc long, k1 long, k2 long, sig binary"), "sets")
     real = every.where("doc is not null and k1 is not null")
     sets = real.groupBy("k1", "k2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"))
     sets = stage(sets, "representatives")
     reps = stage(real.join(sets, ["k1", "k2"]).where("doc = least").select("doc", "sig").dropDuplicates(["doc"]), "signatures")
 
-    bands = stage(reps.mapInArrow(_bands, "bucket long, doc long"), "bands")
+    bands = stage(arrow_map(reps, _bands, "bucket long, doc long"), "bands")
     buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y"), F.min("doc").alias("first")).where("n > 1")
     buckets = buckets.groupBy("n", "x", "y", "first").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     live = bands.join(buckets, "bucket").join(reps, "doc")
     cells = _cells(live, "n", BUCKET_BLOCK).select("bucket", "i", "j", "doc", "sig")
-    pairs = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_buckets(least_matches(threshold, tolerance)), "a long, b long")
+    pairs = arrow_map(cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), _buckets(least_matches(threshold, tolerance)), "a long, b long")
     groups = components(pairs)
 
     weight = groups.groupBy("component").agg(F.count("*").alias("n"))
@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.join(sets.select(F.col("least").alias("doc"), "copies"), "doc")
     asked = texts.join(members.hint("shuffle_hash"), "doc")
     cells = _cells(asked, "n", TEXT_BLOCK).select("group", "i", "j", "block", "doc", "copies", "text")
-    found = stage(cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "doc").mapInArrow(_verify(n, threshold), "a long, b long, links long"), "verified")
+    found = stage(arrow_map(cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "doc"), _verify(n, threshold), "a long, b long, links long"), "verified")
 
     classes = components(found.where("b is not null")).withColumnRenamed("node", "least")
     links = found.where("b is null").groupBy(F.col("a").alias("least")).agg(F.sum("links").alias("links"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, Words, mix, prefix, signed, slices, span
+from kinveil.llm._text import U, Words, arrow_map, mix, prefix, signed, slices, span
 from kinveil.operators.staging import stage
 
 #: One letter a round: r names runs, p names pairs. The symbols after each level in LEVELS can be anchors.
@@ -167,7 +167,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = docs.schema
     key = "__sd_id"
     lean = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
-    rows = stage(lean.mapInArrow(_stretches(window), STRETCH), "stretches")
+    rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches")
 
     whole = rows.groupBy("name", "print").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     forms = whole.groupBy("name").agg(F.count("*").alias("forms"))
@@ -184,7 +184,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         return _windows(window)(named(b) for b in batches)
 
-    single = keyed.join(ask.withColumnRenamed("doc", key).hint("shuffle_hash"), key).mapInArrow(split, "name long, print long, doc long, start int")
+    single = arrow_map(keyed.join(ask.withColumnRenamed("doc", key).hint("shuffle_hash"), key), split, "name long, print long, doc long, start int")
     least = single.groupBy("name", "print").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").drop("most")
     late = single.join(least, ["name", "print"]).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
     spans = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("__sd_spans"))
@@ -234,7 +234,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             cols = [new if k == text else batch.column(k) for k in range(len(names))]
             yield pa.record_batch([*cols, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=schema.names)
 
-    return found.mapInArrow(run, schema)
+    return arrow_map(found, run, schema)
 
 
 def digest(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -246,7 +246,7 @@ def digest(docs: DataFrame, window: int = 50) -> DataFrame:
             rows = [(n, r, hashlib.sha256(k).hexdigest()) for n, r, k in kept(batch, batch.column(1), batch.column(2), window)]
             yield pa.record_batch([batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return found.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return arrow_map(found, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

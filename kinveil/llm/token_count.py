@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, mix, prefix, slices, span
+from kinveil.llm._text import U, arrow_map, mix, prefix, slices, span
 
 MARK = "▁"
 REMEMBERED = 500_000
@@ -113,7 +113,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str =
             n = [unigram(path).counts(["" if t is None else t for t in text.slice(a, b - a).to_pylist()]) for a, b, _, _ in slices(text)]
             yield pa.record_batch([*batch.columns, pa.array(np.concatenate([*n, np.zeros(0, np.int64)]))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def op10_token_count(spark, sf_dir: str) -> DataFrame:
