@@ -168,6 +168,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = "__sd_id"
     lean = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches")
+    # Most names stand in one document alone, which no other can repeat: they go before anything else.
+    met = rows.groupBy("name").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").select("name")
+    rows = stage(rows.join(met, "name", "left_semi").select(*STRETCH.names), "met")
 
     whole = rows.groupBy("name", "print").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     forms = whole.groupBy("name").agg(F.count("*").alias("forms"))
