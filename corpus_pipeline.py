@@ -17,10 +17,11 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what has no language: texts that are null or without a letter. A text of any language
-    that the model knows stays, and so does its label."""
+    """Rejects texts that are null or without a letter, and texts that fit no language the model has learned
+    (language_id.known says by which score). A text of any learned language stays, and so does its label;
+    where no language could be learned, every text with a letter stays."""
     model = language_id.fit(docs.where(~language_id.held_out()))
-    return language_id.predict(docs, model).where("lang_pred <> 'und'").select(*docs.columns)
+    return language_id.known(docs, model).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

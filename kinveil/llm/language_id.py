@@ -17,7 +17,7 @@ through. An empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,10 @@ from pyspark.sql import types as T
 from kinveil.llm._text import arrow_map
 
 BUCKETS = 1 << 15
+#: A text fits no learned language if its score is less than this share of the way from even odds to certainty
+#: (0.4 with four languages); texts of fewer letters than SHORT say too little to be rejected.
+FIT = 0.2
+SHORT = 20
 _U = np.uint32
 
 
@@ -205,6 +209,20 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return arrow_map(docs, run, schema)
 
 
+def known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of predict() whose text has a letter and fits a learned language: its calibrated score is at
+    least FIT of the way from even odds to certainty, or it has fewer than SHORT letters. Here the temperature
+    is 1 at least: on a small corpus the rows kept from the fit are told apart without error, the temperature
+    falls to the grid's end, and noise would be certain too. With one language or none there are no odds to
+    reject by: every text with a letter stays."""
+    if not model.labels:
+        model = Model(["und?"], np.ones(BUCKETS, np.float32), np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32))
+    k = len(model.labels)
+    out = predict(docs, replace(model, temperature=max(1.0, model.temperature)), text_col)
+    letters = F.length(F.regexp_replace(F.col(text_col), r"\P{L}+", ""))
+    return out.where(F.col("lang_pred") != "und").where((F.col("score") >= 1 / k + FIT * (1 - 1 / k)) | (letters < SHORT) | F.lit(k == 1))
+
+
 def held_out(id_col: str = "doc_id"):
     """A fixed quarter of the ids that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
