@@ -111,17 +111,29 @@ def run_households(a: argparse.Namespace) -> None:
 
 
 def run_block(a: argparse.Namespace) -> None:
-    """Blocks of CLK files by lambda-fold, or of a person CSV by p-sig."""
+    """Blocks of CLK files by lambda-fold, or of a person CSV by p-sig: one CSV (position, block) for each file,
+    and for p-sig one of the blocks' Bloom bits, in one archive."""
     spark, spec = session(), json.loads(Path(a.schemafile).read_text())
     conf = {k.replace("_", "-"): v for k, v in spec["config"].items()}
+    made = []
+
+    def write(rows, name: str, order: list[str]) -> None:
+        made.append(f"{a.outputdir}/{name}.csv")
+        files.write_csv(rows.orderBy(*order), made[-1])
+
     if spec["type"] == "lambda-fold":
-        raw = files.read_clks(spark, f"{a.clkpath}/*.json").withColumn("clk", F.unbase64("clk"))
-        rows = blocking.lambda_fold(raw, conf["Lambda"], conf["K"], conf.get("random-state", 0))
+        for clk_file in sorted(Path(a.clkpath).glob("*.json")):
+            raw = files.read_clks(spark, str(clk_file)).withColumn("clk", F.unbase64("clk"))
+            rows = blocking.lambda_fold(raw, conf["Lambda"], conf["K"], conf.get("random-state", 0))
+            write(rows.select("position", "block"), f"{clk_file.stem}_blocks", ["position", "block"])
     else:
-        rows, _ = blocking.p_sig(files.read_people(spark, a.clkpath).drop("position"), conf)
-    out = f"{a.outputdir}/blocks.csv"
-    files.write_csv(rows.groupBy("block").agg(F.count("*").alias("n")), out, None)
-    files.write_zip(f"{a.outputdir}/blocks.zip", [out])
+        people = files.read_people(spark, a.clkpath)
+        # feature-idx counts the file's own columns, so position goes last.
+        rows, bits = blocking.p_sig(people.select(*[c for c in people.columns if c != "position"], "position"), conf)
+        stem = Path(a.clkpath).stem
+        write(rows.select("position", "block"), f"{stem}_blocks", ["position", "block"])
+        write(bits.select("block", F.array_join("bits", ",").alias("bits")), f"{stem}_block_bits", ["block"])
+    files.write_zip(f"{a.outputdir}/blocks.zip", made)
 
 
 def run_resolve(a: argparse.Namespace) -> None:

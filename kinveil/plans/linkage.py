@@ -332,7 +332,7 @@ def clk_household(spark, sf):
 @query()
 def block_lambda(spark, sf):
     own = clk.clks(people(spark, sf).select("position", "given_name", "family_name", "DOB", "sex", "household_zip"), {"clk": clk.SCHEMAS["name-sex-dob-zip"]}, SECRET)
-    return blocking.lambda_fold(own, 3, 5, 0).groupBy("block").agg(F.count("*").alias("n"))
+    return blocking.lambda_fold(own, 3, 5, 0).select("position", "block")
 
 
 P_SIG = {
@@ -343,5 +343,8 @@ P_SIG = {
 
 @query()
 def block_psig(spark, sf):
-    rows, bits = blocking.p_sig(people(spark, sf).select("given_name", "family_name", "position"), P_SIG)
-    return rows.groupBy("block").agg(F.count("*").alias("n")).join(bits, "block").select("block", "n", F.concat_ws(",", F.transform("bits", lambda b: b.cast("string"))).alias("bits"))
+    """A row for each block of each person, with the block's bits; nulls for a person whose blocks the filter all drops."""
+    own = people(spark, sf).select("given_name", "family_name", "position")
+    rows, bits = blocking.p_sig(own, P_SIG)
+    found = rows.select("position", "block").join(bits, "block").select("position", "block", F.array_join("bits", ",").alias("bits"))
+    return own.select("position").join(found, "position", "left")
