@@ -192,6 +192,20 @@ def run_answer_key(a: argparse.Namespace) -> None:
         files.write_csv(with_position(evaluate.site_key(key, people), ["record_id", "household_id", "seed_record_id"]), f"{a.folder}/{site}_key.csv", "position")
 
 
+def run_answer_key_map(a: argparse.Namespace) -> None:
+    """Each site's positions to household ids (SITE_mapping.csv, from SITE_key.csv of build_key and
+    SITE_household_pos_pid.csv, the hh_pos_pid.csv of households -t), and full_answer_key.csv of all sites."""
+    spark, sites, ids = session(), a.sites.split(","), None
+    for site in sites:
+        key = files.positioned(files.read_csv(spark, f"{a.folder}/{site}_key.csv"), "line").na.fill("", ["household_id"])
+        at = files.read_csv(spark, f"{a.folder}/{site}_household_pos_pid.csv").toDF("household_position", "pid")
+        mapped = evaluate.position_households(at.withColumn("household_position", F.col("household_position").cast("long")), key)
+        files.write_csv(mapped, f"{a.folder}/{site}_mapping.csv", "HOUSEHOLD_POSITION")
+        own = key.select(F.lit(site).alias("site"), "household_id")
+        ids = own if ids is None else ids.unionAll(own)
+    files.write_csv(evaluate.by_site(ids, sites).orderBy(F.coalesce(*(F.col(f"`{x}`") for x in sites))), f"{a.folder}/full_answer_key.csv")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="kinveil")
     sub = p.add_subparsers(required=True)
@@ -231,7 +245,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--csv"), c.add_argument("-o", "--outputdir", default="output")
     c = command("validate_metadata", run_validate)
     c.add_argument("source_archive"), c.add_argument("linkage_archive")
-    for name, run in (("hh_score", run_score), ("build_key", run_answer_key)):
+    for name, run in (("hh_score", run_score), ("build_key", run_answer_key), ("answer_key_map", run_answer_key_map)):
         c = command(name, run)
         c.add_argument("--folder", default="temp-data"), c.add_argument("--sites", default="a,b,c,d,e,f"), c.add_argument("--key", default="temp-data/key.json")
     return p
