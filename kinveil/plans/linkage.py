@@ -272,6 +272,14 @@ def household_link_resolve(spark, sf):
     return links.resolve_households(given, found)
 
 
+@query(f"{HOUSEHOLDS} select 'H' || cast(household_position as varchar) as \"HOUSEHOLD_ID\", unnest(string_split(record_ids, ',')) as \"PATID\" from numbered")
+def household_link_resolve_whole(spark, sf):
+    """household_link_resolve with a link for every household."""
+    found = _households(spark, sf)
+    given = found.select(F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"), F.col("household_position").alias("position"))
+    return links.resolve_households(given, found)
+
+
 @query(f"{WITH} select distinct record_id, 'S' || cast(position % 50 as varchar) seed_record_id, household_zip household_id, 'site_' || cast(position % 3 as varchar) file_name from people")
 def answer_key(spark, sf):
     row = F.struct("record_id", F.concat(F.lit("S"), (F.col("position") % 50).cast("string")).alias("seed_record_id"), F.col("household_zip").alias("household_id"), F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("file_name"))
@@ -285,6 +293,13 @@ def answer_pivot(spark, sf):
     return evaluate.by_site(ids, ["site_0", "site_1"])
 
 
+@query(f"{WITH} select case when count(*) filter (position % 3 = 0) > 0 then household_zip end site_0, case when count(*) filter (position % 3 = 1) > 0 then household_zip end site_1, case when count(*) filter (position % 3 = 2) > 0 then household_zip end site_2 from people group by household_zip")
+def answer_pivot_whole(spark, sf):
+    """answer_pivot over all people and all three sites."""
+    ids = pii(spark, sf).select(F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("site"), F.col("household_zip").alias("household_id"))
+    return evaluate.by_site(ids, ["site_0", "site_1", "site_2"])
+
+
 @query(f"""{HOUSEHOLDS}, key as (select distinct record_id pid, household_zip || household_street_address hid from people),
   last as (select household_position, record_id pid from numbered join people on position = members[len(members)]), mapped as (select household_position, household_zip || household_street_address hid from numbered join people on position = household),
   seen as (select count(*) n, count(key.pid) tp from last join mapped using (household_position) left join key using (pid, hid)), total as (select count(*) total from key),
