@@ -4,7 +4,9 @@ An Aho-Corasick automaton lists the vocabulary pieces that end at each character
 keeps, for each position, the best score and how many tokens it takes, and nothing to go back by. Ties
 fall as in the tokenizers library's Unigram model: a later candidate has to be strictly better, and
 candidates come in order of where they start, so the longest piece wins. A character that is no piece
-itself can also be unknown, for 10 below the least score; unknown characters in a row are one token.
+itself can also be unknown, for 10 below the least score. Unknown characters in a row count as their UTF-8
+byte pieces where the file has these pieces (byte fallback), else as one token. Byte and control pieces are
+never read from the text itself.
 
 Spaces become the word mark first. No piece has a mark after another character (checked), so texts
 fall into words, whose scores add up; each slice of texts counts its distinct words once, and a worker
@@ -32,7 +34,8 @@ REMEMBERED = 500_000
 
 
 class Unigram:
-    def __init__(self, pieces: list[tuple[str, float]], unk_id: int):
+    def __init__(self, pieces: list[tuple[str, float]], unk_id: int, fallback: frozenset[int] = frozenset()):
+        """fallback: the bytes that have pieces."""
         if MARK not in dict(pieces) or any(MARK in p.lstrip(MARK) for p, _ in pieces):
             raise ValueError("the word mark has to be a piece, and to start every piece it is in")
         self.floor = min(s for _, s in pieces) - 10.0
@@ -42,26 +45,41 @@ class Unigram:
                 self.automaton.add_word(p, (len(p), s, i == unk_id))
         self.automaton.make_automaton()
         self.known: dict[int, int] = {}
+        self.unk, self.fallback = pieces[unk_id][0], fallback
+
+    def unknown(self, run: str) -> int:
+        """Tokens of unknown characters in a row. The unknown piece itself, written in a text, is one."""
+        raw = run.encode("utf-8", "surrogatepass")
+        return len(raw) if run != self.unk and self.fallback.issuperset(raw) else 1
 
     def count(self, word: str) -> int:
         """Tokens of the best path of one text."""
         ending: list = [()] * len(word)
         for end, found in self.automaton.iter(word):
             ending[end] = (*ending[end], found)
-        best, tokens, unknown, floor = [0.0], [0], [False], self.floor
+        # A position within unknown characters has where these begin, and gets its tokens once a path needs them.
+        best, tokens, begin, floor = [0.0], [0], [-1], self.floor
+
+        def at(e: int) -> int:
+            if tokens[e] < 0:
+                tokens[e] = tokens[begin[e]] + self.unknown(word[begin[e] : e])
+            return tokens[e]
+
         for e, found in enumerate(ending):
-            top, n, odd, single = -np.inf, 0, False, False
+            top, start, odd, single = -np.inf, e, False, False
             for size, score, unk in sorted(found, reverse=True) if len(found) > 1 else found:
                 s = e + 1 - size
                 single |= size == 1
                 if best[s] + score > top:
-                    top, odd = best[s] + score, unk
-                    n = tokens[s] + (not (unk and unknown[s]))
+                    top, start, odd = best[s] + score, s, unk
             if not single and best[e] + floor > top:
-                top, odd = best[e] + floor, True
-                n = tokens[e] + (not unknown[e])
-            best.append(top), tokens.append(n), unknown.append(odd)
-        return tokens[-1]
+                top, start, odd = best[e] + floor, e, True
+            best.append(top)
+            if odd:
+                tokens.append(-1), begin.append(start if begin[start] < 0 else begin[start])
+            else:
+                tokens.append((tokens[start] if begin[start] < 0 else at(start)) + 1), begin.append(-1)
+        return at(len(word))
 
     def counts(self, texts: list[str]) -> np.ndarray:
         edge = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
@@ -97,9 +115,17 @@ def pieces(path: str) -> tuple[list[tuple[str, float]], int]:
     return [(tool.id_to_piece(i), tool.get_score(i)) for i in ids], ids.index(tool.unk_id())
 
 
+def byte_pieces(path: str) -> frozenset[int]:
+    """The bytes that have a piece `<0xNN>` in a sentencepiece file."""
+    import sentencepiece
+
+    tool = sentencepiece.SentencePieceProcessor(model_file=path)
+    return frozenset(int(tool.id_to_piece(i)[3:-1], 16) for i in range(tool.get_piece_size()) if tool.is_byte(i))
+
+
 @lru_cache(2)
 def unigram(path: str) -> Unigram:
-    return Unigram(*pieces(path))
+    return Unigram(*pieces(path), byte_pieces(path))
 
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens") -> DataFrame:
