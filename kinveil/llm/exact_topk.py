@@ -99,21 +99,28 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS
         n[r.cell], far[r.cell] = r.n, r.far
     blocks = np.maximum(1, -(-n // BLOCK))
 
+    # A query's own rows are no neighbours: how many there are of them in each cell.
+    rows = placed.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id", "cell").agg(F.count("*").alias("m"))
+    rows = rows.groupBy("id").agg(F.collect_list(F.array(F.col("cell").cast("long"), "m")).alias("own"))
+
     def reach(batches):
         for pdf in batches:
             q = _matrix(pdf["v"], dims).astype(np.float64)
             mid, slack = q @ cf.T, np.sqrt((q * q).sum(1))[:, None] * far * (1 + 1e-9) + 1e-3
             low, high = mid - slack, mid + slack
             order = np.argsort(-low, axis=1)
-            # The query's own row may be a member that does not count: k + 1 members suffice.
-            enough = (np.cumsum(n[order], axis=1) >= k + 1).argmax(1)
-            enough[n.sum() < k + 1] = len(c) - 1
-            floor = np.take_along_axis(low, order, 1)[np.arange(len(q)), enough]
-            floor = np.where(np.cumsum(n[order], axis=1)[:, -1] >= k + 1, floor, -np.inf)
+            others = np.repeat(n[None], len(q), 0)
+            for i, own in enumerate(pdf["own"]):
+                for at, m in own if own is not None else ():
+                    others[i, at] -= m
+            # k members besides the query's own rows suffice.
+            held = np.cumsum(np.take_along_axis(others, order, 1), axis=1)
+            floor = np.take_along_axis(low, order, 1)[np.arange(len(q)), (held >= k).argmax(1)]
+            floor = np.where(held[:, -1] >= k, floor, -np.inf)
             row, cell = np.nonzero((high >= floor[:, None]) & (n > 0))
             yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row], "cell": cell.astype(np.int32), "blocks": blocks[cell].astype(np.int32)})
 
-    asked = queries.mapInPandas(reach, "id long, v array<long>, cell int, blocks int")
+    asked = queries.join(rows, "id", "left").mapInPandas(reach, "id long, v array<long>, cell int, blocks int")
     asked = stage(asked, "asked")
     wide = {r.cell: -(-r.m // QUERIES) for r in asked.groupBy("cell").agg(F.count("*").alias("m")).collect()}
     over = lambda values: F.element_at(F.array(*[F.lit(int(values.get(i, 0))) for i in range(len(c))]), F.col("cell") + 1)

@@ -1,0 +1,31 @@
+"""A query whose id is repeated: its own rows are no neighbours, so they say nothing of the floor."""
+
+import numpy as np
+import pytest
+
+from kinveil.llm import exact_topk as tk
+
+
+def brute(rows, k):
+    fine = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    out = []
+    for q, v in fine:
+        if q % 50 == 0:
+            out.append([(i, -s) for s, i in sorted((-int(v @ x), i) for i, x in fine if i != q)[:k]])
+    return out
+
+
+@pytest.mark.parametrize("copies", [1, 6, 30])
+def test_own_rows_fill_a_cell(spark, monkeypatch, copies):
+    monkeypatch.setattr(tk, "CELL_ROWS", 10)
+    rng = np.random.default_rng(4)
+    centres = 4 * np.eye(8)
+    rows = [(i + 1, (centres[i % 6] * 0.3 + rng.normal(size=8) * 0.02).tolist()) for i in range(40)]
+    rows = [(i, v) for i, v in rows if i % 50]
+    tight = (centres[7] * 3).tolist()
+    data = spark.createDataFrame([*rows, *[(1000, tight)] * copies, *((2001 + j, tight) for j in range(2))], "vec_id long, embedding array<double>")
+    v = data.select(tk.F.col("vec_id").alias("id"), tk.whole(tk.F.col("embedding")).alias("v"))
+    # Every vector is a pivot, so the query's own rows have a cell of radius 0.
+    monkeypatch.setattr(tk, "CELL_ROWS", 1)
+    got = sorted(tk.knn(v, v.where("id = 1000").dropDuplicates(["id"]), 5).collect(), key=lambda r: r.rank)
+    assert [(r.vec_id, r.score) for r in got] == brute([*rows, (1000, tight), *((2001 + j, tight) for j in range(2))], 5)[0]
