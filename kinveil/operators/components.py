@@ -2,8 +2,8 @@
 
 Each round every node tells its larger neighbours, then its smaller ones, the least node it knows.
 Rounds grow with the logarithm of the longest path; each ends in a written table, so lineage stays
-short and a lost executor costs one round. Sums and minima combine before the shuffle, and the joins
-can be split when one node has very many edges.
+short and a lost executor costs one round. Sums and minima combine before the shuffle. A node of very
+many edges (a star's centre) gets its answer by broadcast, so its edges are never gathered in one task.
 """
 
 from __future__ import annotations
@@ -11,25 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinveil.operators.staging import stage
+from kinveil.operators.skew import join_groups
+from kinveil.operators.staging import discard, stage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; component is its least node. Edges with a null end
     and loops are ignored (a node with a loop only is no row); repeated edges count once."""
-    now = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"), F.col(a), F.col(b)).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).select("hi", "lo").distinct()
-    now, before = stage(now, "edges"), None
+    ends = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"), F.col(a), F.col(b))
+    now = ends.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).select("hi", "lo").distinct()
+    now = stage(now, "edges")
+    total, before = now.count(), None
     for _ in range(rounds):
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionAll(least.select("hi", F.col("m").alias("lo"))).distinct()
-        now = stage(small, "stars")
-        state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
-        if state == before:
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = join_groups(both, least, ["u"], "n", 2 * total).where("v > u and v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # Every edge of the large star leaves a node for a smaller one; few nodes have many smaller neighbours.
+        large = stage(large, "large")
+        down = stage(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")), "down")
+        moved = join_groups(large, down, ["hi"], "n", large.count()).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        small = stage(moved.unionAll(down.select("hi", F.col("m").alias("lo"))).distinct(), "stars")
+        discard(now, least, large, down)
+        now = small
+        total, mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
+        if (total, mark) == before:
             break
-        before = state
+        before = total, mark
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
