@@ -1,13 +1,17 @@
 """Whole texts as numpy arrays: slices of bounded size, words, and their 64-bit names.
 
-A word is a maximal run of bytes other than 0x20 and 0x09 to 0x0D. Names are functions of content
-only, so equal words, pairs and windows get the same name on every executor without any exchange.
+A word is a maximal run of bytes other than 0x20 and 0x09 to 0x0D. Names are hashes of content only, so
+equal words, pairs and windows get the same name on every executor without any exchange. They are made
+from 8 bytes at a time, each step mixing all bits, and have no algebraic structure that other texts
+could share. Names find candidates; what is removed or reused is decided on the words themselves.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,31 +19,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 U = np.uint64
-#: Bytes of text that are turned into arrays at a time (a longer text makes a slice of its own).
+#: Bytes of text that are turned into arrays at a time; a longer text is taken in parts.
 SLICE = 1_000_000
 #: Most bytes of rows that go to Python at a time (a longer row goes alone), and the setting that says so.
 BATCH = 4 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-_INV = pow(BASE, -1, 1 << 64)
-_rng = np.random.Generator(np.random.PCG64(20))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE[_SPACE] = 0
-_pow = {"up": np.ones(1, U), "down": np.ones(1, U)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i < n."""
-    if len(_pow["up"]) < n:
-        size = max(n, 2 * len(_pow["up"]), 1 << 20)
-        for key, by in (("up", BASE), ("down", _INV)):
-            x = np.full(size, by & _MASK, U)
-            x[0] = 1
-            _pow[key] = np.multiply.accumulate(x)
-    return _pow["up"][:n], _pow["down"][:n]
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,18 +41,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of values[i] * BASE**i, from which span() takes any span's fingerprint."""
-    out = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(len(values))[0], out=out[1:])
+def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Names of a followed by b."""
+    return mix(mix(a ^ U(0x9E3779B97F4A7C15)) + b * U(0xD6E8FEB86659FD93))
+
+
+def windows(name: np.ndarray, n: int) -> np.ndarray:
+    """Names of name[i : i + n] for every i that has so many, from those of 1, 2, 4, .. in a row."""
+    m, out, done, width, level = max(len(name) - n + 1, 0), None, 0, 1, name
+    while m:
+        if n & width:
+            out = level[:m] if out is None else combine(out, level[done : done + m])
+            done += width
+        if done == n:
+            return out
+        level, width = combine(level[:-width], level[width:]), 2 * width
+    return name[:0]
+
+
+def word_names(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Names of the words data[at:end]."""
+    size = end - at
+    out = mix(size.astype(U) + U(0xA24BAED4963EE407))
+    eight = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    live = np.flatnonzero(size <= LONG_WORD)
+    step = 0
+    while len(live):
+        left = size[live] - step
+        out[live] = combine(out[live], eight[at[live] + step] & _LOW[np.minimum(left, 8)])
+        step += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[at[i] : end[i]].data, digest_size=8).digest(), "little")
     return out
 
 
-def span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprints of values[start:end], the same wherever the values stand."""
-    return mix((sums[end] - sums[start]) * powers(len(sums))[1][start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
-
-
 def slices(texts: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets): runs of rows of about limit bytes; null reads as empty."""
     texts = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "").cast(pa.large_string())
@@ -95,12 +107,62 @@ class Words:
         edge = off[1:][(off[1:] > 0)] - 1
         stop[edge] = solid[edge]
         self.at, self.end = at, np.flatnonzero(stop) + 1
-        self.name = span(prefix(_BYTE[data]), self.at, self.end) if n else np.zeros(0, U)
         self.first = np.searchsorted(at, off)
         self.count = np.diff(self.first)
+        self.data, self.solid = data, solid
 
     def __len__(self) -> int:
-        return len(self.name)
+        return len(self.at)
+
+    @cached_property
+    def name(self) -> np.ndarray:
+        return word_names(self.data, self.at, self.end)
+
+    @cached_property
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words, a space after each, and where each begins (and the last ends): words [i, j) joined by
+        one space are flat[begin[i] : begin[j] - 1]."""
+        begin = np.concatenate([[0], np.cumsum(self.end - self.at + 1)])
+        letter = np.ones(int(begin[-1]), bool)
+        letter[begin[1:] - 1] = False
+        out = np.full(len(letter), 0x20, np.uint8)
+        out[letter] = self.data[self.solid]
+        return out, begin
+
+
+def units(texts: pa.Array, overlap: int = 0, limit: int = SLICE) -> Iterator[tuple[int, int, int, Words, bool]]:
+    """(first row, end row, words before, words, whether the last of its rows): slices of whole texts, and
+    the parts of texts that are longer than two slices. A part begins `overlap` words before the end of the
+    part before it, so that every run of overlap + 1 words is in one part."""
+    for a, b, data, off in slices(texts, limit):
+        if b - a > 1 or len(data) <= 2 * limit:
+            yield a, b, 0, Words(data, off), True
+            continue
+        start, base, size = 0, 0, limit
+        while True:
+            end = min(start + size, len(data))
+            while end < len(data):
+                gap = np.flatnonzero(_SPACE[data[end : end + 4096]])
+                end = end + int(gap[0]) if len(gap) else min(end + 4096, len(data))
+                if len(gap):
+                    break
+            words = Words(data[start:end], np.array([0, end - start]))
+            if end < len(data) and len(words) <= overlap:
+                size *= 2
+                continue
+            yield a, b, base, words, end == len(data)
+            if end == len(data):
+                break
+            new = len(words) - overlap
+            base, size = base + new, limit
+            start = start + int(words.at[new]) if overlap else end
+
+
+def replaced(columns: list[str], out: tuple[str, ...]) -> list[str]:
+    """Of a table's columns those whose names no output has; an output takes the place of the others.
+    Names differ as Spark tells them apart, not by case."""
+    taken = {c.lower() for c in out}
+    return [c for c in columns if c.lower() not in taken]
 
 
 def signed(x: np.ndarray) -> pa.Array:

@@ -2,23 +2,27 @@
 
 Every text is a sequence of word names. A round either names maximal runs of one symbol or names
 pairs (a symbol of the left class followed by one of the right class; a hash bit of the symbol
-decides the class). A name is a fingerprint of what it stands for, so one name means one content in
-the whole corpus, without a dictionary to exchange. Each symbol carries the span of words that its
-existence depends on; a window that covers that span must contain the symbol wherever the window
-occurs. So every window picks an anchor from its own content alone: the longest of the
-symbols of the highest level that it determines, by least name among equals (single words at worst,
-so no window goes without).
-
-Equal windows have equal anchors. Runs of consecutive windows under one anchor make one row: the
-anchor's name, the fingerprint of the whole stretch, where it stands. Grouping by both settles
-stretches that are copied whole; only where one anchor stands in different stretches are the single
-windows compared. Nothing is gathered per name: all groups are sums and minima that combine before
-the shuffle, and what goes back to rows goes back by joins that AQE can split.
+decides the class). A name is a hash of what it stands for, so one name means one content in the
+whole corpus: naming is global without a dictionary to exchange, and the rounds run within one pass
+over the texts. Each symbol carries the span of words that its existence depends on; a window that
+covers that span must contain the symbol wherever the window occurs. So every window picks an anchor
+from its own content alone: the longest of the symbols of the highest level that it determines, by
+least name among equals (single words at worst, so no window goes without).
+
+Equal windows have equal anchors. Runs of consecutive windows under one anchor make one row, a
+stretch. Spark keeps the stretches whose anchor stands in several documents (the shared symbols), and
+compares those by `print`, the 128-bit BLAKE2 hash of the stretch's words themselves: that settles
+stretches that are copied whole. Only where one anchor stands in different stretches are the single
+windows compared, again by the hash of their words. Names thus only bring windows together; no word
+is removed on the name of a symbol. Nothing is gathered per name: all groups are sums and minima that
+combine before the shuffle, and the rows of a name or print that is very frequent meet its sums by
+broadcast (kinveil.operators.skew).
 
 Edge cases: a null or wordless text has no words and loses none; texts shorter than the window lose
 none; equal windows in one document alone lose none; a row without an id neither loses words nor
-makes others lose any; rows that repeat an id count as one source (their spans are pooled). Other
-columns pass through whatever their names. An empty table gives an empty table.
+makes others lose any; rows that repeat an id count as one source (their spans are pooled). Long texts
+are worked on in parts that overlap by a window. Other columns pass through; one that has the name of
+an output is replaced by it. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, Words, arrow_map, mix, prefix, signed, slices, span
-from kinveil.operators.staging import stage
+from kinveil.llm._text import U, Words, arrow_map, combine, mix, replaced, units
+from kinveil.operators.skew import join_groups
+from kinveil.operators.staging import discard, stage
 
 #: One letter a round: r names runs, p names pairs. The symbols after each level in LEVELS can be anchors.
 ROUNDS = "rppprpppp"
@@ -60,7 +65,7 @@ class Symbols:
         joined, before, after = self.around()
         first = np.flatnonzero(np.concatenate([[True], (self.name[1:] != self.name[:-1]) | ~joined]))
         size = np.diff(np.append(first, len(self.name)))
-        named = np.where(size == 1, self.name[first], mix(self.name[first] * U(0xA24BAED4963EE407) + size.astype(U) * U(0x9FB21C651E98DF25) + salt))
+        named = np.where(size == 1, self.name[first], combine(self.name[first] ^ salt, size.astype(U)))
         return Symbols(named, np.add.reduceat(self.size, first), before[first], after[first + size - 1], self.lo[first], self.hi[first])
 
     def pairs(self, salt: U) -> Symbols:
@@ -70,7 +75,7 @@ class Symbols:
         paired[:-1] = left[:-1] & ~left[1:] & joined
         named = self.name.copy()
         at = np.flatnonzero(paired)
-        named[at] = mix(self.name[at] * U(0xA24BAED4963EE407) + self.name[at + 1] * U(0x9FB21C651E98DF25) + salt)
+        named[at] = combine(self.name[at] ^ salt, self.name[at + 1])
         keep = np.ones(len(left), bool)
         keep[at + 1] = False
         total = self.size.copy()
@@ -116,16 +121,28 @@ def anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     return starts, name
 
 
-STRETCH = T.StructType([T.StructField(n, t, False) for n, t in (("name", T.LongType()), ("print", T.LongType()), ("doc", T.LongType()), ("start", T.IntegerType()), ("n", T.IntegerType()))])
-_SPANS = "array<struct<start:int,n:int>>"
+def prints(words: Words, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """128-bit hashes of words[start:end] joined by spaces, as two columns of longs."""
+    flat, begin = words.flat
+    raw, hashed = memoryview(flat), hashlib.blake2b
+    spans = zip(begin[start].tolist(), (begin[end] - 1).tolist(), strict=True)
+    made = np.frombuffer(b"".join([hashed(raw[i:j], digest_size=16).digest() for i, j in spans]), "<i8").reshape(-1, 2)
+    return [np.ascontiguousarray(made[:, 0]), np.ascontiguousarray(made[:, 1])]
+
+
+STRETCH = "name long, p1 long, p2 long, doc long, start int, n int"
+WINDOW = "p1 long, p2 long, doc long, start int"
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
 
 
 def _stretches(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, _, data, off in slices(batch.column(1)):
-                words = Words(data, off)
+            for a, _, base, words, _ in units(batch.column(1), window - 1):
                 starts, name = anchors(words, window)
                 if not len(starts):
                     continue
@@ -133,123 +150,145 @@ def _stretches(window: int):
                 cut = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])]))
                 size = np.diff(np.append(cut, len(starts)))
                 begin, d = starts[cut], doc[cut]
-                whole = span(prefix(words.name), begin, begin + size + window - 1)
-                yield pa.record_batch([signed(name[cut]), signed(whole), pa.array(ids[a + d].astype(np.int64)), pa.array((begin - words.first[d]).astype(np.int32)), pa.array(size.astype(np.int32))], names=STRETCH.names)
+                whole = prints(words, begin, begin + size + window - 1)
+                yield _batch(STRETCH, [name[cut].view(np.int64), *whole, ids[a + d].astype(np.int64), (begin - words.first[d] + base).astype(np.int32), size.astype(np.int32)])
 
     return run
 
 
 def _windows(window: int):
-    """(doc, text, at: name, start, n) to one row a window."""
+    """(doc, text, at: start, n) to one row a window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at = batch.column("doc").to_numpy(), batch.column("at")
-            for a, b, data, off in slices(batch.column("text")):
-                words, part = Words(data, off), at.slice(a, b - a)
+            ids, at = batch.column(0).to_numpy(), batch.column(2)
+            for a, b, base, words, _ in units(batch.column(1), window - 1):
+                part = at.slice(a, b - a)
                 flat, per = part.flatten(), np.diff(part.offsets.to_numpy())
                 d = np.repeat(np.arange(b - a), per)
-                start, n = flat.field(1).to_numpy().astype(np.int64), flat.field(2).to_numpy().astype(np.int64)
+                start, n = (flat.field(k).to_numpy().astype(np.int64) - (base if k == 0 else 0) for k in (0, 1))
+                end = np.minimum(start + n, words.count[d] - window + 1)
+                start = np.maximum(start, 0)
+                ok = end > start
+                d, start, n = d[ok], start[ok], (end - start)[ok]
                 row = np.repeat(np.arange(len(d)), n)
                 local = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + start[row]
                 begin = words.first[d[row]] + local
-                ok = begin + window <= words.first[d[row] + 1]
-                row, local, begin = row[ok], local[ok], begin[ok]
-                prints = span(prefix(words.name), begin, begin + window)
-                yield pa.record_batch([pa.array(flat.field(0).to_numpy()[row]), signed(prints), pa.array(ids[a + d[row]]), pa.array(local.astype(np.int32))], names=["name", "print", "doc", "start"])
+                # A few at a time: what is held doesn't grow with the text.
+                for k in range(0, len(begin), 1 << 16):
+                    x = slice(k, k + (1 << 16))
+                    yield _batch(WINDOW, [*prints(words, begin[x], begin[x] + window), ids[a + d[row[x]]], (local[x] + base).astype(np.int32)])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, out: str = "spans") -> DataFrame:
     """docs with `spans`: the runs of word windows (first word, number of windows) that also start in a
     document of a smaller id; null where there are none."""
-    schema = docs.schema
-    key = "__sd_id"
+    key, spans = "__sd_id", "__sd_runs"
     lean = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
-    rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches")
+    rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches", "zstd")
     # Most names stand in one document alone, which no other can repeat: they go before anything else.
-    met = rows.groupBy("name").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").select("name")
-    rows = stage(rows.join(met, "name", "left_semi").select(*STRETCH.names), "met")
-
-    whole = rows.groupBy("name", "print").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    forms = whole.groupBy("name").agg(F.count("*").alias("forms"))
-    live = whole.join(forms.where("forms > 1").select("name", F.lit(True).alias("many")), "name", "left").where("many or most > least")
-    found = stage(rows.join(live, ["name", "print"]).where("doc > least or many").select(*STRETCH.names, (F.col("doc") > F.col("least")).alias("copied")), "shared")
-
+    ends = F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("rows")
+    names = stage(rows.groupBy("name").agg(*ends).where("most > least").select("name", "rows"), "names")
+    met = stage(join_groups(rows, names, ["name"], "rows", rows.count()), "met", "zstd")
+    discard(rows, names)
+
+    whole = stage(met.groupBy("name", "p1", "p2").agg(*ends), "whole")
+    forms = stage(whole.groupBy("name").agg(F.count("*").alias("forms")).where("forms > 1"), "forms")
+    many = join_groups(whole, forms.select("name", "forms", F.lit(True).alias("many")), ["name"], "forms", whole.count())
+    once = whole.join(forms.select("name"), "name", "left_anti").where("most > least").withColumn("many", F.lit(False))
+    live = stage(many.unionByName(once).select("p1", "p2", "least", "many", "rows"), "live")
+    shared = join_groups(met, live, ["p1", "p2"], "rows", met.count()).where("doc > least or many")
+    found = stage(shared.select("doc", "start", "n", (F.col("doc") > F.col("least")).alias("copied")), "shared", "zstd")
+    discard(met, whole, forms, live)
+
+    ask = found.where("not copied").groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("at"))
+    single = stage(arrow_map(lean.join(ask.hint("shuffle_hash"), "doc"), _windows(window), WINDOW), "windows", "zstd")
+    least = single.groupBy("p1", "p2").agg(*ends).where("most > least").select("p1", "p2", "least", "rows")
+    least = stage(least, "least")
+    late = join_groups(single, least, ["p1", "p2"], "rows", single.count()).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
+    runs = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias(spans))
     keyed = docs.select(F.col(id_col).cast("long").alias(key), *docs.columns)
-    text = keyed.columns.index(text_col)
-    ask = found.where("not copied").groupBy("doc").agg(F.collect_list(F.struct("name", "start", "n")).alias("at"))
+    joined = keyed.join(runs.withColumnRenamed("doc", key).hint("shuffle_hash"), key, "left")
+    return joined.select(*replaced(docs.columns, (out,)), F.col(spans).alias(out))
 
-    def split(batches):
-        def named(batch):
-            return pa.record_batch([batch.column(0), batch.column(text), batch.column(batch.num_columns - 1)], names=["doc", "text", "at"])
 
-        return _windows(window)(named(b) for b in batches)
-
-    single = arrow_map(keyed.join(ask.withColumnRenamed("doc", key).hint("shuffle_hash"), key), split, "name long, print long, doc long, start int")
-    least = single.groupBy("name", "print").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").drop("most")
-    late = single.join(least, ["name", "print"]).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
-    spans = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("__sd_spans"))
-    out = keyed.join(spans.withColumnRenamed("doc", key).hint("shuffle_hash"), key, "left")
-    return out.select(*[F.col(c) for c in schema.names], F.col("__sd_spans").alias("spans"))
-
-
-def keep_mask(count: np.ndarray, first: np.ndarray, spans: pa.Array, window: int) -> np.ndarray:
-    """Which words stay, for documents that hold words [first[d], first[d + 1])."""
-    step = np.zeros(int(first[-1]) + 1, np.int64)
+def keep_mask(words: Words, base: int, spans: pa.Array, window: int) -> np.ndarray:
+    """Which words stay; spans: those of each document of the unit, `base`: words before it."""
+    step = np.zeros(int(words.first[-1]) + 1, np.int32)
     flat, per = spans.flatten(), np.diff(spans.offsets.to_numpy()) if len(spans) else np.zeros(0, int)
     d = np.repeat(np.arange(len(spans)), per)
-    start, n = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
-    a = first[d] + np.minimum(start, count[d])
-    b = first[d] + np.minimum(start + n + window - 1, count[d])
+    start, n = (flat.field(k).to_numpy().astype(np.int64) - (base if k == 0 else 0) for k in (0, 1))
+    a = words.first[d] + np.clip(start, 0, words.count[d])
+    b = words.first[d] + np.clip(start + n + window - 1, 0, words.count[d])
     np.add.at(step, a, 1)
     np.add.at(step, b, -1)
     return np.cumsum(step[:-1]) == 0
 
 
-def kept(batch: pa.RecordBatch, text: pa.Array, spans: pa.Array, window: int) -> Iterator[tuple[int, int, bytes | None]]:
-    """(words, words removed, what is kept: words joined by one space) of every row."""
-    for a, b, data, off in slices(text):
-        words = Words(data, off)
-        stay = keep_mask(words.count, words.first, spans.slice(a, b - a), window)
-        raw = data.tobytes()
+def kept(text: pa.Array, spans: pa.Array, window: int) -> Iterator[tuple[int, int, bytes, bool]]:
+    """(words, words removed, what is kept: words joined by one space, whether the row ends) of every row,
+    of a long one part by part."""
+    for a, b, base, words, last in units(text):
+        stay = keep_mask(words, base, spans.slice(a, b - a), window)
+        flat, begin = words.flat
         for d in range(b - a):
             i, j = int(words.first[d]), int(words.first[d + 1])
-            mine = stay[i:j]
-            at = np.flatnonzero(mine) + i
-            yield j - i, j - i - len(at), b" ".join([raw[x:y] for x, y in zip(words.at[at].tolist(), words.end[at].tolist(), strict=True)])
+            x, y = int(begin[i]), int(begin[j])
+            gone = j - i - int(stay[i:j].sum())
+            mine = flat[x:y] if not gone else flat[x:y][np.repeat(stay[i:j], np.diff(begin[i : j + 1]))]
+            yield j - i, gone, mine[:-1].tobytes(), last
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, out: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
     """docs with the repeated words taken out of the text (the rest joined by one space; a text that
-    loses nothing stays as it is), and with `n_words` and `n_removed`."""
-    found = repeated_spans(docs, id_col, text_col, window)
-    names = docs.columns
-    text = names.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    loses nothing stays as it is), and with `n_words` and `n_removed` (or the names in `out`)."""
+    found = repeated_spans(docs, id_col, text_col, window, "__sd_spans")
+    names = replaced(docs.columns, out)
+    found = found.select(*names, F.col(text_col).alias("__sd_text"), "__sd_spans")
+    schema = T.StructType([*(docs.schema[c] for c in names), *(T.StructField(c, T.LongType()) for c in out)])
 
     def run(batches):
         for batch in batches:
-            rows = list(kept(batch, batch.column(text), batch.column(len(names)), window))
-            old = batch.column(text).to_pylist()
-            new = pa.array([t if not r[1] else r[2].decode() for t, r in zip(old, rows, strict=True)], batch.column(text).type)
-            cols = [new if k == text else batch.column(k) for k in range(len(names))]
-            yield pa.record_batch([*cols, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=schema.names)
+            text, rows, parts, words, removed = batch.column(len(names)), [], [], 0, 0
+            for n, gone, some, last in kept(text, batch.column(len(names) + 1), window):
+                words, removed = words + n, removed + gone
+                if some:
+                    parts.append(some)
+                if last:
+                    rows.append((b" ".join(parts) if removed else None, words, removed))
+                    parts, words, removed = [], 0, 0
+            old = text.to_pylist()
+            new = pa.array([t if r[0] is None else r[0].decode() for t, r in zip(old, rows, strict=True)], text.type)
+            columns = [new if c == text_col else batch.column(k) for k, c in enumerate(names)]
+            yield pa.record_batch([*columns, *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2))], names=schema.names)
 
     return arrow_map(found, run, schema)
 
 
+DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+
+
 def digest(docs: DataFrame, window: int = 50) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of (doc_id, text)."""
     found = repeated_spans(docs.select("doc_id", "text"), "doc_id", "text", window)
 
     def run(batches):
         for batch in batches:
-            rows = [(n, r, hashlib.sha256(k).hexdigest()) for n, r, k in kept(batch, batch.column(1), batch.column(2), window)]
-            yield pa.record_batch([batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return arrow_map(found, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+            rows, sha, words, removed, some = [], hashlib.sha256(), 0, 0, False
+            for n, gone, part, last in kept(batch.column(1), batch.column(2), window):
+                words, removed = words + n, removed + gone
+                if part:
+                    sha.update(b" " + part if some else part)
+                    some = True
+                if last:
+                    rows.append((words, removed, sha.hexdigest()))
+                    sha, words, removed, some = hashlib.sha256(), 0, 0, False
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
+            yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    return arrow_map(found, run, DIGEST)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -57,15 +57,49 @@ def test_matches_brute_force(spark, seed):
     assert sorted([tuple(r) for r in got], key=str) == brute(rows)
 
 
-def test_small_slices_and_windows(spark, monkeypatch):
+def test_small_windows(spark):
     rows = texts(9)
-    monkeypatch.setattr(sd.slices, "__defaults__", (2000,))
     got = sd.digest(spark.createDataFrame(rows, "doc_id long, text string"), window=7).collect()
     assert sorted([tuple(r) for r in got], key=str) == brute(rows, 7)
 
 
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_of_equal_polynomials_are_different(spark, n):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2**64 for any odd base."""
+    one = thue_morse(n)
+    two = one.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*words, one])), (2, " ".join([*words, two])), (3, " ".join([*words, one]))]
+    got = {r.doc_id: r.n_removed for r in sd.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    alphabet = {"a": "one", "b": "two"}
+    rows = [(1, " ".join(alphabet[c] for c in one)), (2, " ".join(alphabet[c] for c in two))]
+    assert sorted(map(tuple, sd.digest(spark.createDataFrame(rows, "doc_id long, text string"), window=n).collect())) == brute(rows, n)
+
+
+def test_long_text_in_parts(spark):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(9)}{rng.randrange(10**rng.randrange(1, 5))}" for _ in range(800_000)]
+    text = " ".join(long)
+    assert len(text) > 4_000_000
+    other = list(long)
+    for i in range(0, len(other), 977):
+        other[i] = "odd"
+    rows = [(1, " ".join(long[200_000:200_300])), (2, text), (3, "\n".join(long[399_000:401_000])), (4, " ".join(other)), (5, "z" * 3_000_000 + " " + " ".join(long[:80]))]
+    got = sd.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(rows)
+
+
 def test_empty_clashing_and_extra_columns(spark):
     schema = "doc_id long, text string, doc string, start int, name string"
+    clash = spark.createDataFrame([(1, "a b", 9, "x")], "doc_id long, text string, N_words int, spans string")
+    assert [tuple(r) for r in sd.dedup(clash).collect()] == [(1, "a b", "x", 2, 0)]
+    clash = sd.dedup(clash, out=("u", "v"))
+    assert [tuple(r) for r in clash.collect()] == [(1, "a b", 9, "x", 2, 0)]
     empty = sd.dedup(spark.createDataFrame([], schema))
     assert empty.count() == 0 and empty.columns[:5] == ["doc_id", "text", "doc", "start", "name"]
     t = " ".join(f"v{i}" for i in range(60))
