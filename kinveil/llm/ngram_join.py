@@ -1,20 +1,22 @@
 """N-gram Jaccard join: near-duplicate texts, found by MinHash and pruned by posterior probability.
 
-A text is the set of its runs of `n` words (a shorter text: of all its words, as one). Equal sets are
-one representative, the least id, from here on. MinHash values in BANDS bands of ROWS find candidates
-(a pair at the threshold 0.8 goes unfound with a probability of 4e-9); buckets with the same members
-count once. Inside a bucket, MinHash values of two texts are compared a few at a time; a pair is
-dropped as soon as the posterior probability that its Jaccard similarity reaches the threshold (from
-a uniform prior) is below `tolerance`. What survives joins representatives into groups, and within a
-group every pair is verified exactly on the sets of the whole texts.
-
-No table of pairs is ever made. A bucket or group is worked on in blocks of bounded size, each pair of
-blocks by itself, and yields sums of links and a spanning forest; Spark connects the forests.
+A text is the set of its runs of `n` words (a shorter text: of all its words, as one). Rows of equal
+sets are one representative from here on, told apart by a number of its own. MinHash values in BANDS
+bands of ROWS find candidates (a pair at the threshold 0.8 goes unfound with a probability of 4e-9);
+buckets with the same members count once. Inside a bucket, MinHash values of two texts are compared a
+few at a time; a pair is dropped as soon as the posterior probability that its Jaccard similarity
+reaches the threshold (from a uniform prior) is below `tolerance`. What survives joins representatives
+into groups, and within a group every pair is verified exactly on the sets of the whole texts.
+
+No table of pairs is ever made. A bucket or group is worked on in blocks of bounded rows and bytes, each
+pair of blocks by itself, and yields sums of links and a spanning forest; Spark connects the forests.
+A bucket, group or set of copies with very many rows meets its sums by broadcast.
 
 Edge cases: a null or wordless text is its own class without links; copies link to each other and to
-all that any of them links to, and are counted, not paired; rows that repeat an id are one document
-as far as classes go; rows without an id have a null class and no links; other columns are not used;
-an empty table gives an empty table.
+all that any of them links to, and are counted, not paired; rows that repeat an id count one by one: an
+exact repeat is a copy, another text under the id has its own links, and class ids are least ids of
+the rows' classes; rows without an id have a null class and no links; other columns are not used; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,37 +29,55 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kinveil.llm._text import U, Words, arrow_map, mix, prefix, signed, slices, span
+from kinveil.llm._text import U, Words, arrow_map, mix, signed, units, windows
 from kinveil.operators.components import components
-from kinveil.operators.staging import stage
+from kinveil.operators.skew import join_groups
+from kinveil.operators.staging import discard, stage
 
 BANDS, ROWS = 27, 3
 HASHES = BANDS * ROWS
-#: Most rows of one bucket, and texts of one group, that a block holds.
-BUCKET_BLOCK, TEXT_BLOCK = 1024, 256
+#: Most rows of one bucket, and texts and bytes of one group, that a block holds, about.
+BUCKET_BLOCK, TEXT_BLOCK, TEXT_BYTES = 1024, 1024, 4_000_000
 STEP = 9
 _rng = np.random.Generator(np.random.PCG64(5))
 _A = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
 _B = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle names of each text, ascending, and where each text's begin."""
-    per = np.where(words.count == 0, 0, np.maximum(words.count - n + 1, 1))
+def shingles(words: Words, n: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle names of each text, and where each text's begin. A text of fewer words than n has one
+    shingle; a part of a text (not whole) has none then."""
+    per = np.where(words.count == 0, 0, np.maximum(words.count - n + 1, int(whole)))
     d = np.repeat(np.arange(len(per)), per)
     local = np.arange(len(d)) - np.repeat(np.cumsum(per) - per, per)
-    start = words.first[d] + local
-    name = span(prefix(words.name), start, np.minimum(start + n, words.first[d + 1]))
-    edge = np.concatenate([[0], np.cumsum(per)])
-    keep = np.zeros(len(name), bool)
-    for i in np.flatnonzero(per):
-        part = name[edge[i] : edge[i + 1]]
-        part.sort()
-        keep[edge[i]] = True
-        np.not_equal(part[1:], part[:-1], out=keep[edge[i] + 1 : edge[i + 1]])
-    return name[keep], np.concatenate([[0], np.cumsum(keep)])[edge]
+    start, full = words.first[d] + local, words.count[d] >= n
+    name = np.empty(len(d), U)
+    name[full] = windows(words.name, n)[start[full]]
+    for c in np.unique(words.count[d[~full]]).tolist():
+        short = words.count[d] == c
+        name[short] = windows(words.name, c)[start[short]]
+    return name, np.concatenate([[0], np.cumsum(per)])
+
+
+def sets(texts: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, names, edge): the distinct shingle names of each text, ascending."""
+    held: list[np.ndarray] = []
+    for a, b, base, words, last in units(texts, n - 1):
+        name, edge = shingles(words, n, not base)
+        if held or not last:
+            held.append(name)
+            if not last:
+                continue
+            name = np.concatenate(held)
+            edge, held = np.array([0, len(name)]), []
+        keep = np.zeros(len(name), bool)
+        for i in np.flatnonzero(np.diff(edge)):
+            part = name[edge[i] : edge[i + 1]]
+            part.sort()
+            keep[edge[i]] = True
+            np.not_equal(part[1:], part[:-1], out=keep[edge[i] + 1 : edge[i + 1]])
+        yield a, b, name[keep], np.concatenate([[0], np.cumsum(keep)])[edge]
 
 
 def signatures(name: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -72,6 +92,10 @@ def signatures(name: np.ndarray, edge: np.ndarray) -> np.ndarray:
             continue
         a = edge[part[0]]
         mine, at = name[a : edge[part[-1] + 1]], edge[part] - a
+        if len(part) == 1 and len(mine) > 1 << 20:  # one long text, some at a time
+            some = [signatures(x, np.array([0, len(x)])) for x in np.array_split(mine, len(mine) >> 19)]
+            out[part[0]] = np.minimum.reduce(some)[0]
+            continue
         work = np.empty_like(mine)
         for k in range(HASHES):
             np.multiply(mine, _A[k], out=work)
@@ -155,20 +179,24 @@ def _fixed(column, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(c.to_pylist()), dtype).reshape(len(c), width)
 
 
+SETS = "row long, doc long, k1 long, k2 long, size long, sig binary"
+
+
 def _sets(n: int):
-    schema = pa.schema([("doc", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.binary())])
+    """(row, doc, text) to SETS; k1 and k2 name the set, and are null for a wordless text."""
 
     def run(batches):
         for batch in batches:
-            for a, b, data, off in slices(batch.column(1)):
-                name, edge = shingles(Words(data, off), n)
+            for a, b, name, edge in sets(batch.column(2), n):
                 full = np.flatnonzero(np.diff(edge))
                 k1, k2 = np.zeros(b - a, U), np.zeros(b - a, U)
                 if len(full):
                     k1[full] = np.add.reduceat(mix(name), edge[full])
                     k2[full] = np.add.reduceat(mix(name ^ U(0x5851F42D4C957F2D)), edge[full])
                 sig, empty = signatures(name, edge), np.diff(edge) == 0
-                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(k1.view(np.int64), mask=empty), pa.array(k2.view(np.int64), mask=empty), pa.array([None if e else s.tobytes() for s, e in zip(sig, empty, strict=True)], pa.binary())], schema=schema)
+                keys = [pa.array(k.view(np.int64), mask=empty) for k in (k1, k2)]
+                marks = pa.array([None if e else s.tobytes() for s, e in zip(sig, empty, strict=True)], pa.binary())
+                yield pa.record_batch([*(batch.column(k).slice(a, b - a) for k in (0, 1)), *keys, pa.array(np.diff(edge) * 8), marks], names=[x.split()[0] for x in SETS.split(", ")])
 
     return run
 
@@ -181,15 +209,15 @@ def _bands(batches):
         key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * U(0x9FB21C651E98DF25), sig.shape[:2])
         for k in range(ROWS):
             key = mix((key ^ sig[:, :, k]) * U(0xA24BAED4963EE407) + U(k))
-        yield pa.record_batch([signed(np.ascontiguousarray(key).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "doc"])
+        yield pa.record_batch([signed(np.ascontiguousarray(key).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "node"])
 
 
 def _buckets(least):
-    """Sorted (bucket, i, j, doc, sig) to the forest of what survives in each."""
+    """Sorted (bucket, i, j, node, sig) to the forest of what survives in each."""
 
     def run(batches):
         for table in whole_groups(batches, 3):
-            doc, sig, out = table.column("doc").to_numpy(), _fixed(table.column("sig"), np.uint32, HASHES), []
+            doc, sig, out = table.column("node").to_numpy(), _fixed(table.column("sig"), np.uint32, HASHES), []
             edge = _bounds(table, 3)
             size = np.diff(edge)
             two = edge[:-1][size == 2]
@@ -225,16 +253,15 @@ def overlaps(name: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 def _verify(n: int, threshold: float):
-    """Sorted (group, i, j, block, doc, copies, text) to (a, b, links): b null and the links of a, or an edge of the forest."""
+    """Sorted (group, i, j, block, node, copies, text) to (a, b, links): b null and the links of a, or an edge of the forest."""
 
     def run(batches):
         for table in whole_groups(batches, 3, 256):
             table = table.combine_chunks()
-            doc, copies, block = (table.column(c).to_numpy() for c in ("doc", "copies", "block"))
+            doc, copies, block = (table.column(c).to_numpy() for c in ("node", "copies", "block"))
             i, j = table.column(1).to_numpy(), table.column(2).to_numpy()
             names, sizes = [], []
-            for _, _, data, off in slices(table.column("text")):
-                x, e = shingles(Words(data, off), n)
+            for _, _, x, e in sets(table.column("text"), n):
                 names.append(x), sizes.append(np.diff(e))
             name, at = np.concatenate(names), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
             bounds, out = _bounds(table, 3), []
@@ -253,44 +280,57 @@ def _verify(n: int, threshold: float):
     return run
 
 
-def _cells(df: DataFrame, count: str, block: int) -> DataFrame:
-    """One row of df for each pair (i, j) of blocks of its group that its own block is part of."""
-    df = df.withColumn("blocks", F.expr(f"int(({count} - 1) div {block}) + 1")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+def _cells(df: DataFrame, blocks) -> DataFrame:
+    """One row of df for each pair (i, j) of its group's `blocks` blocks that its own block is part of."""
+    df = df.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     df = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # With more than one block, pairs of different blocks cover a block's own pairs only in (i, i).
     return df.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, tolerance: float = 1e-9) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, tolerance: float = 1e-9, row_col: str | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (the least id of those linked by any chain of
-    similarities of threshold or more) and n_links (documents that are that similar to this one)."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    every = stage(arrow_map(texts, _sets(n), "doc long, k1 long, k2 long, sig binary"), "sets")
+    similarities of threshold or more) and n_links (rows that are that similar to this one). row_col: a
+    column of distinct longs, none null, of a docs that is written down; else rows are numbered and written here."""
+    columns = F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")
+    if row_col:
+        texts = docs.select(F.col(row_col).alias("row"), *columns)
+    else:
+        texts = stage(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "texts", "zstd")
+    every = stage(arrow_map(texts, _sets(n), SETS), "sets", "zstd")
     real = every.where("doc is not null and k1 is not null")
-    sets = real.groupBy("k1", "k2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"))
-    sets = stage(sets, "representatives")
-    reps = stage(real.join(sets, ["k1", "k2"]).where("doc = least").select("doc", "sig").dropDuplicates(["doc"]), "signatures")
-
-    bands = stage(arrow_map(reps, _bands, "bucket long, doc long"), "bands")
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y"), F.min("doc").alias("first")).where("n > 1")
-    buckets = buckets.groupBy("n", "x", "y", "first").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    live = bands.join(buckets, "bucket").join(reps, "doc")
-    cells = _cells(live, "n", BUCKET_BLOCK).select("bucket", "i", "j", "doc", "sig")
+    # Any row can speak for its set; the class's id is the least of all rows.
+    chosen = real.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc").alias("least"), F.count("*").alias("copies"))
+    chosen = stage(chosen, "representatives")
+    reps = stage(real.join(chosen.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "sig"), "signatures", "zstd")
+
+    bands = stage(arrow_map(reps.select("node", "sig"), _bands, "bucket long, node long"), "bands", "zstd")
+    members = F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), members[0].alias("x"), members[1].alias("y"), F.min("node").alias("first")).where("n > 1")
+    buckets = stage(buckets.groupBy("n", "x", "y", "first").agg(F.min("bucket").alias("bucket")).select("bucket", "n", F.col("n").alias("many")), "buckets")
+    live = join_groups(bands, buckets, ["bucket"], "many", bands.count()).join(reps.select("node", "sig"), "node")
+    cells = _cells(live, F.expr(f"int((n - 1) div {BUCKET_BLOCK}) + 1")).select("bucket", "i", "j", "node", "sig")
     pairs = arrow_map(cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), _buckets(least_matches(threshold, tolerance)), "a long, b long")
-    groups = components(pairs)
-
-    weight = groups.groupBy("component").agg(F.count("*").alias("n"))
-    members = groups.join(weight, "component").select(F.col("node").alias("doc"), F.col("component").alias("group"), "n")
-    members = members.join(sets.select(F.col("least").alias("doc"), "copies"), "doc")
-    asked = texts.join(members.hint("shuffle_hash"), "doc")
-    cells = _cells(asked, "n", TEXT_BLOCK).select("group", "i", "j", "block", "doc", "copies", "text")
-    found = stage(arrow_map(cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "doc"), _verify(n, threshold), "a long, b long, links long"), "verified")
-
-    classes = components(found.where("b is not null")).withColumnRenamed("node", "least")
-    links = found.where("b is null").groupBy(F.col("a").alias("least")).agg(F.sum("links").alias("links"))
-    known = sets.join(classes, "least", "left").join(links, "least", "left")
-    known = known.select("k1", "k2", F.coalesce("component", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = real.join(known, ["k1", "k2"]).select(F.col("doc").alias("doc_id"), "class_id", "n_links")
+    groups = stage(components(pairs).join(reps.select("node", "size"), "node"), "groups")
+    discard(bands, buckets, reps)
+
+    weight = stage(groups.groupBy("component").agg(F.count("*").alias("n"), F.count("*").alias("many"), F.sum("size").alias("bytes")), "weights")
+    members = join_groups(groups, weight, ["component"], "many", groups.count()).drop("size")
+    members = members.join(chosen.select("node", "copies"), "node").withColumnRenamed("node", "row").withColumnRenamed("component", "group")
+    asked = texts.select("row", "text").join(members.hint("shuffle_hash"), "row").withColumnRenamed("row", "node")
+    blocks = F.expr(f"int(greatest((n - 1) div {TEXT_BLOCK}, bytes div {TEXT_BYTES})) + 1")
+    cells = _cells(asked, blocks).select("group", "i", "j", "block", "node", "copies", "text")
+    found = stage(arrow_map(cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node"), _verify(n, threshold), "a long, b long, links long"), "verified")
+
+    tied = stage(components(found.where("b is not null")).join(chosen.select("node", "least"), "node"), "classes")
+    least = stage(tied.groupBy("component").agg(F.min("least").alias("class_id"), F.count("*").alias("n")), "least")
+    classes = join_groups(tied.select("node", "component"), least, ["component"], "n", tied.count()).select("node", "class_id")
+    links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    known = chosen.join(classes, "node", "left").join(links, "node", "left")
+    known = known.select("k1", "k2", "copies", F.coalesce("class_id", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = stage(known, "known")
+    discard(groups, weight, found, tied, least, *([] if row_col else [texts]))
+    out = join_groups(real.select("doc", "k1", "k2"), known, ["k1", "k2"], "copies", every.count()).select(F.col("doc").alias("doc_id"), "class_id", "n_links")
     return out.unionAll(every.where("doc is null or k1 is null").select("doc", "doc", F.lit(0).cast("long")))
 
 

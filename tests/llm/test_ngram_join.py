@@ -60,7 +60,46 @@ def test_edges(spark):
     assert nj.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     rows = [(1, "a b c d e f", 1, 1, "x"), (None, "a b c d e f", 1, 1, "x"), (2, "a b c d e f", 2, 2, None), (2, "a b c d e f", 2, 2, None)]
     got = sorted(map(tuple, nj.near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
-    assert [g[:2] for g in got] == [(1, 1), (2, 1), (2, 1), (None, None)]
+    assert got == [(1, 1, 2), (2, 1, 2), (2, 1, 2), (None, None, 0)]
+
+
+def by_rows(rows):
+    """What near_duplicates() gives for rows that may repeat ids: brute() over row numbers."""
+    found = brute([(i, t) for i, (_, t) in enumerate(rows)])
+    classes = {}
+    for i, c, _ in found:
+        classes[c] = min(classes.get(c, 1 << 60), rows[i][0])
+    return sorted((rows[i][0], classes[c], n) for i, c, n in found)
+
+
+def test_rows_that_repeat_an_id(spark):
+    x = " ".join(f"w{i}" for i in range(60))
+    y, z = x + " more", "one two three four five six seven"
+    rows = [(1, x), (1, x), (2, y), (3, z), (1, z), (4, z + " eight"), (5, z), (5, x), (9, ""), (9, "")]
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == by_rows(rows)
+    assert [r.n_links for r in got if r.doc_id == 2] == [3]
+    rows = [(i // 3, t) for i, t in texts(3)]
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == by_rows(rows)
+
+
+def test_words_of_equal_polynomials_are_different(spark):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    for a, b in ((one, two), (" ".join(one), " ".join(two))):
+        rows = [(1, a), (2, b), (3, a)]
+        got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_long_texts_in_parts(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(450_000)]
+    near = ["odd" if i % 60 == 3 else w for i, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:200_000])), (4, " \n ".join(long)), (5, "a b c d")]
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
 
 
 def test_pruning_keeps_what_is_near():
