@@ -1,21 +1,26 @@
 """Byte-level BPE by a distinct-word table.
 
-Texts are split into words (the pieces that merges never cross) with numpy: code points have one of
-four classes, and word borders follow from class changes, the space before a word and contractions.
-Spark counts the distinct words; those that occur more than once, and often enough that there are at
-most `table_words` of them (a fixed bound on what is broadcast: about 40 bytes a word), are encoded once each by
-the tokenizers library into a table word name -> ids. Texts then join that table by position: each
-slice finds its distinct words, looks up their ids and lays them out in the order of the text. Words
-that the table lacks, which are above all those that occur once in the corpus, are encoded where
-they stand. Decoding joins ids to the vocabulary's pieces (bounded by the vocabulary).
-
-A word's name is a 64-bit fingerprint; with at most 2**20 names in the table, a word outside it has
-the name of one in it with probability below 1e-13.
+1. Split: each task splits its texts into words (the pieces that merges never cross, by the published
+   pattern) and writes them down as positions in a block's word list; a block is some 8 million
+   characters of one task. So texts are split once and the rest works on positions and words.
+2. Table: the word lists of all blocks are dealt by the words' checksums into BUCKETS buckets. A task
+   goes through its buckets one after the other and encodes each distinct word of a bucket once, by
+   the tokenizers library, whatever the number of blocks that ask; equal words are found by comparing
+   the words themselves. Lists travel packed, some thousand words a row, which is what keeps the
+   exchange a fraction of the text.
+3. Join: the ids go back to their blocks, where the rows take them by position.
+4. Decoding is a join of ids with the (id, piece) table; as ids are dense and the table is bounded by
+   the vocabulary, it is broadcast and joined by position (Arrow's take). join_pieces() does it, for
+   decode() and for the query alike.
+
+Every exchange is written by tasks and read by tasks; nothing goes through the driver. A task holds one
+block's word list, or one bucket's distinct words (all distinct words over BUCKETS).
 
 Edge cases: null is encoded as empty text (no ids); special tokens written in a text become their id,
-as in the library; repeated rows and any other columns pass through; an empty table gives an empty
-table. Tokenizer files with other pre-tokenization than byte level with its regex, with a
-normalizer, or with added tokens that strip or match whole words are refused.
+as in the library; repeated rows and any other columns pass through, but for columns with an output's
+name, which the output replaces; an empty table gives an empty table. A text longer than PART characters
+is split part by part. Tokenizer files with other pre-tokenization than byte level with its regex, with
+a normalizer, or with added tokens that strip or match whole words are refused.
 """
 
 from __future__ import annotations
@@ -23,66 +28,33 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import zlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, arrow_map, mix, prefix, signed, slices, span
+from kinveil.llm._text import arrow_map, replaced
 from kinveil.operators.staging import stage
 
-TABLE_WORDS = 1 << 20
-OTHER, LETTER, NUMBER, SPACE = range(4)
-
-
-@lru_cache(1)
-def classes() -> np.ndarray:
-    """Class of every code point: letter, number, white space or other, by Unicode's properties."""
-    out = np.zeros(0x110000, np.uint8)
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
-        for m in regex.finditer(pattern, every):
-            shift = lambda i: i if i < 0xD800 else i + 0x800
-            out[shift(m.start()) : shift(m.end() - 1) + 1] = kind
-    return out
-
-
-def split(code: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    """Where words start in code points `code`; edge: starts of the texts (each starts a word)."""
-    n = len(code)
-    kind = classes()[code]
-    fresh = np.zeros(n, bool)
-    fresh[edge] = True
-    change = fresh.copy()
-    change[1:] |= kind[1:] != kind[:-1]
-    first = np.flatnonzero(change)  # starts of runs of one class within one text
-    last = np.append(first[1:], n) - 1
-    k = kind[first]
-    open_end = np.append(fresh[first[1:]], True) if len(first) else np.zeros(0, bool)  # nothing follows in this text
-    begins = change.copy()
-    # The last white space before a word: an ordinary space goes with the word, any other stands alone.
-    gap = np.flatnonzero((k == SPACE) & ~open_end)
-    begins[last[gap]] = True
-    with_word = gap[code[last[gap]] == 0x20]
-    begins[first[with_word + 1]] = False
-    # Contractions: an apostrophe that starts a word, alone in its run, with one of seven endings.
-    lone = np.flatnonzero((code[first] == 0x27) & (first == last) & ~open_end)
-    lone = lone[begins[first[lone]] & (k[lone + 1] == LETTER)]
-    at = first[lone]
-    padded = np.append(code, [0, 0])
-    size = last[lone + 1] - first[lone + 1] + 1
-    a, b = padded[at + 1], np.where(size > 1, padded[at + 2], 0)
-    is_ = lambda x, y="\0": (a == ord(x)) & ((b == ord(y)) if y != "\0" else True)
-    one = is_("s") | is_("t") | is_("m") | is_("d")
-    two = is_("r", "e") | is_("v", "e") | is_("l", "l")
-    begins[at[one | two] + 1] = False
-    cut = at[one | two] + np.where(one, 2, 3)[one | two]
-    begins[cut[cut < n]] = True
-    return np.flatnonzero(begins)
+#: A block ends at so many characters, or so many distinct words.
+BLOCK_CHARS, BLOCK_WORDS = 8_000_000, 1 << 19
+#: Parts of the distinct-word table that are encoded one at a time.
+BUCKETS = 4096
+#: Characters of one text that are split at a time, and ids that are laid out or decoded at a time, about.
+PART, IDS = 1 << 20, 1 << 20
+#: Fixed value: the published pattern of byte-level pre-tokenization.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORD = regex.compile(PATTERN)
+#: White space after something else: no word goes across its start.
+_CUT = regex.compile(r"(?<=\S)\s")
 
 
 class Tokens:
@@ -101,181 +73,256 @@ class Tokens:
         self.tool.no_truncation()
         self.tool.no_padding()
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.find = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        self.find = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         # Byte level: printable bytes stand for themselves, the rest for code points from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
         vocabulary = self.tool.get_vocab(with_added_tokens=True)
-        self.pieces: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
+        pieces: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
-            self.pieces[i] = piece.encode() if piece in self.added else bytes(byte[c] for c in piece)
+            pieces[i] = piece.encode() if piece in self.added else bytes(byte[c] for c in piece)
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.decimals = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
 
     def encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tool.encode_batch_fast(words, add_special_tokens=False)]
 
+    def words(self, text: str) -> Iterator[list[str]]:
+        """The words of a text in order, a list for each part of it; special tokens are words."""
+        for k, piece in enumerate(self.find.split(text) if self.find else [text]):
+            if k % 2:
+                yield [piece]
+                continue
+            at = 0
+            while at < len(piece):
+                cut = _CUT.search(piece, at + PART) if len(piece) - at > 2 * PART else None
+                end = cut.start() if cut else len(piece)
+                yield _WORD.findall(piece[at:end] if at or end < len(piece) else piece)
+                at = end
+
 
 @lru_cache(4)
 def tokens(path: str) -> Tokens:
     return Tokens(path)
 
 
-class Split:
-    """The words of a slice of texts: per word its text row, its name and its code points' span."""
+@lru_cache(1)
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
 
-    def __init__(self, texts: list[str], tool: Tokens):
-        parts, row, special = [], [], []
-        for i, t in enumerate(texts):
-            at = 0
-            for m in tool.find.finditer(t) if tool.find else ():
-                if m.start() > at:
-                    parts.append(t[at : m.start()]), row.append(i), special.append(-1)
-                parts.append(m[0]), row.append(i), special.append(tool.added[m[0]])
-                at = m.end()
-            if at < len(t):
-                parts.append(t[at:] if at else t), row.append(i), special.append(-1)
-        self.raw = "".join(parts).encode("utf-32-le")
-        code = np.frombuffer(self.raw, np.uint32)
-        edge = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64)
-        mine = np.asarray(special, np.int64)
-        self.start = split(code, edge[:-1]) if len(code) else np.zeros(0, np.int64)
-        part = np.searchsorted(edge, self.start, "right") - 1
-        whole = mine[part] >= 0 if len(part) else np.zeros(0, bool)
-        keep = ~whole | (self.start == edge[part])  # a special token is one word
-        self.start, part = self.start[keep], part[keep]
-        self.special = mine[part] if len(part) else np.zeros(0, np.int64)
-        self.row = np.asarray(row, np.int64)[part] if len(part) else np.zeros(0, np.int64)
-        self.end = np.append(self.start[1:], len(code)) if len(code) else self.start
-        self.name = span(prefix(mix(code.astype(U) + U(0x1234567))), self.start, self.end) if len(code) else np.zeros(0, U)
-
-    def word(self, i: int) -> str:
-        return self.raw[4 * int(self.start[i]) : 4 * int(self.end[i])].decode("utf-32-le")
-
-
-def _texts(batch_column: pa.Array):
-    for a, b, _, _ in slices(batch_column):
-        yield a, b, ["" if t is None else t for t in batch_column.slice(a, b - a).to_pylist()]
-
-
-def least_count(words: DataFrame, most: int) -> int:
-    """The least n such that at most `most` words occur n times or more. Counts are added up by n, and
-    from 2**16 on by the power of two below, so what the driver gets does not grow with the words."""
-    step = F.when(F.col("n") < 1 << 16, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long"))
-    held, least = 0, 1 << 62
-    for r in sorted(words.groupBy(step.alias("n")).agg(F.count("*").alias("words")).collect(), reverse=True):
-        held += r.words
-        if held > most:
-            break
-        least = r.n
-    return least
-
-
-def word_table(docs: DataFrame, path: str, text_col: str = "text", table_words: int = TABLE_WORDS) -> dict[str, np.ndarray]:
-    """The distinct words that occur more than once, at most table_words of them by count, encoded:
-    sorted names, and ids from offset[i] to offset[i + 1] of each."""
-
-    def words(batches):
-        tool = tokens(path)
+def _packed(*parts: bytes) -> bytes:
+    """Byte strings in one, compressed."""
+    head = np.array([len(parts), *map(len, parts)], np.uint64).tobytes()
+    return _codec()[0].compress(head + b"".join(parts))
+
+
+def _unpacked(raw: bytes) -> list[memoryview]:
+    body = memoryview(_codec()[1].decompress(raw))
+    n = int.from_bytes(body[:8], "little")
+    edge = np.cumsum([8 * (n + 1), *np.frombuffer(body, np.uint64, n, 8).astype(np.int64)]).tolist()
+    return [body[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def _positions(x: np.ndarray) -> bytes:
+    """Positions by byte planes, as high bytes are mostly zero."""
+    return _packed(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unplaned(raw: bytes) -> np.ndarray:
+    plane = np.frombuffer(_unpacked(raw)[0], np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(plane.T).view(np.uint32).ravel()
+
+
+def _split(path: str, at: int, width: int):
+    """Rows (.., text, ..) to the same without the text and (block, bucket, data): the row's words as positions in
+    its block's list (bucket null), and rows with nothing but a bucket of the words of a block's list."""
+
+    def lists(block: int, number: dict[str, int], schema: pa.Schema) -> pa.RecordBatch:
+        raw = [w.encode() for w in number]
+        of = np.array([zlib.crc32(w) % BUCKETS for w in raw], np.int64)
+        size = np.array(list(map(len, raw)), np.int32)
+        order = np.argsort(of, kind="stable")
+        edge = np.flatnonzero(np.diff(of[order], prepend=-1, append=-1))
+        each = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        data = [_packed(x.astype(np.uint32).tobytes(), size[x].tobytes(), b"".join([raw[i] for i in x.tolist()])) for x in each]
+        n = len(data)
+        mine = [pa.array([block] * n, pa.int64()), pa.array(of[order][edge[:-1]].astype(np.int32)), pa.array(data, pa.binary())]
+        return pa.record_batch([*(pa.nulls(n, f.type) for f in list(schema)[:-3]), *mine], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, number, chars, schema = tokens(path), {}, 0, None
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for _, _, texts in _texts(batch.column(0)):
-                s = Split(texts, tool)
-                _, first, n = np.unique(s.name, return_index=True, return_counts=True)
-                plain = s.special[first] < 0
-                first, n = first[plain], n[plain]
-                yield pa.record_batch([signed(s.name[first]), pa.array([s.word(i) for i in first.tolist()], pa.string()), pa.array(n)], names=["name", "word", "n"])
-
-    def encoded(batches):
-        tool = tokens(path)
+            others = [k for k in range(width) if k != at]
+            schema = pa.schema([*(pa.field(batch.schema.names[k], batch.column(k).type) for k in others), ("__b_block", pa.int64()), ("__b_bucket", pa.int32()), ("__b_data", pa.binary())])
+            blocks, data, full = [], [], []
+            for i in range(len(batch)):
+                text = batch.column(at)[i].as_py() or ""
+                parts = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words)) for words in tool.words(text)]
+                data.append(_positions(np.concatenate(parts) if parts else np.zeros(0, np.uint32)))
+                blocks.append(block)
+                chars += len(text)
+                if chars >= BLOCK_CHARS or len(number) >= BLOCK_WORDS:
+                    full.append(lists(block, number, schema))
+                    number, chars, block = {}, 0, block + 1
+            yield pa.record_batch([*(batch.column(k) for k in others), pa.array(blocks, pa.int64()), pa.nulls(len(batch), pa.int32()), pa.array(data, pa.binary())], schema=schema)
+            yield from full
+        if number:
+            yield lists(block, number, schema)
+
+    return run
+
+
+def _encoded(path: str):
+    """(bucket, block, data: words) sorted by bucket to (block, data: their ids)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, known, now = tokens(path), {}, None
         for batch in batches:
-            ids = tool.encode(batch.column("word").to_pylist())
-            yield pa.record_batch([batch.column("name"), pa.array([np.asarray(i, np.int32).tobytes() for i in ids], pa.binary())], names=["name", "ids"])
-
-    found = arrow_map(docs.select(text_col).where(F.col(text_col).isNotNull()), words, "name long, word string, n long")
-    found = stage(found.groupBy("name").agg(F.min("word").alias("word"), F.sum("n").alias("n")).where("n > 1"), "words")
-    least = least_count(found, table_words)
-    top = arrow_map(found.where(F.col("n") >= least).repartition(64, "name"), encoded, "name long, ids binary").toArrow()
-    name = top.column("name").to_numpy().view(U)
-    order = np.argsort(name)
-    ids = top.column("ids").combine_chunks().take(pa.array(order))
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    lengths = np.array([len(x.as_buffer()) // 4 for x in ids], np.int64)
-    flat = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in ids), np.int32)
-    return {"name": name[order], "offset": np.concatenate([[0], np.cumsum(lengths)]), "ids": flat}
-
-
-def lay_out(texts: list[str], tool: Tokens, table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """ids of all texts in order, and where each text's begin (and the last's end)."""
-    s = Split(texts, tool)
-    name, first, back = np.unique(s.name, return_index=True, return_inverse=True)
-    known = table["name"]
-    at = np.minimum(np.searchsorted(known, name), max(len(known) - 1, 0))
-    hit = known[at] == name if len(known) else np.zeros(len(name), bool)
-    hit &= s.special[first] < 0
-    start = np.zeros(len(name), np.int64)
-    size = np.ones(len(name), np.int64)
-    start[hit] = table["offset"][at[hit]]
-    size[hit] = table["offset"][at[hit] + 1] - start[hit]
-    rest = np.flatnonzero(~hit)
-    special = s.special[first[rest]]
-    fresh = rest[special < 0]
-    own = dict(zip(fresh.tolist(), tool.encode([s.word(i) for i in first[fresh].tolist()]), strict=True))
-    own |= {int(i): [int(x)] for i, x in zip(rest[special >= 0], special[special >= 0], strict=True)}
-    size[rest] = [len(own[i]) for i in rest.tolist()]
-    start[rest] = len(table["ids"]) + np.cumsum(size[rest]) - size[rest]
-    pool = np.concatenate([table["ids"], np.fromiter((x for i in rest.tolist() for x in own[i]), np.int32)]) if len(rest) else table["ids"]
-    per = size[back]
-    ends = np.cumsum(per)
-    ids = pool[np.repeat(start[back] - (ends - per), per) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    words = np.searchsorted(s.row, np.arange(len(texts) + 1))
-    return ids, np.concatenate([[0], ends])[words]
-
-
-def encode(docs: DataFrame, path: str, text_col: str = "text", table_words: int = TABLE_WORDS, out: str = "ids") -> DataFrame:
-    """docs with `ids`: array<int>. With out="digest", instead of the text: n_tokens, ids_sha256, decoded_sha256."""
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(word_table(docs, path, text_col, table_words))
-    at = docs.columns.index(text_col)
-    if out == "ids":
-        schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-    else:
-        schema = T.StructType([f for k, f in enumerate(docs.schema.fields) if k != at] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-
-    def run(batches):
-        tool = tokens(path)
-        decimal = [b"%d" % i for i in range(len(tool.pieces))]
+            out = []
+            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
+                place, size, text = _unpacked(raw)
+                end = np.cumsum(np.frombuffer(size, np.int32)).tolist()
+                text = bytes(text)
+                words = [text[a:b] for a, b in zip([0, *end], end, strict=False)]
+                new = [w for w in dict.fromkeys(words) if w not in known]
+                known.update(zip(new, (np.asarray(x, np.int32).tobytes() for x in tool.encode([w.decode() for w in new])), strict=True))
+                ids = [known[w] for w in words]
+                out.append(_packed(place, (np.array(list(map(len, ids)), np.int32) // 4).tobytes(), b"".join(ids)))
+            yield pa.record_batch([batch.column(1), pa.array(out, pa.binary())], names=["__b_block", "__b_data"])
+
+    return run
+
+
+class _Table:
+    """A block's ids by position, gathered from its buckets."""
+
+    def __init__(self):
+        self.parts, self.start, self.size, self.pool = [], None, None, None
+
+    def add(self, raw: bytes) -> None:
+        self.parts.append([np.frombuffer(x, t).copy() for x, t in zip(_unpacked(raw), (np.uint32, np.int32, np.int32), strict=True)])
+
+    def lay_out(self, at: np.ndarray) -> np.ndarray:
+        """ids of the words at these positions, in order."""
+        if not len(at):
+            return np.zeros(0, np.int32)
+        if self.start is None:
+            place, size, self.pool = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            self.start, self.size = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+            self.size[place], self.start[place] = size, np.cumsum(size) - size
+            self.parts = []
+        out = []
+        for k in range(0, len(at), IDS):
+            x = at[k : k + IDS]
+            per = self.size[x]
+            end = np.cumsum(per)
+            out.append(self.pool[np.repeat(self.start[x] - (end - per), per) + np.arange(int(end[-1]))])
+        return np.concatenate(out)
+
+
+def join_pieces(ids: np.ndarray, pieces: pa.Array) -> Iterator[memoryview]:
+    """The pieces of ids in order, joined; IDS of them at a time. Ids without a piece are an error."""
+    for k in range(0, len(ids), IDS):
+        part = pieces.take(pa.array(ids[k : k + IDS]))
+        edge = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        yield memoryview(part.buffers()[2])[int(edge[0]) : int(edge[-1])] if edge[-1] > edge[0] else memoryview(b"")
+
+
+def decoded(ids: np.ndarray, pieces: pa.Array) -> str:
+    return b"".join(join_pieces(ids, pieces)).decode("utf-8", "replace")
+
+
+def _joined(path: str, width: int, columns: Callable):
+    """(.., block, bucket, data) sorted by block, its ids before its rows, to (.., what columns(tool, ids) makes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, now, table = tokens(path), None, _Table()
         for batch in batches:
-            for a, b, texts in _texts(batch.column(at)):
-                ids, edge = lay_out(texts, tool, table.value)
-                part = batch.slice(a, b - a)
-                if out == "ids":
-                    flat = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                    yield pa.record_batch([*part.columns, flat], names=schema.names)
-                    continue
-                rows = []
-                for i in range(b - a):
-                    mine = ids[edge[i] : edge[i + 1]].tolist()
-                    text = b"".join([tool.pieces[x] for x in mine]).decode("utf-8", "replace").encode()
-                    rows.append((len(mine), hashlib.sha256(b",".join([decimal[x] for x in mine])).hexdigest(), hashlib.sha256(text).hexdigest()))
-                cols = [c for k, c in enumerate(part.columns) if k != at]
-                yield pa.record_batch([*cols, *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))], names=schema.names)
-
-    return arrow_map(docs, run, schema)
+            block, of, data = (batch.column(k).to_pylist() for k in range(width, width + 3))
+            rows, ids = [], []
+            for i in range(len(batch)):
+                if block[i] != now:
+                    now, table = block[i], _Table()
+                if of[i] is not None:
+                    table.add(data[i])
+                else:
+                    rows.append(i), ids.append(table.lay_out(_unplaned(data[i])))
+            if rows:
+                mine = batch.take(pa.array(rows))
+                made = columns(tool, ids)
+                yield pa.record_batch([*mine.columns[:width], *made.values()], names=[*batch.schema.names[:width], *made])
+
+    return run
+
+
+def _mapped(docs: DataFrame, path: str, text_col: str, added: T.StructType, columns: Callable, keep_text: bool) -> DataFrame:
+    names = replaced(docs.columns, tuple(added.names))
+    source = docs.select(*(F.col(c) for c in names if keep_text or c != text_col), F.col(text_col).alias("__b_text"))
+    fields = [T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:-1]]
+    extra = [T.StructField("__b_block", T.LongType()), T.StructField("__b_bucket", T.IntegerType()), T.StructField("__b_data", T.BinaryType())]
+    width = len(fields)
+    parts = stage(arrow_map(source, _split(path, width, width + 1), T.StructType([*fields, *extra])), "words", "zstd")
+    lists = parts.where("__b_bucket is not null").select("__b_bucket", "__b_block", "__b_data").repartition("__b_bucket").sortWithinPartitions("__b_bucket")
+    table = arrow_map(lists, _encoded(path), "__b_block long, __b_data binary")
+    table = table.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in fields), "__b_block", F.lit(0).alias("__b_bucket"), "__b_data")
+    both = parts.where("__b_bucket is null").unionByName(table).repartition("__b_block")
+    both = both.sortWithinPartitions("__b_block", F.col("__b_bucket").asc_nulls_last())
+    return arrow_map(both, _joined(path, width, columns), T.StructType([*fields, *added.fields]))
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", keep_text: bool = True) -> DataFrame:
+    """docs, in any order, with `ids`: array<int>; without the text if keep_text is false."""
+
+    def columns(tool: Tokens, ids: list[np.ndarray]) -> dict[str, pa.Array]:
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+        return {out: pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(ids), pa.int32()))}
+
+    added = T.StructType([T.StructField(out, T.ArrayType(T.IntegerType(), True))])
+    return _mapped(docs, path, text_col, added, columns, keep_text)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """encoded with the text of its ids; null ids give null, ids outside the vocabulary are an error."""
-    schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
-    at = encoded.columns.index(ids_col)
+    names = replaced(encoded.columns, (out,))
+    source = encoded.select(*names, F.col(ids_col).alias("__b_ids"))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField(out, T.StringType())])
 
     def run(batches):
         pieces = tokens(path).pieces
         for batch in batches:
-            text = [None if x is None else b"".join([pieces[i] for i in x]).decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(text, pa.string())], names=schema.names)
+            each = (batch.column(len(names))[i] for i in range(len(batch)))
+            text = [decoded(x.values.to_numpy(zero_copy_only=False), pieces) if x.is_valid else None for x in each]
+            yield pa.record_batch([*batch.columns[:-1], pa.array(text, pa.string())], names=schema.names)
+
+    return arrow_map(source, run, schema)
+
+
+def _digest(tool: Tokens, ids: list[np.ndarray]) -> dict[str, pa.Array]:
+    n, ids_sha, text_sha = [], [], []
+    for x in ids:
+        n.append(len(x))
+        numbers = hashlib.sha256()
+        for k, part in enumerate(join_pieces(x, tool.decimals)):
+            if k:
+                numbers.update(b",")
+            numbers.update(part[:-1])
+        ids_sha.append(numbers.hexdigest())
+        text_sha.append(hashlib.sha256(decoded(x, tool.pieces).encode()).hexdigest())
+    return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+
 
-    return arrow_map(encoded, run, schema)
+def digest(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """docs with, in place of the text, n_tokens, ids_sha256 and decoded_sha256 of what encode() and decode()
+    give, taken where they are made: ids don't travel."""
+    added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    return _mapped(docs, path, text_col, added, _digest, False)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), out="digest")
+    return digest(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -3,13 +3,11 @@ import random
 
 import numpy as np
 import public_tokenizers
-import pytest
 from tokenizers import Tokenizer
 
 from kinveil.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-NONE = {"name": np.zeros(0, np.uint64), "offset": np.zeros(1, np.int64), "ids": np.zeros(0, np.int32)}
 
 
 def samples(seed, n):
@@ -18,41 +16,65 @@ def samples(seed, n):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 25))) for _ in range(n)]
 
 
-def test_layout_equals_library():
-    tool = Tokenizer.from_file(PATH)
+def test_words_equal_the_library():
+    """Encoding word by word gives what the library gives for whole texts."""
+    tool, ours = Tokenizer.from_file(PATH), bpe.tokens(PATH)
     texts = samples(3, 6000)
-    ids, edge = bpe.lay_out(texts, bpe.tokens(PATH), NONE)
-    for i, (t, e) in enumerate(zip(texts, tool.encode_batch(texts, add_special_tokens=False), strict=True)):
-        got = ids[edge[i] : edge[i + 1]].tolist()
+    for t, e in zip(texts, tool.encode_batch(texts, add_special_tokens=False), strict=True):
+        words = [w for part in ours.words(t) for w in part]
+        assert "".join(words) == t
+        got = [i for w in words for i in ours.encode([w])[0]]
         assert got == e.ids, (t, e.tokens)
-        assert b"".join(bpe.tokens(PATH).pieces[x] for x in got).decode("utf-8", "replace") == tool.decode(e.ids, skip_special_tokens=False)
+        assert bpe.decoded(np.array(got, np.int32), ours.pieces) == tool.decode(e.ids, skip_special_tokens=False)
+
 
+def test_parts_of_a_text_give_the_same_words(monkeypatch):
+    monkeypatch.setattr(bpe, "PART", 7)
+    ours = bpe.tokens(PATH)
+    for t in [*(" ".join(samples(8 + k, 40)) for k in range(60)), "a" * 100, " " * 100 + "b", "x   " * 50]:
+        assert [w for part in ours.words(t) for w in part] == [w for piece in [t] for part in whole(ours, piece) for w in part]
 
-def test_every_code_point_has_its_class():
-    tool = Tokenizer.from_file(PATH).pre_tokenizer
-    kinds = bpe.classes()
-    for c in [*range(1, 0x3000), 0x3000, 0xFEFF, 0x1D7CE, 0x20000, 0x1F600, 0xE0100, 0xAC00]:
-        alone = [p for p, _ in tool.pre_tokenize_str(f"a{chr(c)}1{chr(c)}.")]
-        want = {bpe.LETTER: 4, bpe.NUMBER: 3, bpe.OTHER: 4}.get(kinds[c])
-        if want:
-            assert len(alone) == want, hex(c)
 
+def whole(ours, text):
+    for k, piece in enumerate(ours.find.split(text)):
+        yield [piece] if k % 2 else bpe._WORD.findall(piece)
 
-def test_least_count(spark):
-    words = spark.createDataFrame([(2,), (2,), (3,), (9,), (70000,), (99999,)], "n long")
-    assert [bpe.least_count(words, k) for k in (6, 5, 4, 2, 1)] == [2, 3, 3, 65536, 1 << 62]
 
+def rows(texts):
+    return [(i, t, 1, i) for i, t in enumerate(texts)], "doc_id long, text string, word int, n_Tokens long"
 
-@pytest.mark.parametrize("table_words", [1 << 20, 5])
-def test_query_shape(spark, table_words):
+
+def test_rows_equal_the_library(spark):
     tool = Tokenizer.from_file(PATH)
-    texts = [*samples(5, 300), None, "", "the cat's hat " * 3000, "the cat's hat " * 3000]
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, word int").repartition(3)
-    got = {r.doc_id: r for r in bpe.encode(df, PATH, table_words=table_words, out="digest").collect()}
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    texts = [*samples(5, 300), None, "", "the cat's hat " * 3000, "the cat's hat " * 3000, one, one.translate(str.maketrans("ab", "ba"))]
+    df = spark.createDataFrame(*rows(texts)).repartition(3)
+    got = {r.doc_id: r for r in bpe.digest(df, PATH).collect()}
+    assert sorted(got) == list(range(len(texts)))
     for i, t in enumerate(texts):
         e = tool.encode(t or "", add_special_tokens=False).ids
         assert got[i].n_tokens == len(e) and got[i].ids_sha256 == hashlib.sha256(",".join(map(str, e)).encode()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256(tool.decode(e, skip_special_tokens=False).encode()).hexdigest()
-    both = bpe.decode(bpe.encode(df, PATH, table_words=table_words), PATH).collect()
-    assert all(r.decoded == (r.text or "") for r in both)
-    assert bpe.encode(spark.createDataFrame([], df.schema), PATH, out="digest").count() == 0
+    both = bpe.decode(bpe.encode(df, PATH), PATH).collect()
+    assert len(both) == len(texts) and all(r.decoded == (r.text or "") and r.n_Tokens == r.doc_id for r in both)
+    lean = bpe.encode(df, PATH, out="N_TOKENS", keep_text=False)
+    assert lean.columns == ["doc_id", "word", "N_TOKENS"] and lean.count() == len(texts)
+
+
+def test_edges(spark):
+    empty = spark.createDataFrame([], rows([])[1])
+    assert bpe.digest(empty, PATH).count() == 0 and bpe.encode(empty, PATH).columns == [*empty.columns, "ids"]
+    same = spark.createDataFrame([(1, "x y"), (1, "x y"), (None, "x y"), (2, None)], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in bpe.digest(same, PATH).collect()) == [0, 2, 2, 2]
+    back = spark.createDataFrame([(1, [464, 3797]), (2, None), (3, [])], "id int, ids array<int>")
+    assert [r.decoded for r in bpe.decode(back, PATH).orderBy("id").collect()] == ["The cat", None, ""]
+
+
+def test_blocks_and_buckets(spark):
+    """Many blocks and a text of several parts: same ids."""
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(400_000)), *samples(6, 50), "the cat " * 300_000]
+    tool = Tokenizer.from_file(PATH)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_tokens for r in bpe.digest(df, PATH).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(tool.encode(t, add_special_tokens=False).ids) for t in texts]
