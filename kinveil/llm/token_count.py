@@ -9,28 +9,33 @@ byte pieces where the file has these pieces (byte fallback), else as one token.
 never read from the text itself.
 
 Spaces become the word mark first. No piece has a mark after another character (checked), so texts
-fall into words, whose scores add up; each slice of texts counts its distinct words once, and a worker
-remembers up to REMEMBERED words. With whole-number scores (as in the file the query uses) sums are
-exact, so that words and whole texts give equal ties.
-
-Edge cases: null and empty text count 0; other columns pass through whatever their names; texts of any
-length are counted whole; an empty table gives an empty table.
+fall into words, whose scores add up. With whole-number scores (as in the file the query uses) sums are
+exact, so words and whole texts give equal ties: then each batch of texts counts its distinct words once,
+and a worker remembers up to REMEMBERED words, by the words themselves. With other scores a sum's
+rounding depends on what stands before, so whole texts are counted from their start, as the library does.
+
+Edge cases: null and empty text count 0; other columns pass through, but for one with the output's name,
+which it replaces; texts of any length are counted whole; repeated rows count alike; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import U, arrow_map, mix, prefix, slices, span
+from kinveil.llm._text import arrow_map, replaced
 
 MARK = "▁"
 REMEMBERED = 500_000
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class Unigram:
@@ -44,7 +49,8 @@ class Unigram:
             if p:
                 self.automaton.add_word(p, (len(p), s, i == unk_id))
         self.automaton.make_automaton()
-        self.known: dict[int, int] = {}
+        self.known: dict[str, int] = {}
+        self.whole = all(float(s).is_integer() for _, s in pieces)
         self.unk, self.fallback = pieces[unk_id][0], fallback
 
     def unknown(self, run: str) -> int:
@@ -82,28 +88,23 @@ class Unigram:
         return at(len(word))
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        edge = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-        raw = "".join(texts).replace(" ", MARK).encode("utf-32-le")
-        code = np.frombuffer(raw, np.uint32)
-        if not len(code):
-            return np.zeros(len(texts), np.int64)
-        mark = code == ord(MARK)
-        begins = mark.copy()
-        begins[1:] &= ~mark[:-1]
-        begins[edge[:-1][edge[:-1] < len(code)]] = True
-        start = np.flatnonzero(begins)
-        end = np.append(start[1:], len(code))
-        name, first, back = np.unique(span(prefix(mix(code.astype(U) + U(0x1234567))), start, end), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, n = self.known, np.empty(len(name), np.int64)
-        for k, (key, i) in enumerate(zip(name.tolist(), first.tolist(), strict=True)):
-            got = known.get(key)
-            if got is None:
-                got = known[key] = self.count(raw[4 * int(start[i]) : 4 * int(end[i])].decode("utf-32-le"))
-            n[k] = got
-        sums = np.concatenate([[0], np.cumsum(n[back])])
-        return np.diff(sums[np.searchsorted(start, edge)])
+        return np.array([self._words(t.replace(" ", MARK)) for t in texts], np.int64)
+
+    def _words(self, text: str) -> int:
+        if not self.whole:
+            return self.count(text)
+        known, total = self.known, 0
+        for m in _WORD.finditer(text):
+            word = m[0]
+            n = known.get(word)
+            if n is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                n = self.count(word)
+                if len(word) < 64:  # long words are rare, and would fill the memory
+                    known[word] = n
+            total += n
+        return total
 
 
 def pieces(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -130,16 +131,16 @@ def unigram(path: str) -> Unigram:
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens") -> DataFrame:
     """docs with the number of tokens of each text."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
-    at = docs.columns.index(text_col)
+    names = replaced(docs.columns, (out,))
+    source = docs.select(*names, F.col(text_col).alias("__tc_text"))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField(out, T.LongType())])
 
     def run(batches):
         for batch in batches:
-            text = batch.column(at)
-            n = [unigram(path).counts(["" if t is None else t for t in text.slice(a, b - a).to_pylist()]) for a, b, _, _ in slices(text)]
-            yield pa.record_batch([*batch.columns, pa.array(np.concatenate([*n, np.zeros(0, np.int64)]))], names=schema.names)
+            n = unigram(path).counts([t.as_py() or "" for t in batch.column(len(names))])
+            yield pa.record_batch([*batch.columns[:-1], pa.array(n)], names=schema.names)
 
-    return arrow_map(docs, run, schema)
+    return arrow_map(source, run, schema)
 
 
 def op10_token_count(spark, sf_dir: str) -> DataFrame:
