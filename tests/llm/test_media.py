@@ -33,7 +33,7 @@ def test_round_trips():
     assert m.decode(four).tolist() == [[9, 7, 7]]
 
 
-@pytest.mark.parametrize("bad", [None, b"", b"P5", b"P5\n2 2\n255\nab", b"P5\n0 2\n255\n", b"BM123", b"GIF89a", b"P9\n1 1\n255\na", b"P5\n-1 2\n255\nabcd", m.to_bmp(np.ones((4, 4), np.uint8))[:-5]])
+@pytest.mark.parametrize("bad", [None, b"", b"P5", b"P5\n2 2\n255\nab", b"P5\n0 2\n255\n", b"BM123", b"GIF89a", b"P9\n1 1\n255\na", b"P5\n-1 2\n255\nabcd", b"P5\n99999999999 99999999999\n255\nab", b"P5 999999999 999999999 255 ab", b"P2 1 1 255 99999999999999999999999", b"P6 70000 70000 255\n" + b"a" * 99, m.to_bmp(np.ones((4, 4), np.uint8))[:-5]])
 def test_malformed(bad):
     assert m.decode(bad) is None
 
@@ -47,6 +47,16 @@ def test_resize_is_exact():
     assert m.difference_hash(np.tile(np.arange(9), (8, 1))) == "f" * 16 and m.difference_hash(np.ones((50, 3))) == "0" * 16
 
 
+def test_greatest_sample_is_white(spark):
+    x = RNG.integers(0, 10, (8, 8), dtype=np.uint8)
+    deep = (RNG.integers(0, 1001, (8, 8))).astype(">u2")
+    rows = [(1, b"P5\n8 8\n9\n" + x.tobytes(), "a", True), (2, b"P5 8 8 1000\n" + deep.tobytes(), "b", None)]
+    got = m.tiles(spark.createDataFrame(rows, "doc_id long, media binary, dHash string, ok boolean"), height=8, width=8).collect()
+    assert got[0].asDict().keys() == {"doc_id", "media", "ok", "height", "width", "channels", "tile", "dhash"}
+    assert np.load(io.BytesIO(got[0].tile)).tolist() == np.rint(x * (255 / 9)).tolist()
+    assert np.load(io.BytesIO(got[1].tile)).tolist() == np.rint(deep * (255 / 1000)).tolist()
+
+
 def test_columns_and_texts(spark):
     x = RNG.integers(0, 256, (40, 30), dtype=np.uint8)
     df = spark.createDataFrame([(1, m.to_pgm(x), 5), (2, None, 6), (3, b"no", 7), (1, m.to_pgm(x), 5)], "doc_id long, media binary, tile_x int")
