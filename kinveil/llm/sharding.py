@@ -8,8 +8,8 @@ own into one partial partition, and those meet again FAN at a time until one is
 holds is bounded at each level and the last level's spread is that of a few small numbers.
 
 Shard and slot come back down by joins: group -> part of its cell -> ... -> shard. Slots count up by
-cell, group, and a salted share of the group's rows, so that a group of copies that holds a third of
-all rows is numbered by many tasks.
+cell, group, and a share of the group's rows (kinveil.llm._number), so that a group of copies that holds
+a third of all rows is numbered by many tasks.
 
 Edge cases: null text counts as no bytes and shares a group with empty text; a group larger than a
 shard's fair share has its shard to itself as far as differencing can tell; rows of one id are rows
@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinveil.llm._number import numbered
+from kinveil.llm._text import replaced
+from kinveil.operators.skew import join_groups
 from kinveil.operators.staging import stage
 
 CELL = 4096
 FAN = 128
-#: Rows of one group that one task numbers, about.
-SALTED = 4096
 
 
 def difference(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,13 +89,13 @@ def _meet(shards: int):
     return run
 
 
-def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, text_col: str = "text") -> DataFrame:
     """docs without the text, with `size`, `text_crc32`, `shard` and `slot`."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    others = [c for c in docs.columns if c != text_col]
-    g1, g2, salt, size = "__sh_g1", "__sh_g2", "__sh_salt", "__sh_size"
-    rows = docs.select(*others, F.octet_length(text).cast("long").alias(size), F.crc32(text.cast("binary")).alias("__sh_crc"), F.xxhash64(text).alias(g1), F.xxhash64(F.lit(17), text).alias(g2))
-    rows = stage(rows.withColumn(size, F.col(size) + 8), "sizes")
+    others = replaced([c for c in docs.columns if c != text_col], ("size", "text_crc32", "shard", "slot"))
+    g1, g2, size, row = "__sh_g1", "__sh_g2", "__sh_size", "__sh_row"
+    measures = (F.octet_length(text).cast("long") + 8).alias(size), F.crc32(text.cast("binary")).alias("__sh_crc"), F.xxhash64(text).alias(g1), F.xxhash64(F.lit(17), text).alias(g2)
+    rows = stage(docs.select(*others, *measures, F.monotonically_increasing_id().alias(row)), "sizes")
     groups = rows.groupBy(F.col(g1).alias("g1"), F.col(g2).alias("g2")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
     groups = stage(groups, "groups")
     cells = max(1, -(-groups.count() // CELL))
@@ -114,17 +115,15 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
 
     counts = leaf.groupBy("cell", "part").agg(F.sum("n").alias("n"))
     base = counts.join(goes, ["cell", "part"]).withColumn("base", F.sum("n").over(W.partitionBy("to").orderBy("cell").rowsBetween(W.unboundedPreceding, 0)) - F.col("n"))
-    placed = leaf.join(base.select("cell", "part", F.col("to").alias("shard"), "base"), ["cell", "part"]).select(F.col("g1").alias(g1), F.col("g2").alias(g2), F.col("shard").alias("__sh_to"), (F.col("base") + F.col("before")).alias("__sh_slot"), F.col("n").alias("__sh_n"))
-
-    salted = rows.join(placed, [g1, g2]).withColumn(salt, F.pmod(F.xxhash64(F.col(id_col)), F.expr(f"__sh_n div {SALTED} + 1")))
-    # Dealt anew: else the join's partitioning by group would do for what follows.
-    copied = salted.where("__sh_n > 1").repartition(g1, g2, salt)
-    share = copied.groupBy(g1, g2, salt).agg(F.count("*").alias("__sh_m"))
-    share = share.select(g1, g2, salt, (F.sum("__sh_m").over(W.partitionBy(g1, g2).orderBy(salt).rowsBetween(W.unboundedPreceding, 0)) - F.col("__sh_m")).alias("__sh_ahead"))
-    within = F.row_number().over(W.partitionBy(g1, g2, salt).orderBy(F.col(id_col).asc_nulls_last())) - 1
-    many = copied.withColumn("__sh_rank", within).join(share, [g1, g2, salt]).withColumn("__sh_slot", F.col("__sh_slot") + F.col("__sh_ahead") + F.col("__sh_rank"))
+    ends = base.select("cell", "part", F.col("to").alias("shard"), "base")
+    first = (F.col("base") + F.col("before")).alias("__sh_slot")
+    placed = leaf.join(ends, ["cell", "part"]).select(F.col("g1").alias(g1), F.col("g2").alias(g2), F.col("shard").alias("__sh_to"), first, F.col("n").alias("__sh_n"), F.col("n").alias("__sh_rows"))
+    placed = stage(placed, "placed")
+    both = join_groups(rows, placed, [g1, g2], "__sh_rows", rows.count())
+    copied = stage(both.where("__sh_n > 1"), "copied")
+    many = numbered(copied, [g1, g2], "__sh_n", row, "__sh_rank").withColumn("__sh_slot", F.col("__sh_slot") + F.col("__sh_rank"))
     keep = [*(F.col(c) for c in others), F.col(size).alias("size"), F.col("__sh_crc").alias("text_crc32"), F.col("__sh_to").cast("int").alias("shard"), F.col("__sh_slot").cast("long").alias("slot")]
-    return reduce(DataFrame.unionAll, [salted.where("__sh_n = 1").select(*keep), many.select(*keep)])
+    return reduce(DataFrame.unionAll, [both.where("__sh_n = 1").select(*keep), many.select(*keep)])
 
 
 def op3_sharding(spark, sf_dir: str) -> DataFrame:

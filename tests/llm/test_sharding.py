@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+from kinveil.llm import _number
 from kinveil.llm import sharding as sh
 
 
@@ -36,7 +37,7 @@ def test_difference_two_ways():
 def test_shards(spark, monkeypatch):
     monkeypatch.setattr(sh, "CELL", 16)
     monkeypatch.setattr(sh, "FAN", 4)
-    monkeypatch.setattr(sh, "SALTED", 8)
+    monkeypatch.setattr(_number, "SALTED", 8)
     rng = np.random.default_rng(1)
     rows = [(i, "x" * int(rng.integers(0, 400)) + str(i)) for i in range(1500)]
     rows += [(2000 + i, "same") for i in range(100)] + [(3000, None), (3001, ""), (3001, ""), (None, "no id")]
@@ -45,7 +46,20 @@ def test_shards(spark, monkeypatch):
     sums = check(rows, got, 5)
     assert max(sums) - min(sums) <= 0.002 * sum(sums) / 5  # cells of 16 groups leave more than those of 4096
     assert {r.size for r in got if r.doc_id == 3000} == {8} and all(r.text_crc32 == zlib.crc32(b"same") for r in got if 2000 <= (r.doc_id or 0) < 2100)
-    again = {(r.doc_id, r.slot): r.shard for r in sh.shard(df, 5).collect()}
-    assert all(again[(r.doc_id, r.slot)] == r.shard for r in got)
+    again = {r.text_crc32: r.shard for r in sh.shard(df, 5).collect()}
+    assert all(again[r.text_crc32] == r.shard for r in got)
     assert sh.shard(spark.createDataFrame([], df.schema), 5).count() == 0
     assert {r.shard for r in sh.shard(df.limit(1), 5).collect()} <= set(range(5))
+
+
+def test_repeated_rows_are_split_and_columns_may_clash(spark, monkeypatch):
+    """Rows that repeat id and text are dealt over shares too; input columns give way to outputs."""
+    monkeypatch.setattr(_number, "SALTED", 50)
+    rows = [(7, "same", 1, "x")] * 1000 + [(i, f"t{i}", 2, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Size int, slot string").repartition(4)
+    got = sh.shard(df, 3)
+    assert got.columns == ["doc_id", "size", "text_crc32", "shard", "slot"]
+    check(rows, got.collect(), 3)
+    numbers = spark.range(1000).selectExpr("id as row", "0 as k", "1000L as n")
+    dealt = _number.numbered(numbers, ["k"], "n", "row", "at")
+    assert sorted(r.at for r in dealt.collect()) == list(range(1000))
