@@ -11,10 +11,14 @@ The pairs form a tree. Documents are dealt by hash into cells of about CELL of o
 cells again, level by level, until each source has one, which its own p decides. Every level is one
 groupBy of bounded arrays; a source that holds a third of all rows is many cells like any other.
 
+Sources are ranked by range partitions and the level that fills the targets is found by a few sums over
+the table of sources, so that their number may grow too.
+
 Edge cases: null text has size 0; documents of size 0 take no part and take nothing (0 words); null
-sources are one source, last in order; repeated rows are documents like any others (they share a
-cell; equal rows are rounded one after the other); an empty table gives an empty table; other columns
-pass through `mix`, which repeats or leaves out whole rows.
+sources are one source, last in order; repeated rows are documents like any others (rows equal in all
+that counts here are counted first and numbered, so they fall into many cells, and which of them is taken
+says nothing); an empty table gives an empty table; other columns pass through `mix`, which repeats or
+leaves out whole rows.
 """
 
 from __future__ import annotations
@@ -25,9 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinveil.llm._number import numbered
 from kinveil.operators.staging import stage
 
 CELL = 128
+#: Copies of one row that are numbered at a time.
+CHUNK = 4096
 #: The weights of the sources in order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -36,25 +43,36 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(0).cast("long"))
 
 
+def ranked(table: DataFrame, key: str, out: str) -> DataFrame:
+    """A written table with `out`: the rank, from 0, of its distinct keys in order, nulls last."""
+    order = F.col(key).asc_nulls_last()
+    parts = stage(table.repartitionByRange(order).withColumn("__mx_part", F.spark_partition_id()), "mix-order")
+    sums = parts.groupBy("__mx_part").agg(F.count("*").alias("__mx_n"))
+    before = F.sum("__mx_n").over(W.orderBy("__mx_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("__mx_n")
+    within = F.row_number().over(W.partitionBy("__mx_part").orderBy(order)) - 1
+    both = parts.withColumn("__mx_at", within).join(sums.select("__mx_part", before.alias("__mx_before")), "__mx_part")
+    return both.withColumn(out, F.col("__mx_before") + F.col("__mx_at")).drop("__mx_part", "__mx_at", "__mx_before")
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """sizes (source, size) of any number of rows to source, source_size, target.
 
-    Filling by weight under the caps has one level: target = min(most * size, level * weight). With
-    sources in order of size / weight, the capped ones come first; the level is found from prefix
-    sums. The windows run over one row a source."""
+    Filling by weight under the caps has one level: target = min(most * size, level * weight). It starts
+    with no source at its cap; each turn sums up the sources beyond theirs and reshares the rest, until
+    none more is beyond."""
     total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = W.orderBy(F.col("source").asc_nulls_last())
-    turn = F.pmod(F.row_number().over(order) - 1, F.lit(len(weights)))
-    given = total.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")))
-    by = W.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, whole = by.rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
-    left = share * F.sum("source_size").over(whole) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    weight = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    tried = given.withColumn("level", left / weight)
-    open_ = F.col("level") * F.col("weight") <= most * F.col("source_size")
-    level = F.min(F.when(open_, F.struct(F.col("source_size") / F.col("weight"), F.col("level")))).over(whole)
-    level = F.coalesce(level["level"], F.lit(float("inf")))
-    return tried.select("source", "source_size", F.least(most * F.col("source_size"), level * F.col("weight")).cast("double").alias("target"))
+    turn = F.pmod(F.col("__mx_rank"), F.lit(len(weights))) + 1
+    given = stage(ranked(total, "source", "__mx_rank").withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn.cast("int"))), "mix-sources")
+    whole = given.agg(F.sum("source_size")).first()[0] or 0
+    level, beyond = 0.0, -1
+    while True:
+        cap = most * F.col("source_size")
+        over = F.lit(level) * F.col("weight") > cap
+        r = given.agg(F.count(F.when(over, 1)).alias("n"), F.sum(F.when(over, cap)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("open")).first()
+        if r.n == beyond:
+            break
+        beyond, level = r.n, (share * whole - (r.full or 0)) / r.open if r.open else float("inf")
+    return given.select("source", "source_size", F.least(most * F.col("source_size"), F.lit(level) * F.col("weight")).cast("double").alias("target"))
 
 
 def _round(items: Column) -> Column:
@@ -77,16 +95,16 @@ def _round(items: Column) -> Column:
         return F.struct(done.alias("done"), rest.alias("last"))
 
     first = items[0]
-    empty = F.expr("cast(array() as array<struct<row:struct<id:bigint,tie:bigint,size:bigint>,bit:int>>)")
+    empty = F.expr("cast(array() as array<struct<row:struct<id:bigint,tie:bigint,size:bigint,nth:bigint>,bit:int>>)")
     return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), F.struct(empty.alias("done"), first.alias("last")), pair)
 
 
 def rounded(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """docs (source, id, tie, size, p) to (source, id, tie, size, bit), one row each, with size > 0 and
-    0 < p < 1. tie tells rows of one id apart where it can."""
-    hashed = F.xxhash64("id", "tie", F.lit(seed))
+    """docs (source, id, tie, size, nth, p) to (source, id, tie, size, nth, bit), one row each, with size > 0 and
+    0 < p < 1. tie and nth tell rows of one id apart."""
+    hashed = F.xxhash64("id", "tie", "nth", F.lit(seed))
     u = F.pmod(F.shiftrightunsigned(hashed, 11), F.lit(1 << 50)) / F.lit(float(1 << 50))
-    item = F.struct(F.shiftrightunsigned(hashed, 3).alias("key"), F.struct("id", "tie", "size").alias("row"), F.col("size").cast("double").alias("size"), "p", u.alias("u"))
+    item = F.struct(F.shiftrightunsigned(hashed, 3).alias("key"), F.struct("id", "tie", "size", "nth").alias("row"), F.col("size").cast("double").alias("size"), "p", u.alias("u"))
     level = docs.select("source", item.alias("item"))
     counted = stage(level, "mix-items")
     out = []
@@ -106,15 +124,18 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2
     """docs (id, source, size, tie) to the same with source_size, target and copies (int)."""
     # "0" and the name, or "1" for null: never null, and in the order of the sources.
     docs = docs.withColumn("source", F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")))
+    given = stage(targets(docs, weights, share, most), "mix-targets")
     rate = F.col("target") / F.col("source_size")
+    equal = docs.groupBy("source", "id", "size", "tie").agg(F.count("*").alias("m"))
+    chunks = equal.withColumn("c", F.explode(F.expr(f"sequence(0, (m - 1) div {CHUNK})")))
+    each = chunks.withColumn("nth", F.explode(F.expr(f"sequence(c * {CHUNK}, least((c + 1) * {CHUNK}, m) - 1)"))).drop("c", "m")
     counts = F.col("size") > 0
-    rows = docs.join(targets(docs, weights, share, most), "source").withColumn("whole", F.when(counts, F.floor(rate)).otherwise(0).cast("int"))
+    rows = each.join(given, "source").withColumn("whole", F.when(counts, F.floor(rate)).otherwise(0).cast("int"))
     rows = stage(rows.withColumn("p", F.when(counts, rate - F.floor(rate)).otherwise(0.0)), "mix-rates")
-    part = rounded(rows.where("p > 0").select("source", "id", "tie", "size", "p"), seed)
+    part = rounded(rows.where("p > 0").select("source", "id", "tie", "size", "nth", "p"), seed)
     settled = rows.where("p = 0").withColumnRenamed("whole", "copies").drop("p")
-    rates = rows.groupBy("source").agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("whole").alias("whole"))
-    moved = part.join(rates, "source").withColumn("copies", F.col("whole") + F.col("bit")).drop("whole", "bit")
-    out = settled.unionByName(moved)
+    moved = part.join(given, "source").withColumn("copies", (F.floor(rate) + F.col("bit")).cast("int")).drop("bit")
+    out = settled.unionByName(moved).drop("nth")
     return out.withColumn("source", F.when(F.col("source") != "1", F.expr("substring(source, 2)")))
 
 
@@ -125,20 +146,17 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """docs with every row as many times as the mix takes it (not at all, once or twice by default).
 
-    Rows that repeat an id, source and text are drawn apart from each other but their numbers are
-    given back in the order of an arbitrary but fixed key, so the mix has the same rows each time."""
+    Rows that repeat an id, source and text are drawn apart from each other, and what is taken of them in
+    all is dealt back over them evenly, so the mix has the same rows each time."""
     counted = copies(sized(docs, id_col, text_col, source_col), **how)
-    key = [F.col(id_col).cast("long"), F.col(source_col), F.xxhash64(text_col)]
-    names = ["__mx_id", "__mx_source", "__mx_tie"]
-    # How often rows of one key are taken in all, spread over these rows: the first ones get one more.
-    pooled = counted.groupBy("id", "source", "tie").agg(F.sum("copies").alias("__mx_sum"), F.count("*").alias("__mx_n"))
-    pooled = pooled.select(*(F.col(c).alias(n) for c, n in zip(("id", "source", "tie"), names, strict=True)), "__mx_sum", "__mx_n")
-    keyed = docs.select("*", *(k.alias("__mx_k" + n) for k, n in zip(key, "abc", strict=True)))
-    on = reduce(lambda a, b: a & b, (keyed["__mx_k" + n].eqNullSafe(pooled[c]) for c, n in zip(names, "abc", strict=True)))
-    both = keyed.join(pooled, on)
+    key = lambda a, b, c: F.struct(a.alias("a"), b.alias("b"), c.alias("c")).alias("__mx_key")
+    pooled = counted.groupBy(key(*map(F.col, ("id", "source", "tie")))).agg(F.sum("copies").alias("__mx_sum"), F.count("*").alias("__mx_n"))
+    keyed = docs.select("*", key(F.col(id_col).cast("long"), F.col(source_col), F.xxhash64(text_col)))
+    both = keyed.join(pooled, "__mx_key")
     single = both.where("__mx_n = 1").withColumn("__mx_c", F.col("__mx_sum"))
-    nth = F.row_number().over(W.partitionBy(*names).orderBy(F.lit(0)))
-    several = both.where("__mx_n > 1").withColumn("__mx_c", F.expr("__mx_sum div __mx_n") + (nth <= F.expr("__mx_sum % __mx_n")).cast("int"))
+    several = stage(both.where("__mx_n > 1").withColumn("__mx_row", F.monotonically_increasing_id()), "mix-several")
+    several = numbered(several, ["__mx_key"], "__mx_n", "__mx_row", "__mx_nth").drop("__mx_row")
+    several = several.withColumn("__mx_c", F.expr("__mx_sum div __mx_n + if(__mx_nth < __mx_sum % __mx_n, 1, 0)")).drop("__mx_nth")
     out = single.unionByName(several).where("__mx_c > 0")
     return out.withColumn("__mx_c", F.explode(F.expr("sequence(1, int(__mx_c))"))).select(*docs.columns)
 

@@ -45,8 +45,8 @@ def test_takes_near_targets(spark, monkeypatch, seed):
 
 def test_rates_are_fair(spark):
     """Documents of any size are taken at the source's rate, over 60 like sources."""
-    rows = [(100 * k + i, f"s{k}", 1 + i % 7, i, 0.3) for k in range(60) for i in range(40)]
-    df = spark.createDataFrame(rows, "id long, source string, size long, tie long, p double")
+    rows = [(100 * k + i, f"s{k}", 1 + i % 7, i, 0, 0.3) for k in range(60) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, source string, size long, tie long, nth long, p double")
     n = [0] * 40
     for r in mx.rounded(df).collect():
         n[r.id % 100] += r.bit
@@ -61,3 +61,27 @@ def test_edges(spark):
     got = mx.mix(df).collect()
     assert got == mx.mix(df).collect() and all(r.doc_id not in (2, 3) for r in got) and got[0].asDict().keys() == set(df.columns)
     assert sum(r.doc_id is None for r in got) <= 2
+
+
+def test_repeated_rows_fall_into_many_cells(spark, monkeypatch):
+    """2,000 equal rows of a source: what is taken of them is near the target, and the same each time."""
+    monkeypatch.setattr(mx, "CHUNK", 100)
+    rows = [(7, "a b c", "x")] * 2000 + [(i, "d e", "x") for i in range(50)] + [(i, "w " * 900, s) for i, s in enumerate("yzuvw")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted(map(tuple, mx.mix(df).collect()))
+    assert got == sorted(map(tuple, mx.mix(df.coalesce(1)).collect()))
+    sizes = {"x": 6100} | dict.fromkeys("yzuvw", 900)
+    want, taken = fill(sizes), dict.fromkeys(sizes, 0)
+    for _, t, s in got:
+        taken[s] += len(t.split())
+    assert 0 < want["x"] / sizes["x"] % 1 < 1 and abs(taken["x"] - want["x"]) <= 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_equal_loops(spark, seed):
+    rng = random.Random(seed)
+    names = [*(chr(rng.randrange(33, 0x3000)) + str(i) for i in range(60)), None, "", "\U0001f600", "\uffee"]
+    sizes = {s: rng.choice([0, 1, 10, 1000, 10**6]) * rng.randrange(1, 9) for s in names}
+    got = mx.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()
+    want = fill(sizes)
+    assert len(got) == len(names) and all(abs(r.target - want[r.source]) <= 1e-6 * max(1, want[r.source]) for r in got)
