@@ -2,16 +2,20 @@
 
 Features are n-grams of the lower-cased text, 1 to 3 code points, hashed to BUCKETS columns; weights
 are log(1 + count) times the inverse document frequency, scaled to length 1. Document frequencies
-cover every training document. The regression is fitted on the driver on at most `train_rows`
-documents (those of the least id hashes, so the same ones each time; the bound holds whatever the
-corpus) by follow-the-regularised-leader (FTRL-proximal: per-coordinate rates, L1 and L2), which
-leaves most weights at zero. One in five of these documents is kept from the fit and sets the
-temperature by which scores are calibrated. The model is a BUCKETS x languages array.
+cover every training document. The regression is fitted on the driver on a bounded sample by
+follow-the-regularised-leader (FTRL-proximal: per-coordinate rates, L1 and L2), which leaves most
+weights at zero. The sample has each language's share of `train_rows` documents, and `least` of every
+language if it has them, so that rare languages are learned too; `languages` (the most frequent ones)
+are learned at most. So it has train_rows + least * languages rows at most, whatever the corpus. Its
+documents are those of the least hashes, each once however often a row is repeated. One in five of them is
+kept from the fit and sets the temperature by which scores are calibrated. The model is a BUCKETS x
+languages array.
 
 Edge cases: text that is null, empty or without a letter gets `und` with score 0; rows without a
 language or an id are never learned from; without any row to learn from every prediction is `und`;
-with one language that language has score 1. Whole texts count, however long. Other columns pass
-through. An empty table gives an empty table.
+with one language that language has score 1. Whole texts count, however long. Repeated rows are predicted
+alike. Other columns pass through, but for those with an output's name, which the output replaces. An
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,10 +26,11 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinveil.llm._text import arrow_map
+from kinveil.llm._text import arrow_map, replaced
 
 BUCKETS = 1 << 15
 #: A text fits no learned language if its score is less than this share of the way from even odds to certainty
@@ -144,9 +149,10 @@ def _calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) ->
 _SUMMED = T.StructType([T.StructField("n", T.LongType()), T.StructField("df", T.BinaryType())])
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 1536, epochs: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1) -> Model:
+def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 1536, least: int = 64, languages: int = 256, epochs: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1) -> Model:
     """Learn from the rows of train that have an id, a text with a letter and a language."""
-    train = train.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id is not null and text is not null and lang is not null")
+    train = train.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    train = train.where("id is not null and text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
 
     def frequencies(batches):
         df, n = np.zeros(BUCKETS, np.int64), 0
@@ -173,21 +179,37 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     df = sum((np.frombuffer(p.df, np.int64) for p in parts), np.zeros(BUCKETS, np.int64))
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
-    chosen = train.select("id", "lang", F.xxhash64("id").alias("h")).orderBy("h", "id", "lang").limit(train_rows)
-    chosen = [r.id for r in chosen.collect()]
+    keyed = train.withColumn("h", F.xxhash64("id", "text"))
+    single = keyed.groupBy("lang", "h", "id").agg(F.lit(1).alias("one"))
+    known = single.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    every = sum(r.n for r in known)
+    quota = {r.lang: max(least, train_rows * r.n // every) for r in known}
+    if not quota:
+        return Model([], idf, np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
+    allowed = train.sparkSession.createDataFrame(list(quota.items()), "lang string, quota int")
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))
+    ranked = single.withColumn("rank", rank).where(F.col("rank") <= max(quota.values())).join(F.broadcast(allowed), "lang").where("rank <= quota")
+    chosen = {(r.id, r.h, r.lang) for r in ranked.select("id", "h", "lang").collect()}
 
     def counted(batches):
+        seen = set()
         for batch in batches:
-            rows = [(i, lang, np.flatnonzero(c), c) for i, t, lang in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True) if (c := grams(t)) is not None]
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[3][r[2]].astype(np.int32).tobytes() for r in rows], pa.binary())], names=["id", "lang", "at", "n"])
-
-    ids = train.sparkSession.createDataFrame([(i,) for i in dict.fromkeys(chosen)], "id string")
-    sample = arrow_map(train.join(F.broadcast(ids), "id", "left_semi"), counted, "id string, lang string, at binary, n binary").collect() if chosen else []
+            rows = []
+            for i, h, lang, t in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), strict=True):
+                if (i, h, lang) not in seen and (c := grams(t.as_py())) is not None:
+                    seen.add((i, h, lang))
+                    at = np.flatnonzero(c)
+                    rows.append((i, h, lang, at.astype(np.int32).tobytes(), c[at].astype(np.int32).tobytes()))
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["id", "h", "lang", "at", "n"])
+
+    ids = train.sparkSession.createDataFrame(sorted(chosen), "id string, h long, lang string")
+    asked = keyed.join(F.broadcast(ids), ["id", "h", "lang"], "left_semi").select("id", "h", "lang", "text")
+    # Each task gives a chosen row once, and so does the sum of all tasks.
+    sample = arrow_map(asked, counted, "id string, h long, lang string, at binary, n binary")
+    sample = sample.groupBy("id", "h", "lang").agg(F.first("at").alias("at"), F.first("n").alias("n")).collect()
     sample.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.lang, r.at, r.n))
-    sample = sample[:train_rows]
     model = Model(sorted({r.lang for r in sample}), idf, np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
-    if not model.labels:
-        return model
     number = {x: i for i, x in enumerate(model.labels)}
     rows = [(np.frombuffer(r.at, np.int32), np.frombuffer(r.n, np.int32), number[r.lang]) for r in sample]
     aside = [x for i, x in enumerate(rows) if i % 5 == 4]
@@ -196,21 +218,22 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with `lang_pred` and `score`."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    at = docs.columns.index(text_col)
+def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with `lang_pred` and `score` (or the names in `out`)."""
+    names = replaced(docs.columns, out)
+    source = docs.select(*names, F.col(text_col).alias("__li_text"))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            got = [model.predict(t.as_py()) for t in batch.column(at)]
-            yield pa.record_batch([*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=schema.names)
+            got = [model.predict(t.as_py()) for t in batch.column(len(names))]
+            yield pa.record_batch([*batch.columns[:-1], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=schema.names)
 
-    return arrow_map(docs, run, schema)
+    return arrow_map(source, run, schema)
 
 
 def known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of predict() whose text has a letter and fits a learned language: its calibrated score is at
+    """The rows of docs whose text has a letter and fits a learned language: its calibrated score is at
     least FIT of the way from even odds to certainty, or it has fewer than SHORT letters. Here the temperature
     is 1 at least: on a small corpus the rows kept from the fit are told apart without error, the temperature
     falls to the grid's end, and noise would be certain too. With one language or none there are no odds to
@@ -218,9 +241,10 @@ def known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     if not model.labels:
         model = Model(["und?"], np.ones(BUCKETS, np.float32), np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32))
     k = len(model.labels)
-    out = predict(docs, replace(model, temperature=max(1.0, model.temperature)), text_col)
+    out = predict(docs, replace(model, temperature=max(1.0, model.temperature)), text_col, ("__li_lang", "__li_score"))
     letters = F.length(F.regexp_replace(F.col(text_col), r"\P{L}+", ""))
-    return out.where(F.col("lang_pred") != "und").where((F.col("score") >= 1 / k + FIT * (1 - 1 / k)) | (letters < SHORT) | F.lit(k == 1))
+    fits = (F.col("__li_score") >= 1 / k + FIT * (1 - 1 / k)) | (letters < SHORT) | F.lit(k == 1)
+    return out.where(F.col("__li_lang") != "und").where(fits).select(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id"):
