@@ -4,26 +4,36 @@ from __future__ import annotations
 
 import argparse
 import json
+import secrets
+import shutil
 from datetime import datetime
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinveil.operators import blocking, clk, evaluate, extract, households, links, profile
 from kinveil.operators.positions import with_position
+from kinveil.operators.staging import stage
 from kinveil.sources import files
 
 
+#: The names of the sites that take part.
+SITES = "site_a,site_b,site_c,site_d,site_e,site_f"
+
+
 def session() -> SparkSession:
     return SparkSession.builder.appName("kinveil").getOrCreate()
 
 
 def _table(spark: SparkSession, a: argparse.Namespace):
-    url = {"url": a.url} if a.url else {}
+    database = a.url or getattr(a, "source", None)
+    url = extract.jdbc_options(database) if database else {}
+    more = {"split": a.split_column, "parts": a.split_parts} if url else {}
     if a.schema == "v1":
-        return extract.from_table(extract.read_table(spark, a.v1_table, a.v1_schema, **url), "v1", id_column=a.v1_idcolumn)
-    people, places = (extract.read_table(spark, t, a.schema_name, **url) for t in ("private_demographic", "private_address_history"))
+        return extract.from_table(extract.read_table(spark, a.v1_table, a.v1_schema, **more, **url), "v1", id_column=a.v1_idcolumn)
+    people, places = (extract.read_table(spark, t, a.schema_name, **more, **url) for t in ("private_demographic", "private_address_history"))
     joined = extract.addresses(people, places, a.address_selection)
     if a.debug_query:
         joined.explain("formatted")
@@ -90,7 +100,8 @@ def run_households(a: argparse.Namespace) -> None:
         if a.debug and not pairs:
             pairs = households.matches(people, a.exact_addresses)
             files.write_pairs(pairs, f"{Path(a.mappingfile).parent}/pairs")
-        found = households.households(people, households.assign(people, a.exact_addresses, pairs=pairs), a.seed)
+        seed = None if a.keep_order else secrets.randbits(31) if a.seed is None else a.seed
+        found = households.households(people, households.assign(people, a.exact_addresses, pairs=pairs), seed)
         files.write_csv(households.mapping(found), a.mappingfile, "HOUSEHOLD_POSITION")
         folder = Path(a.mappingfile).parent
         if a.testrun:
@@ -111,7 +122,8 @@ def run_households(a: argparse.Namespace) -> None:
 
 
 def run_block(a: argparse.Namespace) -> None:
-    """Blocks of CLK files by lambda-fold, or of a person CSV by p-sig: one CSV (position, block) for each file,
+    """Blocks of CLK files by lambda-fold (a schema's bf-len, number of hashes and features say how filters are made
+    of records, so they say nothing where the input is filters), or of a person CSV by p-sig: one CSV (position, block) for each file,
     and for p-sig one of the blocks' Bloom bits, in one archive."""
     spark, spec = session(), json.loads(Path(a.schemafile).read_text())
     conf = {k.replace("_", "-"): v for k, v in spec["config"].items()}
@@ -122,6 +134,8 @@ def run_block(a: argparse.Namespace) -> None:
         files.write_csv(rows.orderBy(*order), made[-1])
 
     if spec["type"] == "lambda-fold":
+        if not conf.get("input-clks", True):
+            raise SystemExit("lambda-fold works on CLK files; input-clks has to be true")
         for clk_file in sorted(Path(a.clkpath).glob("*.json")):
             raw = files.read_clks(spark, str(clk_file)).withColumn("clk", F.unbase64("clk"))
             rows = blocking.lambda_fold(raw, conf["Lambda"], conf["K"], conf.get("random-state", 0))
@@ -136,6 +150,38 @@ def run_block(a: argparse.Namespace) -> None:
     files.write_zip(f"{a.outputdir}/blocks.zip", made)
 
 
+def run_garble_sites(a: argparse.Namespace) -> None:
+    """pii_SITE.csv of several sites to SITE.zip with a CLK file for each schema; with --blockschema also
+    SITE_block.zip. The sites' records are garbled in one pass and told apart by a site column."""
+    spark, sites = session(), a.sites.split(",")
+    secret = clk.check_secret(Path(a.secretfile).read_text())
+    schemas = files.json_documents(a.schemadir) if a.schemadir else {k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")}
+    people = [files.read_people(spark, f"{a.folder}/pii_{site}.csv").withColumn("site", F.lit(site)) for site in sites]
+    out = stage(clk.clks(reduce(DataFrame.unionByName, people), schemas, secret), "clks")
+    for site in sites:
+        at, made = f"{a.inbox}/{site}", []
+        for name in schemas:
+            made.append(f"{at}/{name}.json")
+            files.write_clks(out.where(F.col("site") == site), name, made[-1])
+        files.write_zip(f"{a.inbox}/{site}.zip", made)
+        if a.blockschema:
+            main(["block", "--schemafile", a.blockschema, "--clkpath", at, "-o", at])
+            Path(f"{at}/blocks.zip").rename(f"{a.inbox}/{site}_block.zip")
+        shutil.rmtree(at)
+
+
+def run_all_sites(a: argparse.Namespace) -> None:
+    """Households of pii_SITE.csv of several sites, their mappings, the full key and the scores against SITE_key.csv."""
+    spark = session()
+    for site in a.sites.split(","):
+        people = files.read_people(spark, f"{a.folder}/pii_{site}.csv")
+        found = stage(households.households(people, households.assign(people), secrets.randbits(31)), "households")
+        files.write_csv(households.scoring_rows(found), f"{a.folder}/{site}_hh_scoring.csv", "household_position")
+        files.write_csv(households.representatives(found), f"{a.folder}/{site}_household_pos_pid.csv", "household_position")
+    run_answer_key_map(a)
+    run_score(a)
+
+
 def run_resolve(a: argparse.Namespace) -> None:
     """LINK_IDs and HOUSEHOLD_IDs of linkage archives to record ids."""
     spark = session()
@@ -222,7 +268,9 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--schema_name", default="cdm")
             c.add_argument("--address_selection", choices=["full", "preferred", "single"], default="full")
             c.add_argument("--debug_query", action="store_true")
-            c.add_argument("--url", help="JDBC url; without it, catalog tables")
+            c.add_argument("--url", help="database, as a JDBC url or driver://user:password@host/name; without one, catalog tables")
+            c.add_argument("--split_column", help="numeric column by whose range a database table is read in parts")
+            c.add_argument("--split_parts", type=int, default=0)
         return c
 
     c = command("extract", run_extract, db=True)
@@ -234,7 +282,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("sourcefile", nargs="?"), c.add_argument("secretfile"), c.add_argument("-d", "--householddef"), c.add_argument("--schemafile")
     c.add_argument("--mappingfile", default="output/households/households.csv"), c.add_argument("-o", "--output", default="output/garbled_households.zip")
     c.add_argument("-t", "--testrun", action="store_true"), c.add_argument("--split_factor", type=int, default=4, help="kept for old calls; Spark splits the work")
-    c.add_argument("--exact_addresses", action="store_true"), c.add_argument("--pairsfile"), c.add_argument("--debug", action="store_true"), c.add_argument("--seed", type=int)
+    c.add_argument("--exact_addresses", action="store_true"), c.add_argument("--pairsfile"), c.add_argument("--debug", action="store_true"), c.add_argument("--seed", type=int, help="of the random order of households")
+    c.add_argument("--keep_order", action="store_true", help="households by their least position, which the order of the input shows through")
     c = command("block", run_block)
     c.add_argument("--schemafile", required=True), c.add_argument("--clkpath", default="output"), c.add_argument("-o", "--outputdir", default="output")
     c = command("linkid_to_patid", run_resolve)
@@ -245,7 +294,10 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--csv"), c.add_argument("-o", "--outputdir", default="output")
     c = command("validate_metadata", run_validate)
     c.add_argument("source_archive"), c.add_argument("linkage_archive")
-    for name, run in (("hh_score", run_score), ("build_key", run_answer_key), ("answer_key_map", run_answer_key_map)):
+    c = command("garble_sites", run_garble_sites)
+    c.add_argument("inbox"), c.add_argument("secretfile"), c.add_argument("--schemadir"), c.add_argument("--blockschema")
+    c.add_argument("--folder", default="temp-data"), c.add_argument("--sites", default=SITES)
+    for name, run in (("hh_score", run_score), ("build_key", run_answer_key), ("answer_key_map", run_answer_key_map), ("hh_all_sites", run_all_sites)):
         c = command(name, run)
         c.add_argument("--folder", default="temp-data"), c.add_argument("--sites", default="a,b,c,d,e,f"), c.add_argument("--key", default="temp-data/key.json")
     return p

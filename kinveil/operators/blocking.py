@@ -36,6 +36,40 @@ def candidates(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
     return by_address.unionByName(by_name.drop("household_zip", "family_name", "street_a", "street_b", "number_a", "number_b"))
 
 
+#: A house number of fewer characters has to be equal for two different addresses to score above 0.95: with a
+#: unit a number weighs 0.3, so it may lose 1/6 at most, one character of six. Segments of SEGMENT characters
+#: then outnumber what differs, so one of them is the same on both sides.
+LONG_NUMBER, SEGMENT = 6, 3
+
+
+def likely(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Those pairs of candidates() whose address similarity can be above 0.95: of equal text, or with house
+    numbers that are equal or long and nearly equal. Blank streets and numbers thus form no block.
+    people: as in candidates()."""
+    carry = carry or []
+    blank = {c: F.coalesce(c, F.lit("")) for c in ("household_zip", "family_name")}
+    own = people.withColumns(blank | {"street": F.col("parsed.street"), "number": F.col("parsed.number"), "raw": F.col("parsed.raw")}).where("raw <> ''")
+    numbered = own.where("number <> ''")
+
+    def join(rows: DataFrame, keys: list[str], more: list[str], condition: str) -> DataFrame:
+        left, right = _sides(rows, keys, [*carry, *more])
+        return left.join(right, keys).where(f"a < b and {condition}").drop(*keys, *(f"{c}_{s}" for c in more for s in "ab"))
+
+    same_street = join(numbered, ["household_zip", "street", "number"], [], "true")
+    same_name = join(numbered, ["household_zip", "family_name", "number"], ["street"], "street_a <> street_b")
+    same_text = join(own.where("number = ''"), ["household_zip", "raw"], [], "true")
+    segment = f"substring(number, {SEGMENT} * k + 1, {SEGMENT})"
+    long = numbered.where(F.length("number") >= LONG_NUMBER - 1).withColumn("k", F.explode(F.expr(f"sequence(0, length(number) div {SEGMENT} - 1)"))).withColumn("segment", F.expr(segment))
+    side = lambda s: f"substring(number_{s}, {SEGMENT} * j + 1, {SEGMENT})"
+    # Of several equal segments the first counts. The segment before k are full on both sides.
+    first = f"(k = 0 or not exists(sequence(0, k - 1), j -> {side('a')} = {side('b')}))"
+    left, right = _sides(long, ["household_zip", "family_name", "k", "segment"], [*carry, "number"])
+    near = left.join(right, ["household_zip", "family_name", "k", "segment"])
+    near = near.where(f"a < b and number_a <> number_b and greatest(length(number_a), length(number_b)) >= {LONG_NUMBER} and {first}")
+    near = near.drop("household_zip", "family_name", "k", "segment", "number_a", "number_b")
+    return reduce(DataFrame.unionByName, [same_street, same_name, same_text, near])
+
+
 def exact(people: DataFrame) -> DataFrame:
     """Pairs (a < b) of equal zip and address."""
     own = people.where("household_street_address <> ''").withColumn("household_zip", F.coalesce("household_zip", F.lit("")))

@@ -96,7 +96,7 @@ def example(*hashed: str, ignored: tuple[str, ...] = ("record_id",)) -> dict:
     return {"version": 3, "clkConfig": conf, "features": [*({"identifier": n, "ignored": True} for n in ignored), *map(one, hashed)]}
 
 
-#: The four linkage schemas by name.
+#: The four linkage schemas by name (fixed values: names, fields, bits and lengths).
 SCHEMAS = {
     "name-sex-dob-addr": example("given_name", "family_name", "DOB", "sex", "household_street_address", ignored=("record_id", "phone_number", "household_zip")),
     "name-sex-dob-phone": example("given_name", "family_name", "DOB", "sex", "phone_number", ignored=("record_id", "household_street_address", "household_zip")),
@@ -124,17 +124,24 @@ def _stream(key: bytes, token: str, blocks: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2")
 
 
+@lru_cache(1 << 16)
+def _value(key: bytes, value: str, n: int, most: int, length: int) -> np.ndarray:
+    """The filter of one value of one feature; names, dates and codes repeat."""
+    bits, grams = np.zeros(length, bool), tokens(value, n)
+    for gram, share in zip(grams, shares(most, len(grams)) if grams else (), strict=True):
+        bits[_stream(key, gram, -(-share // 32))[:share] % length] = True
+    return np.packbits(bits)
+
+
 def encode(schema: Schema, keys: list[bytes], row: tuple[str | None, ...]) -> bytes:
     """The filter of one record (values of the hashed features, null as blank)."""
-    bits = np.zeros(schema.length, bool)
+    out = np.zeros(-(-schema.length // 8), np.uint8)
     for f, key, value in zip((f for f in schema.features if not f.ignored), keys, row, strict=True):
         value = value or ""
         if f.allowed and value not in f.allowed and value != f.sentinel:
             raise ValueError(f"{f.name}: a value is none of {f.allowed}")
-        grams = tokens(value, f.n)
-        for gram, share in zip(grams, shares(f.bits, len(grams)) if grams else (), strict=True):
-            bits[_stream(key, gram, -(-share // 32))[:share] % schema.length] = True
-    return np.packbits(bits).tobytes()
+        out |= _value(key, value, f.n, f.bits, schema.length)
+    return out.tobytes()
 
 
 def feature_keys(schema: Schema, key: str) -> list[bytes]:
@@ -146,7 +153,9 @@ def feature_keys(schema: Schema, key: str) -> list[bytes]:
 
 
 def clks(df: DataFrame, schemas: dict[str, dict], secret: str, context: str = "individuals") -> DataFrame:
-    """df with a binary column for each schema, all from one pass over the rows."""
+    """df with a binary column for each schema, all from one pass over the rows, which are dealt out first:
+    a filter takes far longer to make than its row to move."""
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = subkey(check_secret(secret), context)
     parsed = {name: Schema.of(s) for name, s in schemas.items()}
     work = [(s, feature_keys(s, key), [f.name for f in s.features if not f.ignored]) for s in parsed.values()]

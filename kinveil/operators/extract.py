@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -183,7 +184,33 @@ def shuffled(df: DataFrame, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed))
 
 
-def read_table(spark: SparkSession, name: str, schema: str | None = None, **jdbc: str) -> DataFrame:
-    """A catalog table, or with a url (and driver options) a table of another database."""
+def jdbc_options(source: str) -> dict[str, str]:
+    """Reader options of a database given as a JDBC url, or as driver://user:password@host:port/database."""
+    if source.startswith("jdbc:"):
+        return {"url": source}
+    at = urlsplit(source)
+    if not at.scheme or not (at.hostname or at.path):
+        raise ValueError(f"{source} names no database")
+    kind = at.scheme.split("+")[0]
+    host = f"//{at.hostname}{f':{at.port}' if at.port else ''}" if at.hostname else ""
+    out = {"url": f"jdbc:{kind}:{host}{at.path}" + (f"?{at.query}" if at.query else "")}
+    return out | ({"user": unquote(at.username)} if at.username else {}) | ({"password": unquote(at.password)} if at.password else {})
+
+
+def read_table(spark: SparkSession, name: str, schema: str | None = None, split: str | None = None, parts: int = 0, fetch: int = 10_000, **jdbc: str) -> DataFrame:
+    """A catalog table, or with a url (and driver options) a table of another database.
+
+    Without a numeric column to split by, a database table is read by one task, `fetch` rows a trip; with
+    one, by `parts` tasks (by default as many as shuffle partitions) over the column's range, which the
+    database is asked for first. Nulls of that column are read by the first task."""
     full = f"{schema}.{name}" if schema else name
-    return spark.read.format("jdbc").options(dbtable=full, **jdbc).load() if "url" in jdbc else spark.table(full)
+    if "url" not in jdbc:
+        return spark.table(full)
+    reader = spark.read.format("jdbc").options(fetchsize=str(fetch), **jdbc)
+    if split:
+        low, high = reader.option("query", f"select min({split}) as lo, max({split}) as hi from {full}").load().first()
+        if low is not None:
+            parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            reader = spark.read.format("jdbc").options(fetchsize=str(fetch), **jdbc)
+            reader = reader.options(partitionColumn=split, lowerBound=str(int(low)), upperBound=str(int(high) + 1), numPartitions=str(parts))
+    return reader.option("dbtable", full).load()

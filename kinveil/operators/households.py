@@ -28,8 +28,8 @@ def prepared(people: DataFrame, tagger: bool = False) -> DataFrame:
 
 def scored(people: DataFrame, empty_similarity: float = 0.0, tagger: bool = False) -> DataFrame:
     """(a, b, family_name, phone_number, address, score) of candidate pairs whose address passes its
-    threshold. The address comes first: names are compared only where it passes."""
-    pairs = blocking.candidates(prepared(people, tagger), ["family_name", "phone_number", "parsed"])
+    threshold. Only pairs that can pass it are formed, and names are compared only where it passes."""
+    pairs = blocking.likely(prepared(people, tagger), ["family_name", "phone_number", "parsed"])
     near = pairs.withColumn("address", address_column(F.col("parsed_a"), F.col("parsed_b"))).where(F.col("address") > ADDRESS_ABOVE)
     names = near.withColumns({"family_name": jaro_winkler_column(F.col("family_name_a"), F.col("family_name_b"), empty_similarity), "phone_number": jaro_winkler_column(F.col("phone_number_a"), F.col("phone_number_b"), empty_similarity)})
     total = SURNAME_WEIGHT * F.col("family_name") + PHONE_WEIGHT * F.col("phone_number") + ADDRESS_WEIGHT * F.col("address")
@@ -58,11 +58,12 @@ def assign(people: DataFrame, exact_addresses: bool = False, empty_similarity: f
 
 def households(people: DataFrame, assigned: DataFrame, seed: int | None = None) -> DataFrame:
     """One row a household: household_position (dense from 0), members (sorted positions), the fields of
-    its representative, record_ids joined by commas in the order of members. The representative is the
-    least position, or with a seed a random member, and the order is random then too."""
+    its representative and the representative's record id, record_ids joined by commas in the order of
+    members. The representative is the least position, or with a seed a random member, and the order of
+    households is random then too."""
     order = F.col("position") if seed is None else F.xxhash64("position", F.lit(seed))
     rows = people.select("position", "record_id", *FIELDS).join(assigned, "position")
-    who = F.min_by(F.struct(*FIELDS), F.struct(order, F.col("position")))
+    who = F.min_by(F.struct(*FIELDS, F.col("record_id").alias("representative")), F.struct(order, F.col("position")))
     members = F.array_sort(F.collect_list(F.struct("position", "record_id")))
     out = rows.groupBy("household").agg(members.alias("m"), who.alias("who"), F.min(order).alias("order"))
     out = with_position(out, ["order", "household"], "household_position")
@@ -87,5 +88,5 @@ def scoring_rows(found: DataFrame) -> DataFrame:
 
 
 def representatives(found: DataFrame) -> DataFrame:
-    """household_position, pid: the first member's."""
-    return found.select("household_position", F.split("record_ids", ",")[0].alias("pid"))
+    """household_position, pid: the representative's."""
+    return found.select("household_position", F.col("representative").alias("pid"))

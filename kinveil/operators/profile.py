@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinveil.functions import clean
+from kinveil.operators.staging import discard, stage
 
 #: Texts that CSV readers commonly take for missing.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 PROFILED = ("given_name", "family_name", "household_street_address", "household_zip", "phone_number")
 FLOOR = 3
+OTHERS = "(others)"
 
 
 def missing_as_null(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
@@ -58,10 +60,26 @@ def characters(df: DataFrame, fields=PROFILED) -> DataFrame:
     return long(df, fields).where("value is not null").select("field", F.explode(F.split("value", "")).alias("character")).where("character <> ''").groupBy("field", "character").agg(F.count("*").alias("n"))
 
 
-def profile(df: DataFrame, from_csv: bool = True, position: str | None = None) -> tuple[dict, dict]:
-    """(aggregate results, private results with values) as small dictionaries."""
+def summed(counted: DataFrame, value: str, most: int) -> dict[str, int]:
+    """(value, n) as a dictionary of the `most` most frequent values; what the others count is one more, OTHERS."""
+    found = {r[value]: r.n for r in counted.orderBy(F.desc("n"), value).limit(most).collect()}
+    rest = (counted.agg(F.sum("n")).first()[0] or 0) - sum(found.values()) if len(found) == most else 0
+    return found | ({OTHERS: rest} if rest else {})
+
+
+def profile(df: DataFrame, from_csv: bool = True, position: str | None = None, most: int = 1000) -> tuple[dict, dict]:
+    """(aggregate results, private results with values) as small dictionaries: tables of values, shapes and
+    characters hold the `most` most frequent ones and the sum of the others. The columns it needs are written
+    once, and every table is made from them."""
+    df = stage(df.select(*dict.fromkeys(["record_id", "DOB", "sex", *PROFILED, *([position] if position else [])])), "profiled")
     rows = lambda d: [r.asDict() for r in d.collect()]
-    table = lambda c, n=0, floor=1: {r.value: r.n for r in top(df, c, n, floor).collect()}
+
+    def table(c: Column, n: int = 0, floor: int = 1) -> dict:
+        counted = stage(top(df, c, n, floor), "table")
+        found = summed(counted, "value", n or most)
+        discard(counted)
+        return found
+
     stats: dict = rows(counts(df))[0] | {"DOB": rows(dates(df))[0]}
     dob = df.where("DOB is not null")
     first = (dob.orderBy(position) if position else dob).select("DOB").first()
@@ -69,8 +87,11 @@ def profile(df: DataFrame, from_csv: bool = True, position: str | None = None) -
         stats["DOB"] |= {k: None if v is None else str(v) for k, v in rows(century_dates(df))[0].items()}
     stats |= {"sex": table(F.col("sex")), "zip_format": table(clean.shape(F.col("household_zip"))), "phone_format": table(clean.shape(F.col("phone_number"))), "zip": table(F.col("household_zip"), 10)}
     found: dict[str, dict] = {r["field"]: r for r in rows(lengths(df))}
-    for r in characters(df).collect():
-        found[r.field].setdefault("characters", {})[r.character] = r.n
+    letters = stage(characters(df), "characters")
+    for field, r in found.items():
+        if of := summed(letters.where(F.col("field") == field), "character", most):
+            r["characters"] = of
     stats["fields"] = found
     private = {f: table(F.col(f), 10, FLOOR) for f in ("given_name", "family_name", "household_street_address", "phone_number")}
+    discard(df, letters)
     return stats, private

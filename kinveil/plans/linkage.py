@@ -237,7 +237,7 @@ def _households(spark, sf):
     return households.households(own, households.assign(own))
 
 
-@query(f"{HOUSEHOLDS} select household_position, array_to_string(members, ',') members, family_name, phone_number, household_street_address, household_zip, record_ids from numbered join people on position = household")
+@query(f"{HOUSEHOLDS} select household_position, array_to_string(members, ',') members, family_name, phone_number, household_street_address, household_zip, record_id representative, record_ids from numbered join people on position = household")
 def household_table(spark, sf):
     return _households(spark, sf).withColumn("members", F.concat_ws(",", F.transform("members", lambda x: x.cast("string"))))
 
@@ -265,16 +265,9 @@ def link_resolve(spark, sf):
     return links.resolve_links(given, own)
 
 
-@query(f"{HOUSEHOLDS} select 'H' || cast(household_position as varchar) as \"HOUSEHOLD_ID\", unnest(string_split(record_ids, ',')) as \"PATID\" from numbered where household_position % 3 = 0")
-def household_link_resolve(spark, sf):
-    found = _households(spark, sf)
-    given = found.where("household_position % 3 = 0").select(F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"), F.col("household_position").alias("position"))
-    return links.resolve_households(given, found)
-
-
 @query(f"{HOUSEHOLDS} select 'H' || cast(household_position as varchar) as \"HOUSEHOLD_ID\", unnest(string_split(record_ids, ',')) as \"PATID\" from numbered")
-def household_link_resolve_whole(spark, sf):
-    """household_link_resolve with a link for every household."""
+def household_link_resolve(spark, sf):
+    """Every household has a link, and all of its members get it."""
     found = _households(spark, sf)
     given = found.select(F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"), F.col("household_position").alias("position"))
     return links.resolve_households(given, found)
@@ -287,15 +280,9 @@ def answer_key(spark, sf):
     return evaluate.answer_key(documents)
 
 
-@query(f"{WITH} select case when count(*) filter (position % 3 = 0) > 0 then household_zip end site_0, case when count(*) filter (position % 3 = 1) > 0 then household_zip end site_1 from people where position % 3 < 2 and position % 7 < 2 group by household_zip")
-def answer_pivot(spark, sf):
-    ids = pii(spark, sf).where("position % 3 < 2 and position % 7 < 2").select(F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("site"), F.col("household_zip").alias("household_id"))
-    return evaluate.by_site(ids, ["site_0", "site_1"])
-
-
 @query(f"{WITH} select case when count(*) filter (position % 3 = 0) > 0 then household_zip end site_0, case when count(*) filter (position % 3 = 1) > 0 then household_zip end site_1, case when count(*) filter (position % 3 = 2) > 0 then household_zip end site_2 from people group by household_zip")
-def answer_pivot_whole(spark, sf):
-    """answer_pivot over all people and all three sites."""
+def answer_pivot(spark, sf):
+    """All people over all three sites."""
     ids = pii(spark, sf).select(F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("site"), F.col("household_zip").alias("household_id"))
     return evaluate.by_site(ids, ["site_0", "site_1", "site_2"])
 
@@ -312,12 +299,14 @@ def hh_score(spark, sf):
     return evaluate.score(scored, found.select("household_position", hid), own.select(F.col("record_id").alias("pid"), hid))
 
 
-@query(f"""{WITH}, s as (select record_id k, sex v from people where position % 5 > 0), l as (select record_id k, case when position % 7 = 0 then 'X' else sex end v from people where position % 4 > 0)
+@query(f"""{WITH}, s as (select record_id k, sex v from people), l as (select case when sex = '' then 'N' || record_id else record_id end k, case when household_zip = '00007' then 'X' else sex end v from people)
   select coalesce(s.k, l.k) as key, case when l.k is null then 'source only' when s.k is null then 'linkage only' else 'differs' end issue, s.v source_value, l.v linkage_value from s full join l on s.k = l.k where l.k is null or s.k is null or s.v <> l.v""")
 def metadata_diff(spark, sf):
+    """All people on both sides; those without a sex go by another key in the second, those of one zip have another value."""
     own = pii(spark, sf)
-    source = own.where("position % 5 > 0").select(F.col("record_id").alias("key"), F.col("sex").alias("value"))
-    linkage = own.where("position % 4 > 0").select(F.col("record_id").alias("key"), F.when(F.col("position") % 7 == 0, "X").otherwise(F.col("sex")).alias("value"))
+    source = own.select(F.col("record_id").alias("key"), F.col("sex").alias("value"))
+    key = F.when(F.col("sex") == "", F.concat(F.lit("N"), "record_id")).otherwise(F.col("record_id"))
+    linkage = own.select(key.alias("key"), F.when(F.col("household_zip") == "00007", "X").otherwise(F.col("sex")).alias("value"))
     return links.metadata_diff(source, linkage)
 
 

@@ -13,8 +13,11 @@ from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinveil.operators.staging import stage
+
 STAMP = "%Y%m%dT%H%M%S"
 
 
@@ -24,11 +27,15 @@ def read_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
 
 
 def positioned(df: DataFrame, name: str = "position") -> DataFrame:
-    """df with its row numbers in file order, from 0. A quoted CSV is one split a file, so order is the file's."""
-    spark, names = df.sparkSession, df.columns
-    rows = df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    schema = df.schema.add(name, "long")
-    return spark.createDataFrame(rows, schema).select(name, *names)
+    """df with its row numbers in file order, from 0. A quoted CSV is one split a file, so order is the file's.
+    Rows are written once with a number by split and place; what counts up is the splits."""
+    rows = stage(df.withColumn("__id", F.monotonically_increasing_id()), "rows")
+    split = F.shiftright("__id", 33)
+    ahead = rows.groupBy(split.alias("__split")).agg(F.count("*").alias("__n"))
+    ahead = ahead.select("__split", (F.sum("__n").over(W.orderBy("__split").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"))
+    place = F.col("__ahead") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    out = rows.withColumn("__split", split).join(F.broadcast(ahead), "__split")
+    return out.select(place.alias(name), *(F.col(f"`{c}`") for c in df.columns))
 
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:
