@@ -29,6 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def _delete(spark: SparkSession, path: str) -> None:
     try:
+        name = path.rsplit("/", 1)[-1]
+        if "-" not in name:
+            spark.sql(f"drop table if exists `{name}`")
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     except Exception:  # the session has gone already
@@ -50,6 +53,20 @@ def stage(df: DataFrame, tag: str, codec: str | None = None) -> DataFrame:
     return out
 
 
+def stage_buckets(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
+    """stage() as a table bucketed by key: later joins and groups by key read it where it is, without a
+    shuffle. Writing needs none either; every task writes the buckets it has."""
+    spark = df.sparkSession
+    name = f"kinveil_{tag}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    _held.append(path)
+    atexit.register(lambda: path in _held and _delete(spark, path))
+    out = spark.table(name)
+    out.__dict__["_staged_at"] = path
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of staged tables that nothing reads any more."""
     for df in tables:
