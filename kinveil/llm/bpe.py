@@ -1,20 +1,21 @@
 """Byte-level BPE by a distinct-word table.
 
 1. Split: each task splits its texts into words (the pieces that merges never cross, by the published
-   pattern) and writes them down as positions in a block's word list; a block is some 8 million
-   characters of one task. So texts are split once and the rest works on positions and words.
+   pattern) and writes them down as positions in a block's word list; a block is some 32 million
+   characters of one task, and the list is in order of frequency, so positions are small numbers. Texts
+   are split once and the rest works on positions and words. The table is bucketed by block.
 2. Table: the word lists of all blocks are dealt by the words' checksums into BUCKETS buckets. A task
    goes through its buckets one after the other and encodes each distinct word of a bucket once, by
    the tokenizers library, whatever the number of blocks that ask; equal words are found by comparing
-   the words themselves. Lists travel packed, some thousand words a row, which is what keeps the
+   the words themselves. Lists travel packed, some hundred words a row, which is what keeps the
    exchange a fraction of the text.
-3. Join: the ids go back to their blocks, where the rows take them by position.
+3. Join: the ids go back to their blocks, whose rows are read where they are and take them by position.
 4. Decoding is a join of ids with the (id, piece) table; as ids are dense and the table is bounded by
    the vocabulary, it is broadcast and joined by position (Arrow's take). join_pieces() does it, for
    decode() and for the query alike.
 
 Every exchange is written by tasks and read by tasks; nothing goes through the driver. A task holds one
-block's word list, or one bucket's distinct words (all distinct words over BUCKETS).
+block's positions and word list, or one bucket's distinct words (all distinct words over BUCKETS).
 
 Edge cases: null is encoded as empty text (no ids); special tokens written in a text become their id,
 as in the library; repeated rows and any other columns pass through, but for columns with an output's
@@ -40,12 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinveil.llm._text import arrow_map, replaced
-from kinveil.operators.staging import stage
+from kinveil.operators.staging import stage_buckets
 
 #: A block ends at so many characters, or so many distinct words.
-BLOCK_CHARS, BLOCK_WORDS = 8_000_000, 1 << 19
+BLOCK_CHARS, BLOCK_WORDS = 32_000_000, 1 << 20
 #: Parts of the distinct-word table that are encoded one at a time.
 BUCKETS = 4096
 #: Characters of one text that are split at a time, and ids that are laid out or decoded at a time, about.
@@ -124,58 +126,78 @@ def _unpacked(raw: bytes) -> list[memoryview]:
     return [body[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def _positions(x: np.ndarray) -> bytes:
-    """Positions by byte planes, as high bytes are mostly zero."""
-    return _packed(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes())
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, as high bytes are mostly zero."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _unplaned(raw: bytes) -> np.ndarray:
-    plane = np.frombuffer(_unpacked(raw)[0], np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(plane.T).view(np.uint32).ravel()
+def _unplaned(raw: memoryview) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _split(path: str, at: int, width: int):
-    """Rows (.., text, ..) to the same without the text and (block, bucket, data): the row's words as positions in
-    its block's list (bucket null), and rows with nothing but a bucket of the words of a block's list."""
+class _Block:
+    """Rows of one task with the words of their texts, until the block is full."""
 
-    def lists(block: int, number: dict[str, int], schema: pa.Schema) -> pa.RecordBatch:
-        raw = [w.encode() for w in number]
-        of = np.array([zlib.crc32(w) % BUCKETS for w in raw], np.int64)
-        size = np.array(list(map(len, raw)), np.int32)
-        order = np.argsort(of, kind="stable")
-        edge = np.flatnonzero(np.diff(of[order], prepend=-1, append=-1))
-        each = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        data = [_packed(x.astype(np.uint32).tobytes(), size[x].tobytes(), b"".join([raw[i] for i in x.tolist()])) for x in each]
-        n = len(data)
-        mine = [pa.array([block] * n, pa.int64()), pa.array(of[order][edge[:-1]].astype(np.int32)), pa.array(data, pa.binary())]
-        return pa.record_batch([*(pa.nulls(n, f.type) for f in list(schema)[:-3]), *mine], schema=schema)
+    def __init__(self, number: int):
+        self.number, self.words, self.chars, self.rows, self.at = number, {}, 0, [], []
+
+    def add(self, text: str, tool: Tokens) -> np.ndarray:
+        words = self.words
+        parts = [np.fromiter((words.setdefault(w, len(words)) for w in some), np.uint32, len(some)) for some in tool.words(text)]
+        self.chars += len(text)
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """The rows, bucket null; then for each bucket of the block's list its words and their positions."""
+        every = [np.zeros(0, np.uint32), *(y for x in self.at for y in x)]
+        count = np.bincount(np.concatenate(every), minlength=len(self.words))
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        for columns, x in zip(self.rows, self.at, strict=True):
+            n = len(x)
+            data = [_packed(_planes(rank[y])) for y in x]
+            yield pa.record_batch([*columns, pa.array([self.number] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(data, pa.binary()), pa.nulls(n, pa.binary())], schema=schema)
+        raw = [w.encode() for w in self.words]
+        of = np.array([zlib.crc32(w) % BUCKETS for w in raw], np.int64)[order]
+        size = np.array(list(map(len, raw)), np.uint32)[order]
+        place = np.argsort(of, kind="stable")
+        edge = np.flatnonzero(np.diff(of[place], prepend=-1, append=-1))
+        each = [place[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        data = [_packed(_planes(np.diff(x, prepend=0))) for x in each]
+        words = [_packed(_planes(size[x]), b"".join([raw[i] for i in order[x].tolist()])) for x in each]
+        n = len(each)
+        mine = [pa.array([self.number] * n, pa.int64()), pa.array(of[place][edge[:-1]].astype(np.int32)), pa.array(data, pa.binary()), pa.array(words, pa.binary())]
+        yield pa.record_batch([*(pa.nulls(n, f.type) for f in list(schema)[:-4]), *mine], schema=schema)
+
+
+def _split(path: str, width: int):
+    """Rows (.., text) to (.., block, bucket, data, words), see _Block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, number, chars, schema = tokens(path), {}, 0, None
-        block = TaskContext.get().partitionId() << 32
+        tool, schema, block = tokens(path), None, _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            others = [k for k in range(width) if k != at]
-            schema = pa.schema([*(pa.field(batch.schema.names[k], batch.column(k).type) for k in others), ("__b_block", pa.int64()), ("__b_bucket", pa.int32()), ("__b_data", pa.binary())])
-            blocks, data, full = [], [], []
+            schema = pa.schema([*(batch.schema.field(k) for k in range(width)), *((n, t) for n, t in zip(EXTRA, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True))])
+            first, at = 0, []
             for i in range(len(batch)):
-                text = batch.column(at)[i].as_py() or ""
-                parts = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words)) for words in tool.words(text)]
-                data.append(_positions(np.concatenate(parts) if parts else np.zeros(0, np.uint32)))
-                blocks.append(block)
-                chars += len(text)
-                if chars >= BLOCK_CHARS or len(number) >= BLOCK_WORDS:
-                    full.append(lists(block, number, schema))
-                    number, chars, block = {}, 0, block + 1
-            yield pa.record_batch([*(batch.column(k) for k in others), pa.array(blocks, pa.int64()), pa.nulls(len(batch), pa.int32()), pa.array(data, pa.binary())], schema=schema)
-            yield from full
-        if number:
-            yield lists(block, number, schema)
+                at.append(block.add(batch.column(width)[i].as_py() or "", tool))
+                full = block.chars >= BLOCK_CHARS or len(block.words) >= BLOCK_WORDS
+                if full or i + 1 == len(batch):
+                    # A copy, as what it is cut from is gone with the next batch.
+                    block.rows.append([pa.concat_arrays([batch.column(k).slice(first, i + 1 - first)]) for k in range(width)])
+                    block.at.append(at)
+                    first, at = i + 1, []
+                if full:
+                    yield from block.batches(schema)
+                    block = _Block(block.number + 1)
+        if block.rows:
+            yield from block.batches(schema)
 
     return run
 
 
 def _encoded(path: str):
-    """(bucket, block, data: words) sorted by bucket to (block, data: their ids)."""
+    """(bucket, block, words) sorted by bucket to (block, bucket, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, known, now = tokens(path), {}, None
@@ -184,15 +206,14 @@ def _encoded(path: str):
             for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if bucket != now:
                     known, now = {}, bucket
-                place, size, text = _unpacked(raw)
-                end = np.cumsum(np.frombuffer(size, np.int32)).tolist()
-                text = bytes(text)
+                size, text = _unpacked(raw)
+                end, text = np.cumsum(_unplaned(size)).tolist(), bytes(text)
                 words = [text[a:b] for a, b in zip([0, *end], end, strict=False)]
                 new = [w for w in dict.fromkeys(words) if w not in known]
-                known.update(zip(new, (np.asarray(x, np.int32).tobytes() for x in tool.encode([w.decode() for w in new])), strict=True))
+                known.update(zip(new, (np.asarray(x, "<u4").tobytes() for x in tool.encode([w.decode() for w in new])), strict=True))
                 ids = [known[w] for w in words]
-                out.append(_packed(place, (np.array(list(map(len, ids)), np.int32) // 4).tobytes(), b"".join(ids)))
-            yield pa.record_batch([batch.column(1), pa.array(out, pa.binary())], names=["__b_block", "__b_data"])
+                out.append(_packed(_planes(np.array(list(map(len, ids))) // 4), _planes(np.frombuffer(b"".join(ids), "<u4"))))
+            yield pa.record_batch([batch.column(1), batch.column(0), pa.array(out, pa.binary())], names=["__b_block", "__b_bucket", "__b_ids"])
 
     return run
 
@@ -200,22 +221,18 @@ def _encoded(path: str):
 class _Table:
     """A block's ids by position, gathered from its buckets."""
 
-    def __init__(self):
-        self.parts, self.start, self.size, self.pool = [], None, None, None
-
-    def add(self, raw: bytes) -> None:
-        self.parts.append([np.frombuffer(x, t).copy() for x, t in zip(_unpacked(raw), (np.uint32, np.int32, np.int32), strict=True)])
+    def __init__(self, place: dict[int, bytes], ids: dict[int, bytes]):
+        if place.keys() != ids.keys():
+            raise ValueError("a block's word list and its ids don't belong together")
+        parts = [[np.cumsum(_unplaned(_unpacked(place[k])[0])), *map(_unplaned, _unpacked(ids[k]))] for k in sorted(place)]
+        at, size, pool = (np.concatenate(x) if x else np.zeros(0, np.uint32) for x in (zip(*parts, strict=True) if parts else ([], [], [])))
+        at, size, self.pool = at.astype(np.int64), size.astype(np.int64), pool.astype(np.int32)
+        self.start, self.size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        self.size[at], self.start[at] = size, np.cumsum(size) - size
 
     def lay_out(self, at: np.ndarray) -> np.ndarray:
         """ids of the words at these positions, in order."""
-        if not len(at):
-            return np.zeros(0, np.int32)
-        if self.start is None:
-            place, size, self.pool = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            self.start, self.size = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
-            self.size[place], self.start[place] = size, np.cumsum(size) - size
-            self.parts = []
-        out = []
+        out = [np.zeros(0, np.int32)]
         for k in range(0, len(at), IDS):
             x = at[k : k + IDS]
             per = self.size[x]
@@ -236,50 +253,49 @@ def decoded(ids: np.ndarray, pieces: pa.Array) -> str:
     return b"".join(join_pieces(ids, pieces)).decode("utf-8", "replace")
 
 
-def _joined(path: str, width: int, columns: Callable):
-    """(.., block, bucket, data) sorted by block, its ids before its rows, to (.., what columns(tool, ids) makes)."""
+EXTRA = ("__b_block", "__b_bucket", "__b_data", "__b_words")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, now, table = tokens(path), None, _Table()
-        for batch in batches:
-            block, of, data = (batch.column(k).to_pylist() for k in range(width, width + 3))
-            rows, ids = [], []
-            for i in range(len(batch)):
-                if block[i] != now:
-                    now, table = block[i], _Table()
-                if of[i] is not None:
-                    table.add(data[i])
-                else:
-                    rows.append(i), ids.append(table.lay_out(_unplaned(data[i])))
-            if rows:
-                mine = batch.take(pa.array(rows))
-                made = columns(tool, ids)
-                yield pa.record_batch([*mine.columns[:width], *made.values()], names=[*batch.schema.names[:width], *made])
+
+def _joined(path: str, width: int, columns: Callable, schema: pa.Schema):
+    """A block's rows and positions (.., block, bucket, data), and its ids (block, bucket, ids)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tool = tokens(path)
+        of, data = left.column(width + 1).to_pylist(), left.column(width + 2).to_pylist()
+        table = _Table({k: x for k, x in zip(of, data, strict=True) if k is not None}, dict(zip(right.column(1).to_pylist(), right.column(2).to_pylist(), strict=True)))
+        rows = [i for i, k in enumerate(of) if k is None]
+        made = columns(tool, [table.lay_out(_unplaned(_unpacked(data[i])[0])) for i in rows])
+        mine = left.select(list(range(width))).take(pa.array(rows, pa.int64()))
+        return pa.table([*mine.columns, *made], schema=schema)
 
     return run
 
 
 def _mapped(docs: DataFrame, path: str, text_col: str, added: T.StructType, columns: Callable, keep_text: bool) -> DataFrame:
+    """docs with what columns(tool, ids of every row) makes."""
     names = replaced(docs.columns, tuple(added.names))
-    source = docs.select(*(F.col(c) for c in names if keep_text or c != text_col), F.col(text_col).alias("__b_text"))
+    names = [c for c in names if keep_text or c != text_col]
+    # Names of their own while written, whatever the table's are.
+    source = docs.select(*(F.col(c).alias(f"__b_{k}") for k, c in enumerate(names)), F.col(text_col).alias("__b_text"))
+    width = len(names)
     fields = [T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:-1]]
-    extra = [T.StructField("__b_block", T.LongType()), T.StructField("__b_bucket", T.IntegerType()), T.StructField("__b_data", T.BinaryType())]
-    width = len(fields)
-    parts = stage(arrow_map(source, _split(path, width, width + 1), T.StructType([*fields, *extra])), "words", "zstd")
-    lists = parts.where("__b_bucket is not null").select("__b_bucket", "__b_block", "__b_data").repartition("__b_bucket").sortWithinPartitions("__b_bucket")
-    table = arrow_map(lists, _encoded(path), "__b_block long, __b_data binary")
-    table = table.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in fields), "__b_block", F.lit(0).alias("__b_bucket"), "__b_data")
-    both = parts.where("__b_bucket is null").unionByName(table).repartition("__b_block")
-    both = both.sortWithinPartitions("__b_block", F.col("__b_bucket").asc_nulls_last())
-    return arrow_map(both, _joined(path, width, columns), T.StructType([*fields, *added.fields]))
+    kinds = (T.LongType(), T.IntegerType(), T.BinaryType(), T.BinaryType())
+    schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in zip(EXTRA, kinds, strict=True))])
+    parts = stage_buckets(arrow_map(source, _split(path, width), schema), "words", "__b_block", min(max(source.rdd.getNumPartitions(), 1), 50_000))
+    lists = parts.where("__b_bucket is not null").select("__b_bucket", "__b_block", "__b_words").repartition("__b_bucket").sortWithinPartitions("__b_bucket")
+    table = arrow_map(lists, _encoded(path), "__b_block long, __b_bucket int, __b_ids binary")
+    out = T.StructType([*fields, *added.fields])
+    both = parts.drop("__b_words").groupBy("__b_block").cogroup(table.groupBy("__b_block"))
+    made = both.applyInArrow(_joined(path, width, columns, to_arrow_schema(out)), out)
+    return made.select(*(F.col(f"__b_{k}").alias(c) for k, c in enumerate(names)), *added.names)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", keep_text: bool = True) -> DataFrame:
     """docs, in any order, with `ids`: array<int>; without the text if keep_text is false."""
 
-    def columns(tool: Tokens, ids: list[np.ndarray]) -> dict[str, pa.Array]:
+    def columns(tool: Tokens, ids: list[np.ndarray]) -> list[pa.Array]:
         edge = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        return {out: pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(ids), pa.int32()))}
+        return [pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32()))]
 
     added = T.StructType([T.StructField(out, T.ArrayType(T.IntegerType(), True))])
     return _mapped(docs, path, text_col, added, columns, keep_text)
@@ -301,7 +317,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     return arrow_map(source, run, schema)
 
 
-def _digest(tool: Tokens, ids: list[np.ndarray]) -> dict[str, pa.Array]:
+def _digest(tool: Tokens, ids: list[np.ndarray]) -> list[pa.Array]:
     n, ids_sha, text_sha = [], [], []
     for x in ids:
         n.append(len(x))
@@ -312,7 +328,7 @@ def _digest(tool: Tokens, ids: list[np.ndarray]) -> dict[str, pa.Array]:
             numbers.update(part[:-1])
         ids_sha.append(numbers.hexdigest())
         text_sha.append(hashlib.sha256(decoded(x, tool.pieces).encode()).hexdigest())
-    return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+    return [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
 
 
 def digest(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
