@@ -18,9 +18,13 @@ def numbered(rows: DataFrame, keys: list[str], count: str, row: str, out: str) -
     are counted, and each numbers its own rows from where the shares before it end."""
     share, ahead, at = "__nm_share", "__nm_ahead", "__nm_at"
     # Dealt anew: else a partitioning by key alone would do for what follows.
-    dealt = rows.withColumn(share, F.pmod(F.xxhash64(row), F.expr(f"least(`{count}` div {SALTED}, {SHARES - 1}) + 1"))).repartition(*keys, share)
+    dealt = rows.withColumn(
+        share, F.pmod(F.xxhash64(row), F.expr(f"least(`{count}` div {SALTED}, {SHARES - 1}) + 1"))
+    ).repartition(*keys, share)
     sums = dealt.groupBy(*keys, share).agg(F.count("*").alias("__nm_n"))
-    before = F.sum("__nm_n").over(W.partitionBy(*keys).orderBy(share).rowsBetween(W.unboundedPreceding, 0)) - F.col("__nm_n")
+    before = F.sum("__nm_n").over(
+        W.partitionBy(*keys).orderBy(share).rowsBetween(W.unboundedPreceding, 0)
+    ) - F.col("__nm_n")
     within = F.row_number().over(W.partitionBy(*keys, share).orderBy(row)) - 1
     both = dealt.withColumn(at, within).join(sums.select(*keys, share, before.alias(ahead)), [*keys, share])
     return both.withColumn(out, F.col(ahead) + F.col(at)).drop(share, ahead, at)

@@ -78,7 +78,9 @@ def word_names(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def slices(texts: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets): runs of rows of about limit bytes; null reads as empty."""
-    texts = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "").cast(pa.large_string())
+    texts = pc.fill_null(
+        texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, ""
+    ).cast(pa.large_string())
     if not len(texts):
         return
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]

@@ -67,7 +67,9 @@ class Tokens:
 
         spec = json.loads(open(path, encoding="utf-8").read())
         pre = spec["pre_tokenizer"]
-        if pre["type"] != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or spec["normalizer"]:
+        if pre["type"] != "ByteLevel" or pre.get(
+            "add_prefix_space"
+        ) or not pre.get("use_regex", True) or spec["normalizer"]:
             raise ValueError(f"{path} is not a plain byte-level tokenizer")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path} has added tokens that look around them")
@@ -75,10 +77,14 @@ class Tokens:
         self.tool.no_truncation()
         self.tool.no_padding()
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.find = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.find = re.compile(
+            "(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")"
+        ) if self.added else None
         # Byte level: printable bytes stand for themselves, the rest for code points from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
+        byte = {chr(b): b for b in plain} | {
+            chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)
+        }
         vocabulary = self.tool.get_vocab(with_added_tokens=True)
         pieces: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
@@ -143,7 +149,10 @@ class _Block:
 
     def add(self, text: str, tool: Tokens) -> np.ndarray:
         words = self.words
-        parts = [np.fromiter((words.setdefault(w, len(words)) for w in some), np.uint32, len(some)) for some in tool.words(text)]
+        parts = [
+            np.fromiter((words.setdefault(w, len(words)) for w in some), np.uint32, len(some))
+            for some in tool.words(text)
+        ]
         self.chars += len(text)
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
@@ -157,7 +166,16 @@ class _Block:
         for columns, x in zip(self.rows, self.at, strict=True):
             n = len(x)
             data = [_packed(_planes(rank[y])) for y in x]
-            yield pa.record_batch([*columns, pa.array([self.number] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(data, pa.binary()), pa.nulls(n, pa.binary())], schema=schema)
+            yield pa.record_batch(
+                [
+                    *columns,
+                    pa.array([self.number] * n, pa.int64()),
+                    pa.nulls(n, pa.int32()),
+                    pa.array(data, pa.binary()),
+                    pa.nulls(n, pa.binary()),
+                ],
+                schema=schema,
+            )
         raw = [w.encode() for w in self.words]
         of = np.array([zlib.crc32(w) % BUCKETS for w in raw], np.int64)[order]
         size = np.array(list(map(len, raw)), np.uint32)[order]
@@ -167,7 +185,12 @@ class _Block:
         data = [_packed(_planes(np.diff(x, prepend=0))) for x in each]
         words = [_packed(_planes(size[x]), b"".join([raw[i] for i in order[x].tolist()])) for x in each]
         n = len(each)
-        mine = [pa.array([self.number] * n, pa.int64()), pa.array(of[place][edge[:-1]].astype(np.int32)), pa.array(data, pa.binary()), pa.array(words, pa.binary())]
+        mine = [
+            pa.array([self.number] * n, pa.int64()),
+            pa.array(of[place][edge[:-1]].astype(np.int32)),
+            pa.array(data, pa.binary()),
+            pa.array(words, pa.binary()),
+        ]
         yield pa.record_batch([*(pa.nulls(n, f.type) for f in list(schema)[:-4]), *mine], schema=schema)
 
 
@@ -177,14 +200,21 @@ def _split(path: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, schema, block = tokens(path), None, _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            schema = pa.schema([*(batch.schema.field(k) for k in range(width)), *((n, t) for n, t in zip(EXTRA, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True))])
+            schema = pa.schema(
+                [
+                    *(batch.schema.field(k) for k in range(width)),
+                    *((n, t) for n, t in zip(EXTRA, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)),
+                ]
+            )
             first, at = 0, []
             for i in range(len(batch)):
                 at.append(block.add(batch.column(width)[i].as_py() or "", tool))
                 full = block.chars >= BLOCK_CHARS or len(block.words) >= BLOCK_WORDS
                 if full or i + 1 == len(batch):
                     # A copy, as what it is cut from is gone with the next batch.
-                    block.rows.append([pa.concat_arrays([batch.column(k).slice(first, i + 1 - first)]) for k in range(width)])
+                    block.rows.append(
+                        [pa.concat_arrays([batch.column(k).slice(first, i + 1 - first)]) for k in range(width)]
+                    )
                     block.at.append(at)
                     first, at = i + 1, []
                 if full:
@@ -210,10 +240,21 @@ def _encoded(path: str):
                 end, text = np.cumsum(_unplaned(size)).tolist(), bytes(text)
                 words = [text[a:b] for a, b in zip([0, *end], end, strict=False)]
                 new = [w for w in dict.fromkeys(words) if w not in known]
-                known.update(zip(new, (np.asarray(x, "<u4").tobytes() for x in tool.encode([w.decode() for w in new])), strict=True))
+                known.update(
+                    zip(
+                        new,
+                        (np.asarray(x, "<u4").tobytes() for x in tool.encode([w.decode() for w in new])),
+                        strict=True,
+                    )
+                )
                 ids = [known[w] for w in words]
-                out.append(_packed(_planes(np.array(list(map(len, ids))) // 4), _planes(np.frombuffer(b"".join(ids), "<u4"))))
-            yield pa.record_batch([batch.column(1), batch.column(0), pa.array(out, pa.binary())], names=["__b_block", "__b_bucket", "__b_ids"])
+                out.append(
+                    _packed(_planes(np.array(list(map(len, ids))) // 4), _planes(np.frombuffer(b"".join(ids), "<u4")))
+                )
+            yield pa.record_batch(
+                [batch.column(1), batch.column(0), pa.array(out, pa.binary())],
+                names=["__b_block", "__b_bucket", "__b_ids"],
+            )
 
     return run
 
@@ -224,8 +265,13 @@ class _Table:
     def __init__(self, place: dict[int, bytes], ids: dict[int, bytes]):
         if place.keys() != ids.keys():
             raise ValueError("a block's word list and its ids don't belong together")
-        parts = [[np.cumsum(_unplaned(_unpacked(place[k])[0])), *map(_unplaned, _unpacked(ids[k]))] for k in sorted(place)]
-        at, size, pool = (np.concatenate(x) if x else np.zeros(0, np.uint32) for x in (zip(*parts, strict=True) if parts else ([], [], [])))
+        parts = [
+            [np.cumsum(_unplaned(_unpacked(place[k])[0])), *map(_unplaned, _unpacked(ids[k]))] for k in sorted(place)
+        ]
+        at, size, pool = (
+            np.concatenate(x) if x else np.zeros(0, np.uint32)
+            for x in (zip(*parts, strict=True) if parts else ([], [], []))
+        )
         at, size, self.pool = at.astype(np.int64), size.astype(np.int64), pool.astype(np.int32)
         self.start, self.size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
         self.size[at], self.start[at] = size, np.cumsum(size) - size
@@ -262,7 +308,10 @@ def _joined(path: str, width: int, columns: Callable, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         tool = tokens(path)
         of, data = left.column(width + 1).to_pylist(), left.column(width + 2).to_pylist()
-        table = _Table({k: x for k, x in zip(of, data, strict=True) if k is not None}, dict(zip(right.column(1).to_pylist(), right.column(2).to_pylist(), strict=True)))
+        table = _Table(
+            {k: x for k, x in zip(of, data, strict=True) if k is not None},
+            dict(zip(right.column(1).to_pylist(), right.column(2).to_pylist(), strict=True)),
+        )
         rows = [i for i, k in enumerate(of) if k is None]
         made = columns(tool, [table.lay_out(_unplaned(_unpacked(data[i])[0])) for i in rows])
         mine = left.select(list(range(width))).take(pa.array(rows, pa.int64()))
@@ -271,7 +320,9 @@ def _joined(path: str, width: int, columns: Callable, schema: pa.Schema):
     return run
 
 
-def _mapped(docs: DataFrame, path: str, text_col: str, added: T.StructType, columns: Callable, keep_text: bool) -> DataFrame:
+def _mapped(
+    docs: DataFrame, path: str, text_col: str, added: T.StructType, columns: Callable, keep_text: bool
+) -> DataFrame:
     """docs with what columns(tool, ids of every row) makes."""
     names = replaced(docs.columns, tuple(added.names))
     names = [c for c in names if keep_text or c != text_col]
@@ -281,8 +332,15 @@ def _mapped(docs: DataFrame, path: str, text_col: str, added: T.StructType, colu
     fields = [T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:-1]]
     kinds = (T.LongType(), T.IntegerType(), T.BinaryType(), T.BinaryType())
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in zip(EXTRA, kinds, strict=True))])
-    parts = stage_buckets(arrow_map(source, _split(path, width), schema), "words", "__b_block", min(max(source.rdd.getNumPartitions(), 1), 50_000))
-    lists = parts.where("__b_bucket is not null").select("__b_bucket", "__b_block", "__b_words").repartition("__b_bucket").sortWithinPartitions("__b_bucket")
+    parts = stage_buckets(
+        arrow_map(source, _split(path, width), schema),
+        "words",
+        "__b_block",
+        min(max(source.rdd.getNumPartitions(), 1), 50_000),
+    )
+    lists = parts.where("__b_bucket is not null").select(
+        "__b_bucket", "__b_block", "__b_words"
+    ).repartition("__b_bucket").sortWithinPartitions("__b_bucket")
     table = arrow_map(lists, _encoded(path), "__b_block long, __b_bucket int, __b_ids binary")
     out = T.StructType([*fields, *added.fields])
     both = parts.drop("__b_words").groupBy("__b_block").cogroup(table.groupBy("__b_block"))
@@ -295,7 +353,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
 
     def columns(tool: Tokens, ids: list[np.ndarray]) -> list[pa.Array]:
         edge = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32()))]
+        return [
+            pa.ListArray.from_arrays(
+                pa.array(edge), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
+            )
+        ]
 
     added = T.StructType([T.StructField(out, T.ArrayType(T.IntegerType(), True))])
     return _mapped(docs, path, text_col, added, columns, keep_text)
@@ -334,11 +396,20 @@ def _digest(tool: Tokens, ids: list[np.ndarray]) -> list[pa.Array]:
 def digest(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """docs with, in place of the text, n_tokens, ids_sha256 and decoded_sha256 of what encode() and decode()
     give, taken where they are made: ids don't travel."""
-    added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    added = T.StructType(
+        [
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType()),
+        ]
+    )
     return _mapped(docs, path, text_col, added, _digest, False)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digest(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return digest(
+        spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )

@@ -75,7 +75,9 @@ class Vectors:
         limit = math.sqrt(2**52 / max(dims, 1))
         self.large = {}
         for i in np.flatnonzero((np.abs(self.w) > limit).any(axis=1)).tolist():
-            self.large[i] = [math.floor(Fraction(float(x)) * scale) for x in flat[row == i]] + [0] * (dims - int(per[i]))
+            self.large[i] = [
+                math.floor(Fraction(float(x)) * scale) for x in flat[row == i]
+            ] + [0] * (dims - int(per[i]))
             self.w[i] = 0
 
     def integers(self, i: int) -> list[int]:
@@ -128,12 +130,21 @@ LOCAL = "query_id long, row long, vec_id long, side int, score long, wide binary
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, pivots: int = PIVOTS) -> DataFrame:
     """vectors, queries: (id long, v array<double> or null). Inner products of floor(scale * component).
     Returns query_id, rank, vec_id, score."""
-    vectors = stage(vectors.where("id is not null and v is not null").select(F.monotonically_increasing_id().alias("row"), "id", "v"), "vectors")
-    queries = stage(queries.where("id is not null and v is not null").select("id", "v").dropDuplicates(["id", "v"]), "queries")
+    vectors = stage(
+        vectors.where("id is not null and v is not null").select(
+            F.monotonically_increasing_id().alias("row"), "id", "v"
+        ),
+        "vectors",
+    )
+    queries = stage(
+        queries.where("id is not null and v is not null").select("id", "v").dropDuplicates(["id", "v"]), "queries"
+    )
     schema = "query_id long, rank int, vec_id long, score long"
     spark = vectors.sparkSession
     total, dims = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
-    asking, several, q_dims = queries.agg(F.count("*"), F.count("*") > F.countDistinct("id"), F.max(F.size("v"))).first()
+    asking, several, q_dims = queries.agg(
+        F.count("*"), F.count("*") > F.countDistinct("id"), F.max(F.size("v"))
+    ).first()
     if not total or not asking:
         return spark.createDataFrame([], schema)
     dims = max(dims, q_dims)
@@ -152,11 +163,16 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, pi
             far, norm = np.sqrt(((x.w - c[at]) ** 2).sum(1)) * (1 + 1e-9), np.sqrt((x.w * x.w).sum(1))
             large = list(x.large)
             at[large], far[large], norm[large] = apart, np.inf, np.inf
-            yield pa.record_batch([*batch.columns, pa.array(at), pa.array(far), pa.array(norm)], names=[f.split()[0] for f in PLACED.split(", ")])
+            yield pa.record_batch(
+                [*batch.columns, pa.array(at), pa.array(far), pa.array(norm)],
+                names=[f.split()[0] for f in PLACED.split(", ")],
+            )
 
     placed = stage(arrow_map(vectors, nearest, PLACED), "cells")
     n, far, least, most = np.zeros(apart + 1, np.int64), *(np.zeros(apart + 1) for _ in range(3))
-    for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.min("norm").alias("least"), F.max("norm").alias("most")).collect():
+    for r in placed.groupBy("cell").agg(
+        F.count("*").alias("n"), F.max("far").alias("far"), F.min("norm").alias("least"), F.max("norm").alias("most")
+    ).collect():
         n[r.cell], far[r.cell], least[r.cell], most[r.cell] = r.n, r.far, r.least, r.most
     blocks = np.maximum(1, -(-n // BLOCK))
     own = placed.groupBy("id").agg(F.count("*").alias("own")).join(queries.select("id").distinct(), "id", "left_semi")
@@ -182,19 +198,46 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, pi
             floor = np.take_along_axis(low, order, 1)[np.arange(len(q)), (held >= need).argmax(1)]
             floor = np.where((held >= need).any(axis=1), floor, -np.inf)
             row, cell = np.nonzero((high >= floor[:, None]) & (n > 0))
-            yield pa.record_batch([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(blocks[cell])], names=["id", "v", "cell", "blocks"])
-
-    asked = arrow_map(queries.join(own, "id", "left").select("id", "v", "own"), reach, "id long, v array<double>, cell int, blocks long")
-    asked = asked.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("row"), "id", "v")
+            yield pa.record_batch(
+                [
+                    batch.column(0).take(pa.array(row)),
+                    batch.column(1).take(pa.array(row)),
+                    pa.array(cell.astype(np.int32)),
+                    pa.array(blocks[cell]),
+                ],
+                names=["id", "v", "cell", "blocks"],
+            )
+
+    asked = arrow_map(
+        queries.join(own, "id", "left").select("id", "v", "own"),
+        reach,
+        "id long, v array<double>, cell int, blocks long",
+    )
+    asked = asked.select(
+        "cell",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.lit(1).alias("kind"),
+        F.lit(None).cast("long").alias("row"),
+        "id",
+        "v",
+    )
     of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    data = placed.select("cell", F.pmod(F.xxhash64("row"), of).cast("long").alias("block"), F.lit(0).alias("kind"), "row", "id", "v")
-    both = data.unionByName(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", "kind", "id", "row")
+    data = placed.select(
+        "cell", F.pmod(F.xxhash64("row"), of).cast("long").alias("block"), F.lit(0).alias("kind"), "row", "id", "v"
+    )
+    both = data.unionByName(asked).repartition("cell", "block").sortWithinPartitions(
+        "cell", "block", "kind", "id", "row"
+    )
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, x, ids, rows = None, [], None, None, None
         for batch in batches:
             cell, block, kind = (batch.column(i).to_numpy() for i in range(3))
-            edge = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]), [True]]))
+            edge = np.flatnonzero(
+                np.concatenate(
+                    [[True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]), [True]]
+                )
+            )
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 part = batch.slice(a, b - a)
                 if (cell[a], block[a]) != key:
@@ -206,19 +249,28 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, pi
                     continue
                 if x is None:
                     table = pa.Table.from_batches(held)
-                    x, ids, rows, held = Vectors(table.column("v"), dims, scale), table.column("id").to_numpy(), table.column("row").to_numpy(), []
+                    x, ids, rows, held = (
+                        Vectors(table.column("v"), dims, scale),
+                        table.column("id").to_numpy(),
+                        table.column("row").to_numpy(),
+                        [],
+                    )
                 for t in range(0, len(part), TURN):
                     yield from _solved(part.slice(t, TURN), x, ids, rows, k, dims, scale)
 
     local = arrow_map(both, solve, LOCAL)
     order = [F.desc("side"), F.desc("score"), F.desc("wide"), F.asc("vec_id")]
     if several:
-        local = local.withColumn("nth", F.row_number().over(W.partitionBy("query_id", "row").orderBy(*order))).where("nth = 1")
+        local = local.withColumn(
+            "nth", F.row_number().over(W.partitionBy("query_id", "row").orderBy(*order))
+        ).where("nth = 1")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(*order))
     return local.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _solved(part: pa.RecordBatch, x: Vectors, ids: np.ndarray, rows: np.ndarray, k: int, dims: int, scale: int) -> Iterator[pa.RecordBatch]:
+def _solved(
+    part: pa.RecordBatch, x: Vectors, ids: np.ndarray, rows: np.ndarray, k: int, dims: int, scale: int
+) -> Iterator[pa.RecordBatch]:
     q, own, out = Vectors(part.column(5), dims, scale), part.column(4).to_numpy(), []
     plain = np.ones(len(ids), bool)
     plain[list(x.large)] = False
@@ -230,17 +282,24 @@ def _solved(part: pa.RecordBatch, x: Vectors, ids: np.ndarray, rows: np.ndarray,
             found, exact = best(scores[i], rows[plain], ids[plain], me, k), x.large
         if len(exact):
             mine = q.integers(i)
-            found += [(sum(a * b for a, b in zip(mine, x.integers(j), strict=True)), int(ids[j]), int(rows[j])) for j in exact if ids[j] != me]
+            found += [
+                (sum(a * b for a, b in zip(mine, x.integers(j), strict=True)), int(ids[j]), int(rows[j]))
+                for j in exact if ids[j] != me
+            ]
             found = sorted(found, key=lambda f: (-f[0], f[1]))[:k]
         for score, vec, row in found:
             side = 0 if -(2**63) <= score < 2**63 else 1 if score > 0 else -1
             out.append((me, row, vec, side, None if side else score, _wide(score) if side else None))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-    yield pa.record_batch([pa.array([o[c] for o in out], t) for c, t in enumerate(kinds)], names=[f.split()[0] for f in LOCAL.split(", ")])
+    yield pa.record_batch(
+        [pa.array([o[c] for o in out], t) for c, t in enumerate(kinds)], names=[f.split()[0] for f in LOCAL.split(", ")]
+    )
 
 
 def op8_exact_topk(spark, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long").alias("id"), finite(F.col("embedding")).alias("v"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").cast("long").alias("id"), finite(F.col("embedding")).alias("v")
+    )
     return knn(rows, rows.where("id % 50 = 0"), 5)
 
 

@@ -106,7 +106,15 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def _follow(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, alpha: float, beta: float, l1: float, l2: float) -> None:
+def _follow(
+    model: Model,
+    rows: list[tuple[np.ndarray, np.ndarray, int]],
+    epochs: int,
+    alpha: float,
+    beta: float,
+    l1: float,
+    l2: float,
+) -> None:
     """FTRL-proximal on (buckets, counts, label): z and n by coordinate, weights from them in closed form."""
     k = len(model.labels)
     z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))
@@ -116,7 +124,10 @@ def _follow(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], epochs
         return np.where(np.abs(zz) <= l1, 0.0, -(zz - np.sign(zz) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
     order = np.random.Generator(np.random.PCG64(7))
-    vectors = [(np.append(at, BUCKETS), np.append(v, 1.0), y) for at, v, y in ((at, model.vector(at, n), y) for at, n, y in rows)]
+    vectors = [
+        (np.append(at, BUCKETS), np.append(v, 1.0), y)
+        for at, v, y in ((at, model.vector(at, n), y) for at, n, y in rows)
+    ]
     for _ in range(epochs):
         for i in order.permutation(len(vectors)):
             at, v, y = vectors[i]
@@ -149,9 +160,24 @@ def _calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) ->
 _SUMMED = T.StructType([T.StructField("n", T.LongType()), T.StructField("df", T.BinaryType())])
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 1536, least: int = 64, languages: int = 256, epochs: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1) -> Model:
+def fit(
+    train: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    train_rows: int = 1536,
+    least: int = 64,
+    languages: int = 256,
+    epochs: int = 4,
+    alpha: float = 0.5,
+    beta: float = 1.0,
+    l1: float = 0.02,
+    l2: float = 0.1,
+) -> Model:
     """Learn from the rows of train that have an id, a text with a letter and a language."""
-    train = train.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    train = train.select(
+        F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+    )
     train = train.where("id is not null and text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
 
     def frequencies(batches):
@@ -163,7 +189,10 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
                     df += c > 0
                     n += 1
         if n:
-            yield pa.record_batch([pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())], schema=pa.schema([("n", pa.int64()), ("df", pa.binary())]))
+            yield pa.record_batch(
+                [pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())],
+                schema=pa.schema([("n", pa.int64()), ("df", pa.binary())]),
+            )
 
     def fold(batches):
         df, n = np.zeros(BUCKETS, np.int64), 0
@@ -171,7 +200,10 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 n, df = n + k, df + np.frombuffer(raw, np.int64)
         if n:
-            yield pa.record_batch([pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())], schema=pa.schema([("n", pa.int64()), ("df", pa.binary())]))
+            yield pa.record_batch(
+                [pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())],
+                schema=pa.schema([("n", pa.int64()), ("df", pa.binary())]),
+            )
 
     # One array a task; folded over 32 tasks before the driver adds the rest.
     parts = arrow_map(arrow_map(train.select("text"), frequencies, _SUMMED).repartition(32), fold, _SUMMED).collect()
@@ -188,7 +220,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         return Model([], idf, np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     allowed = train.sparkSession.createDataFrame(list(quota.items()), "lang string, quota int")
     rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))
-    ranked = single.withColumn("rank", rank).where(F.col("rank") <= max(quota.values())).join(F.broadcast(allowed), "lang").where("rank <= quota")
+    ranked = single.withColumn("rank", rank).where(
+        F.col("rank") <= max(quota.values())
+    ).join(F.broadcast(allowed), "lang").where("rank <= quota")
     chosen = {(r.id, r.h, r.lang) for r in ranked.select("id", "h", "lang").collect()}
 
     def counted(batches):
@@ -201,7 +235,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
                     at = np.flatnonzero(c)
                     rows.append((i, h, lang, at.astype(np.int32).tobytes(), c[at].astype(np.int32).tobytes()))
             kinds = (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary())
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["id", "h", "lang", "at", "n"])
+            yield pa.record_batch(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["id", "h", "lang", "at", "n"]
+            )
 
     ids = train.sparkSession.createDataFrame(sorted(chosen), "id string, h long, lang string")
     asked = keyed.join(F.broadcast(ids), ["id", "h", "lang"], "left_semi").select("id", "h", "lang", "text")
@@ -218,16 +254,27 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
     """docs with `lang_pred` and `score` (or the names in `out`)."""
     names = replaced(docs.columns, out)
     source = docs.select(*names, F.col(text_col).alias("__li_text"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
+    schema = T.StructType(
+        [*source.schema.fields[:-1], T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())]
+    )
 
     def run(batches):
         for batch in batches:
             got = [model.predict(t.as_py()) for t in batch.column(len(names))]
-            yield pa.record_batch([*batch.columns[:-1], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=schema.names)
+            yield pa.record_batch(
+                [
+                    *batch.columns[:-1],
+                    pa.array([g[0] for g in got], pa.string()),
+                    pa.array([g[1] for g in got], pa.float64()),
+                ],
+                names=schema.names,
+            )
 
     return arrow_map(source, run, schema)
 
@@ -239,7 +286,9 @@ def known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     falls to the grid's end, and noise would be certain too. With one language or none there are no odds to
     reject by: every text with a letter stays."""
     if not model.labels:
-        model = Model(["und?"], np.ones(BUCKETS, np.float32), np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32))
+        model = Model(
+            ["und?"], np.ones(BUCKETS, np.float32), np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32)
+        )
     k = len(model.labels)
     out = predict(docs, replace(model, temperature=max(1.0, model.temperature)), text_col, ("__li_lang", "__li_score"))
     letters = F.length(F.regexp_replace(F.col(text_col), r"\P{L}+", ""))

@@ -50,7 +50,25 @@ def to_bmp(samples: np.ndarray) -> bytes:
     padded[:, : row.shape[1]] = row[::-1]
     palette = b"".join(bytes((i, i, i, 0)) for i in range(256)) if grey else b""
     at = 54 + len(palette)
-    return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", at + padded.nbytes, 0, 0, at, 40, w, h, 1, 8 if grey else 24, 0, padded.nbytes, 2835, 2835, 256 if grey else 0, 0) + palette + padded.tobytes()
+    return struct.pack(
+        "<2sIHHIIiiHHIIiiII",
+        b"BM",
+        at + padded.nbytes,
+        0,
+        0,
+        at,
+        40,
+        w,
+        h,
+        1,
+        8 if grey else 24,
+        0,
+        padded.nbytes,
+        2835,
+        2835,
+        256 if grey else 0,
+        0,
+    ) + palette + padded.tobytes()
 
 
 def _netpbm(raw: bytes) -> tuple[np.ndarray, int]:
@@ -67,7 +85,10 @@ def _netpbm(raw: bytes) -> tuple[np.ndarray, int]:
         raise ValueError("no pixels, or more than there are bytes for")
     if kind in (1, 2, 3):
         body = re.sub(rb"#[^\n\r]*", b"", raw[at:])
-        x = np.array([int(n) for n in re.findall(rb"[01]" if kind == 1 else rb"[0-9]+", body)[: w * h * depth] if len(n) < 10], np.int64)
+        x = np.array(
+            [int(n) for n in re.findall(rb"[01]" if kind == 1 else rb"[0-9]+", body)[: w * h * depth] if len(n) < 10],
+            np.int64,
+        )
     elif kind == 4:
         stride = -(-w // 8)
         x = np.unpackbits(np.frombuffer(raw, np.uint8, stride * h, at + 1).reshape(h, stride), axis=1)[:, :w].ravel()
@@ -131,11 +152,15 @@ def resize(x: np.ndarray, height: int, width: int) -> np.ndarray:
     total = np.zeros((len(rows), x.shape[1] + 1, x.shape[2]))
     np.cumsum(np.cumsum(each, 0), 1, out=total[:, 1:])
     part = (edge - low)[:, None, None]
-    down = np.diff(total[np.searchsorted(rows, low)] * (1 - part) + total[np.searchsorted(rows, low + 1)] * part, axis=0)
+    down = np.diff(
+        total[np.searchsorted(rows, low)] * (1 - part) + total[np.searchsorted(rows, low + 1)] * part, axis=0
+    )
     edge = np.arange(width + 1) * (x.shape[1] / width)
     low = np.minimum(edge.astype(int), x.shape[1] - 1)
     part = (edge - low)[None, :, None]
-    out = np.diff(down[:, low] * (1 - part) + down[:, low + 1] * part, axis=1) / ((x.shape[0] / height) * (x.shape[1] / width))
+    out = np.diff(
+        down[:, low] * (1 - part) + down[:, low + 1] * part, axis=1
+    ) / ((x.shape[0] / height) * (x.shape[1] / width))
     return out[:, :, 0] if flat else out
 
 
@@ -177,7 +202,10 @@ def tiles(df: DataFrame, media_col: str = "media", height: int = 32, width: int
     def run(batches):
         for batch in batches:
             rows = [one(v.as_py()) for v in batch.column(len(names))]
-            yield pa.record_batch([*batch.columns[:-1], *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=[*names, *new.names])
+            yield pa.record_batch(
+                [*batch.columns[:-1], *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))],
+                names=[*names, *new.names],
+            )
 
     return arrow_map(source, run, T.StructType([*source.schema.fields[:-1], *new.fields]))
 
@@ -196,7 +224,9 @@ def text_media(docs: DataFrame) -> DataFrame:
         back = image.tobytes()
         tile = npy(np.rint(resize(image, 32, WIDTH)).astype(np.uint8))
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        return len(raw), len(back), sha(back), zlib.crc32(back[-32:]), len(media), sha(media), difference_hash(image), sha(tile)
+        return len(raw), len(back), sha(back), zlib.crc32(
+            back[-32:]
+        ), len(media), sha(media), difference_hash(image), sha(tile)
 
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
     names = [x.split()[0] for x in OP5.split(", ")]
@@ -204,7 +234,9 @@ def text_media(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = [one(t.as_py()) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
+            yield pa.record_batch(
+                [batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names
+            )
 
     return arrow_map(docs.select("doc_id", "text"), run, OP5)
 

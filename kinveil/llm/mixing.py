@@ -62,17 +62,30 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     none more is beyond."""
     total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     turn = F.pmod(F.col("__mx_rank"), F.lit(len(weights))) + 1
-    given = stage(ranked(total, "source", "__mx_rank").withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn.cast("int"))), "mix-sources")
+    given = stage(
+        ranked(total, "source", "__mx_rank").withColumn(
+            "weight", F.element_at(F.array(*map(F.lit, weights)), turn.cast("int"))
+        ),
+        "mix-sources",
+    )
     whole = given.agg(F.sum("source_size")).first()[0] or 0
     level, beyond = 0.0, -1
     while True:
         cap = most * F.col("source_size")
         over = F.lit(level) * F.col("weight") > cap
-        r = given.agg(F.count(F.when(over, 1)).alias("n"), F.sum(F.when(over, cap)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("open")).first()
+        r = given.agg(
+            F.count(F.when(over, 1)).alias("n"),
+            F.sum(F.when(over, cap)).alias("full"),
+            F.sum(F.when(~over, F.col("weight"))).alias("open"),
+        ).first()
         if r.n == beyond:
             break
         beyond, level = r.n, (share * whole - (r.full or 0)) / r.open if r.open else float("inf")
-    return given.select("source", "source_size", F.least(most * F.col("source_size"), F.lit(level) * F.col("weight")).cast("double").alias("target"))
+    return given.select(
+        "source",
+        "source_size",
+        F.least(most * F.col("source_size"), F.lit(level) * F.col("weight")).cast("double").alias("target"),
+    )
 
 
 def _round(items: Column) -> Column:
@@ -84,19 +97,27 @@ def _round(items: Column) -> Column:
         up = F.least(a["size"] * (1 - a["p"]), b["size"] * b["p"])
         down = F.least(a["size"] * a["p"], b["size"] * (1 - b["p"]))
         rise = (a["u"] + b["u"]) % 1 * (up + down) < down
-        a_ends = F.when(rise, a["size"] * (1 - a["p"]) <= b["size"] * b["p"]).otherwise(a["size"] * a["p"] <= b["size"] * (1 - b["p"]))
+        a_ends = F.when(
+            rise, a["size"] * (1 - a["p"]) <= b["size"] * b["p"]
+        ).otherwise(a["size"] * a["p"] <= b["size"] * (1 - b["p"]))
         a_p = F.when(rise, a["p"] + up / a["size"]).otherwise(a["p"] - down / a["size"])
         b_p = F.when(rise, b["p"] - up / b["size"]).otherwise(b["p"] + down / b["size"])
         ended = F.when(a_ends, a).otherwise(b)
         bit = F.when(a_ends, rise).otherwise(~rise).cast("int")
         rest = F.when(a_ends, b.withField("p", b_p)).otherwise(a.withField("p", a_p))
-        rest = rest.withField("p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), rest["p"]))).withField("u", F.pmod(rest["u"] * 7919 + 0.618033988749895, F.lit(1.0)))
+        rest = rest.withField("p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), rest["p"]))).withField(
+            "u", F.pmod(rest["u"] * 7919 + 0.618033988749895, F.lit(1.0))
+        )
         done = F.concat(state["done"], F.array(F.struct(ended["row"].alias("row"), bit.alias("bit"))))
         return F.struct(done.alias("done"), rest.alias("last"))
 
     first = items[0]
     empty = F.expr("cast(array() as array<struct<row:struct<id:bigint,tie:bigint,size:bigint,nth:bigint>,bit:int>>)")
-    return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), F.struct(empty.alias("done"), first.alias("last")), pair)
+    return F.aggregate(
+        F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))),
+        F.struct(empty.alias("done"), first.alias("last")),
+        pair,
+    )
 
 
 def rounded(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -104,19 +125,37 @@ def rounded(docs: DataFrame, seed: int = 0) -> DataFrame:
     0 < p < 1. tie and nth tell rows of one id apart."""
     hashed = F.xxhash64("id", "tie", "nth", F.lit(seed))
     u = F.pmod(F.shiftrightunsigned(hashed, 11), F.lit(1 << 50)) / F.lit(float(1 << 50))
-    item = F.struct(F.shiftrightunsigned(hashed, 3).alias("key"), F.struct("id", "tie", "size", "nth").alias("row"), F.col("size").cast("double").alias("size"), "p", u.alias("u"))
+    item = F.struct(
+        F.shiftrightunsigned(hashed, 3).alias("key"),
+        F.struct("id", "tie", "size", "nth").alias("row"),
+        F.col("size").cast("double").alias("size"),
+        "p",
+        u.alias("u"),
+    )
     level = docs.select("source", item.alias("item"))
     counted = stage(level, "mix-items")
     out = []
     most = counted.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     while True:
         cells = counted.groupBy("source").agg((F.expr(f"count(*) div {CELL}") + 1).alias("cells"))
-        dealt = counted.join(cells, "source").select("source", "item", F.expr("pmod(xxhash64(item.key, item.row), cells)").alias("cell"))
-        made = dealt.groupBy("source", "cell").agg(F.array_sort(F.collect_list("item")).alias("items")).select("source", _round(F.col("items")).alias("r"))
+        dealt = counted.join(cells, "source").select(
+            "source", "item", F.expr("pmod(xxhash64(item.key, item.row), cells)").alias("cell")
+        )
+        made = dealt.groupBy("source", "cell").agg(
+            F.array_sort(F.collect_list("item")).alias("items")
+        ).select("source", _round(F.col("items")).alias("r"))
         made = stage(made, "mix-level")
         out.append(made.select("source", F.explode("r.done").alias("d")).select("source", "d.row.*", "d.bit"))
         if most < CELL:
-            return reduce(DataFrame.unionAll, [*out, made.select("source", "r.last.row.*", (F.col("r.last.u") < F.col("r.last.p")).cast("int").alias("bit"))])
+            return reduce(
+                DataFrame.unionAll,
+                [
+                    *out,
+                    made.select(
+                        "source", "r.last.row.*", (F.col("r.last.u") < F.col("r.last.p")).cast("int").alias("bit")
+                    ),
+                ],
+            )
         counted, most = made.select("source", F.col("r.last").alias("item")), most // CELL + 1
 
 
@@ -128,7 +167,9 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2
     rate = F.col("target") / F.col("source_size")
     equal = docs.groupBy("source", "id", "size", "tie").agg(F.count("*").alias("m"))
     chunks = equal.withColumn("c", F.explode(F.expr(f"sequence(0, (m - 1) div {CHUNK})")))
-    each = chunks.withColumn("nth", F.explode(F.expr(f"sequence(c * {CHUNK}, least((c + 1) * {CHUNK}, m) - 1)"))).drop("c", "m")
+    each = chunks.withColumn(
+        "nth", F.explode(F.expr(f"sequence(c * {CHUNK}, least((c + 1) * {CHUNK}, m) - 1)"))
+    ).drop("c", "m")
     counts = F.col("size") > 0
     rows = each.join(given, "source").withColumn("whole", F.when(counts, F.floor(rate)).otherwise(0).cast("int"))
     rows = stage(rows.withColumn("p", F.when(counts, rate - F.floor(rate)).otherwise(0.0)), "mix-rates")
@@ -140,27 +181,49 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("tie")), "mix-sizes")
-
-
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    return stage(
+        docs.select(
+            F.col(id_col).cast("long").alias("id"),
+            F.col(source_col).alias("source"),
+            words(F.col(text_col)).alias("size"),
+            F.xxhash64(text_col).alias("tie"),
+        ),
+        "mix-sizes",
+    )
+
+
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how
+) -> DataFrame:
     """docs with every row as many times as the mix takes it (not at all, once or twice by default).
 
     Rows that repeat an id, source and text are drawn apart from each other, and what is taken of them in
     all is dealt back over them evenly, so the mix has the same rows each time."""
     counted = copies(sized(docs, id_col, text_col, source_col), **how)
     key = lambda a, b, c: F.struct(a.alias("a"), b.alias("b"), c.alias("c")).alias("__mx_key")
-    pooled = counted.groupBy(key(*map(F.col, ("id", "source", "tie")))).agg(F.sum("copies").alias("__mx_sum"), F.count("*").alias("__mx_n"))
+    pooled = counted.groupBy(key(*map(F.col, ("id", "source", "tie")))).agg(
+        F.sum("copies").alias("__mx_sum"), F.count("*").alias("__mx_n")
+    )
     keyed = docs.select("*", key(F.col(id_col).cast("long"), F.col(source_col), F.xxhash64(text_col)))
     both = keyed.join(pooled, "__mx_key")
     single = both.where("__mx_n = 1").withColumn("__mx_c", F.col("__mx_sum"))
     several = stage(both.where("__mx_n > 1").withColumn("__mx_row", F.monotonically_increasing_id()), "mix-several")
     several = numbered(several, ["__mx_key"], "__mx_n", "__mx_row", "__mx_nth").drop("__mx_row")
-    several = several.withColumn("__mx_c", F.expr("__mx_sum div __mx_n + if(__mx_nth < __mx_sum % __mx_n, 1, 0)")).drop("__mx_nth")
+    several = several.withColumn(
+        "__mx_c", F.expr("__mx_sum div __mx_n + if(__mx_nth < __mx_sum % __mx_n, 1, 0)")
+    ).drop("__mx_nth")
     out = single.unionByName(several).where("__mx_c > 0")
     return out.withColumn("__mx_c", F.explode(F.expr("sequence(1, int(__mx_c))"))).select(*docs.columns)
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     out = copies(sized(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")))
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "source",
+        "copies",
+    )

@@ -196,7 +196,10 @@ def _sets(n: int):
                 sig, empty = signatures(name, edge), np.diff(edge) == 0
                 keys = [pa.array(k.view(np.int64), mask=empty) for k in (k1, k2)]
                 marks = pa.array([None if e else s.tobytes() for s, e in zip(sig, empty, strict=True)], pa.binary())
-                yield pa.record_batch([*(batch.column(k).slice(a, b - a) for k in (0, 1)), *keys, pa.array(np.diff(edge) * 8), marks], names=[x.split()[0] for x in SETS.split(", ")])
+                yield pa.record_batch(
+                    [*(batch.column(k).slice(a, b - a) for k in (0, 1)), *keys, pa.array(np.diff(edge) * 8), marks],
+                    names=[x.split()[0] for x in SETS.split(", ")],
+                )
 
     return run
 
@@ -209,7 +212,10 @@ def _bands(batches):
         key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * U(0x9FB21C651E98DF25), sig.shape[:2])
         for k in range(ROWS):
             key = mix((key ^ sig[:, :, k]) * U(0xA24BAED4963EE407) + U(k))
-        yield pa.record_batch([signed(np.ascontiguousarray(key).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "node"])
+        yield pa.record_batch(
+            [signed(np.ascontiguousarray(key).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))],
+            names=["bucket", "node"],
+        )
 
 
 def _buckets(least):
@@ -227,8 +233,13 @@ def _buckets(least):
                 out += list(zip(doc[ok].tolist(), doc[ok + 1].tolist(), strict=True))
             for a, b in zip(edge[:-1][size > 2].tolist(), edge[1:][size > 2].tolist(), strict=True):
                 part = sig[a:b]
-                out += [(int(doc[a + x]), int(doc[a + y])) for x, y in forest(b - a, lambda i, js, part=part: survivors(part[i], part[js], least))]
-            yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+                out += [
+                    (int(doc[a + x]), int(doc[a + y]))
+                    for x, y in forest(b - a, lambda i, js, part=part: survivors(part[i], part[js], least))
+                ]
+            yield pa.record_batch(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"]
+            )
 
     return run
 
@@ -274,8 +285,13 @@ def _verify(n: int, threshold: float):
                     near &= block[a:b, None] != block[None, a:b]
                 links = near @ copies[a:b]
                 out += [(int(doc[a + x]), None, int(links[x])) for x in np.flatnonzero(links)]
-                out += [(int(doc[a + x]), int(doc[a + y]), None) for x, y in forest(b - a, lambda x, ys, near=near: np.flatnonzero(near[x, ys]))]
-            yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "links"])
+                out += [
+                    (int(doc[a + x]), int(doc[a + y]), None)
+                    for x, y in forest(b - a, lambda x, ys, near=near: np.flatnonzero(near[x, ys]))
+                ]
+            yield pa.record_batch(
+                [pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "links"]
+            )
 
     return run
 
@@ -288,7 +304,15 @@ def _cells(df: DataFrame, blocks) -> DataFrame:
     return df.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, tolerance: float = 1e-9, row_col: str | None = None) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = 5,
+    threshold: float = 0.8,
+    tolerance: float = 1e-9,
+    row_col: str | None = None,
+) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (the least id of those linked by any chain of
     similarities of threshold or more) and n_links (rows that are that similar to this one). row_col: a
     column of distinct longs, none null, of a docs that is written down; else rows are numbered and written here."""
@@ -300,37 +324,80 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = stage(arrow_map(texts, _sets(n), SETS), "sets", "zstd")
     real = every.where("doc is not null and k1 is not null")
     # Any row can speak for its set; the class's id is the least of all rows.
-    chosen = real.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc").alias("least"), F.count("*").alias("copies"))
+    chosen = real.groupBy("k1", "k2").agg(
+        F.min("row").alias("node"), F.min("doc").alias("least"), F.count("*").alias("copies")
+    )
     chosen = stage(chosen, "representatives")
-    reps = stage(real.join(chosen.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "sig"), "signatures", "zstd")
+    reps = stage(
+        real.join(
+            chosen.select(F.col("node").alias("row")), "row", "left_semi"
+        ).select(F.col("row").alias("node"), "size", "sig"),
+        "signatures",
+        "zstd",
+    )
 
     bands = stage(arrow_map(reps.select("node", "sig"), _bands, "bucket long, node long"), "bands", "zstd")
     members = F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), members[0].alias("x"), members[1].alias("y"), F.min("node").alias("first")).where("n > 1")
-    buckets = stage(buckets.groupBy("n", "x", "y", "first").agg(F.min("bucket").alias("bucket")).select("bucket", "n", F.col("n").alias("many")), "buckets")
+    buckets = bands.groupBy("bucket").agg(
+        F.count("*").alias("n"), members[0].alias("x"), members[1].alias("y"), F.min("node").alias("first")
+    ).where("n > 1")
+    buckets = stage(
+        buckets.groupBy("n", "x", "y", "first").agg(F.min("bucket").alias("bucket")).select(
+            "bucket", "n", F.col("n").alias("many")
+        ),
+        "buckets",
+    )
     live = join_groups(bands, buckets, ["bucket"], "many", bands.count()).join(reps.select("node", "sig"), "node")
     cells = _cells(live, F.expr(f"int((n - 1) div {BUCKET_BLOCK}) + 1")).select("bucket", "i", "j", "node", "sig")
-    pairs = arrow_map(cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), _buckets(least_matches(threshold, tolerance)), "a long, b long")
+    pairs = arrow_map(
+        cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"),
+        _buckets(least_matches(threshold, tolerance)),
+        "a long, b long",
+    )
     groups = stage(components(pairs).join(reps.select("node", "size"), "node"), "groups")
     discard(bands, buckets, reps)
 
-    weight = stage(groups.groupBy("component").agg(F.count("*").alias("n"), F.count("*").alias("many"), F.sum("size").alias("bytes")), "weights")
+    weight = stage(
+        groups.groupBy("component").agg(
+            F.count("*").alias("n"), F.count("*").alias("many"), F.sum("size").alias("bytes")
+        ),
+        "weights",
+    )
     members = join_groups(groups, weight, ["component"], "many", groups.count()).drop("size")
-    members = members.join(chosen.select("node", "copies"), "node").withColumnRenamed("node", "row").withColumnRenamed("component", "group")
+    members = members.join(
+        chosen.select("node", "copies"), "node"
+    ).withColumnRenamed("node", "row").withColumnRenamed("component", "group")
     asked = texts.select("row", "text").join(members.hint("shuffle_hash"), "row").withColumnRenamed("row", "node")
     blocks = F.expr(f"int(greatest((n - 1) div {TEXT_BLOCK}, bytes div {TEXT_BYTES})) + 1")
     cells = _cells(asked, blocks).select("group", "i", "j", "block", "node", "copies", "text")
-    found = stage(arrow_map(cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node"), _verify(n, threshold), "a long, b long, links long"), "verified")
+    found = stage(
+        arrow_map(
+            cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node"),
+            _verify(n, threshold),
+            "a long, b long, links long",
+        ),
+        "verified",
+    )
 
     tied = stage(components(found.where("b is not null")).join(chosen.select("node", "least"), "node"), "classes")
     least = stage(tied.groupBy("component").agg(F.min("least").alias("class_id"), F.count("*").alias("n")), "least")
-    classes = join_groups(tied.select("node", "component"), least, ["component"], "n", tied.count()).select("node", "class_id")
+    classes = join_groups(
+        tied.select("node", "component"), least, ["component"], "n", tied.count()
+    ).select("node", "class_id")
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     known = chosen.join(classes, "node", "left").join(links, "node", "left")
-    known = known.select("k1", "k2", "copies", F.coalesce("class_id", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = known.select(
+        "k1",
+        "k2",
+        "copies",
+        F.coalesce("class_id", "least").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
     known = stage(known, "known")
     discard(groups, weight, found, tied, least, *([] if row_col else [texts]))
-    out = join_groups(real.select("doc", "k1", "k2"), known, ["k1", "k2"], "copies", every.count()).select(F.col("doc").alias("doc_id"), "class_id", "n_links")
+    out = join_groups(
+        real.select("doc", "k1", "k2"), known, ["k1", "k2"], "copies", every.count()
+    ).select(F.col("doc").alias("doc_id"), "class_id", "n_links")
     return out.unionAll(every.where("doc is null or k1 is null").select("doc", "doc", F.lit(0).cast("long")))
 
 

@@ -11,7 +11,21 @@ from kinveil.llm.substring_dedup import op1_substring_dedup
 from kinveil.llm.token_count import op10_token_count
 from kinveil.llm.url_filter import OP6_SQL, op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_sharding, op4_bpe, op5_media, op6_url_filter, op7_mixing, op8_exact_topk, op9_ngram_jaccard, op10_token_count)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_language_id,
+        op3_sharding,
+        op4_bpe,
+        op5_media,
+        op6_url_filter,
+        op7_mixing,
+        op8_exact_topk,
+        op9_ngram_jaccard,
+        op10_token_count,
+    )
+}
 
 OP1_SQL = r"""
 with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
@@ -24,4 +38,6 @@ select w.doc_id, cast(len(ws) as bigint) n_words, cast(len(ws) - coalesce(n, 0)
 from w left join kept using (doc_id)
 """
 
-SQL = {"op1_substring_dedup": OP1_SQL, "op6_url_filter": OP6_SQL, "op8_exact_topk": OP8_SQL, "op9_ngram_jaccard": OP9_SQL}
+SQL = {
+    "op1_substring_dedup": OP1_SQL, "op6_url_filter": OP6_SQL, "op8_exact_topk": OP8_SQL, "op9_ngram_jaccard": OP9_SQL
+}

@@ -66,7 +66,14 @@ class Symbols:
         first = np.flatnonzero(np.concatenate([[True], (self.name[1:] != self.name[:-1]) | ~joined]))
         size = np.diff(np.append(first, len(self.name)))
         named = np.where(size == 1, self.name[first], combine(self.name[first] ^ salt, size.astype(U)))
-        return Symbols(named, np.add.reduceat(self.size, first), before[first], after[first + size - 1], self.lo[first], self.hi[first])
+        return Symbols(
+            named,
+            np.add.reduceat(self.size, first),
+            before[first],
+            after[first + size - 1],
+            self.lo[first],
+            self.hi[first],
+        )
 
     def pairs(self, salt: U) -> Symbols:
         joined, before, after = self.around()
@@ -80,7 +87,14 @@ class Symbols:
         keep[at + 1] = False
         total = self.size.copy()
         total[at] += self.size[at + 1]
-        return Symbols(named[keep], total[keep], np.where(left, self.cs, before)[keep], np.where(left, after, self.ce)[keep], self.lo[keep], self.hi[keep])
+        return Symbols(
+            named[keep],
+            total[keep],
+            np.where(left, self.cs, before)[keep],
+            np.where(left, after, self.ce)[keep],
+            self.lo[keep],
+            self.hi[keep],
+        )
 
 
 def parse(words: Words) -> list[Symbols]:
@@ -151,7 +165,16 @@ def _stretches(window: int):
                 size = np.diff(np.append(cut, len(starts)))
                 begin, d = starts[cut], doc[cut]
                 whole = prints(words, begin, begin + size + window - 1)
-                yield _batch(STRETCH, [name[cut].view(np.int64), *whole, ids[a + d].astype(np.int64), (begin - words.first[d] + base).astype(np.int32), size.astype(np.int32)])
+                yield _batch(
+                    STRETCH,
+                    [
+                        name[cut].view(np.int64),
+                        *whole,
+                        ids[a + d].astype(np.int64),
+                        (begin - words.first[d] + base).astype(np.int32),
+                        size.astype(np.int32),
+                    ],
+                )
 
     return run
 
@@ -177,16 +200,27 @@ def _windows(window: int):
                 # A few at a time: what is held doesn't grow with the text.
                 for k in range(0, len(begin), 1 << 16):
                     x = slice(k, k + (1 << 16))
-                    yield _batch(WINDOW, [*prints(words, begin[x], begin[x] + window), ids[a + d[row[x]]], (local[x] + base).astype(np.int32)])
+                    yield _batch(
+                        WINDOW,
+                        [
+                            *prints(words, begin[x], begin[x] + window),
+                            ids[a + d[row[x]]],
+                            (local[x] + base).astype(np.int32),
+                        ],
+                    )
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, out: str = "spans") -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, out: str = "spans"
+) -> DataFrame:
     """docs with `spans`: the runs of word windows (first word, number of windows) that also start in a
     document of a smaller id; null where there are none."""
     key, spans = "__sd_id", "__sd_runs"
-    lean = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
+    lean = docs.select(
+        F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")
+    ).where("doc is not null and text is not null")
     rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches", "zstd")
     # Most names stand in one document alone, which no other can repeat: they go before anything else.
     ends = F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("rows")
@@ -196,7 +230,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     whole = stage(met.groupBy("name", "p1", "p2").agg(*ends), "whole")
     forms = stage(whole.groupBy("name").agg(F.count("*").alias("forms")).where("forms > 1"), "forms")
-    many = join_groups(whole, forms.select("name", "forms", F.lit(True).alias("many")), ["name"], "forms", whole.count())
+    many = join_groups(
+        whole, forms.select("name", "forms", F.lit(True).alias("many")), ["name"], "forms", whole.count()
+    )
     once = whole.join(forms.select("name"), "name", "left_anti").where("most > least").withColumn("many", F.lit(False))
     live = stage(many.unionByName(once).select("p1", "p2", "least", "many", "rows"), "live")
     shared = join_groups(met, live, ["p1", "p2"], "rows", met.count()).where("doc > least or many")
@@ -207,8 +243,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     single = stage(arrow_map(lean.join(ask.hint("shuffle_hash"), "doc"), _windows(window), WINDOW), "windows", "zstd")
     least = single.groupBy("p1", "p2").agg(*ends).where("most > least").select("p1", "p2", "least", "rows")
     least = stage(least, "least")
-    late = join_groups(single, least, ["p1", "p2"], "rows", single.count()).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
-    runs = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias(spans))
+    late = join_groups(
+        single, least, ["p1", "p2"], "rows", single.count()
+    ).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
+    runs = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(
+        F.collect_list(F.struct("start", "n")).alias(spans)
+    )
     keyed = docs.select(F.col(id_col).cast("long").alias(key), *docs.columns)
     joined = keyed.join(runs.withColumnRenamed("doc", key).hint("shuffle_hash"), key, "left")
     return joined.select(*replaced(docs.columns, (out,)), F.col(spans).alias(out))
@@ -241,7 +281,13 @@ def kept(text: pa.Array, spans: pa.Array, window: int) -> Iterator[tuple[int, in
             yield j - i, gone, mine[:-1].tobytes(), last
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, out: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
+def dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 50,
+    out: tuple[str, str] = ("n_words", "n_removed"),
+) -> DataFrame:
     """docs with the repeated words taken out of the text (the rest joined by one space; a text that
     loses nothing stays as it is), and with `n_words` and `n_removed` (or the names in `out`)."""
     found = repeated_spans(docs, id_col, text_col, window, "__sd_spans")
@@ -262,7 +308,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             old = text.to_pylist()
             new = pa.array([t if r[0] is None else r[0].decode() for t, r in zip(old, rows, strict=True)], text.type)
             columns = [new if c == text_col else batch.column(k) for k, c in enumerate(names)]
-            yield pa.record_batch([*columns, *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2))], names=schema.names)
+            yield pa.record_batch(
+                [*columns, *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2))], names=schema.names
+            )
 
     return arrow_map(found, run, schema)
 

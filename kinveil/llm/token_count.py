@@ -146,4 +146,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str =
 def op10_token_count(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return count_tokens(
+        spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    ).drop("text")

@@ -87,7 +87,9 @@ def levels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column,
     labels = F.size(F.split(name, r"\."))
     n = F.lit(1)
     for k in sorted({x.count(".") + 1 for x in suffixes}):
-        n = F.when(F.substring_index(name, ".", -k).isin([x for x in suffixes if x.count(".") + 1 == k]), k).otherwise(n)
+        n = F.when(
+            F.substring_index(name, ".", -k).isin([x for x in suffixes if x.count(".") + 1 == k]), k
+        ).otherwise(n)
     own = name.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*)$") | (labels <= n)
     last = lambda k: F.array_join(F.slice(F.split(name, r"\."), labels - k + 1, k), ".")
     return F.when(own, name).otherwise(last(n + 1)), F.when(own, name).otherwise(last(n))
@@ -108,26 +110,42 @@ def _shrunk(children: DataFrame) -> DataFrame:
     """children (.., n, bad, prior) with posterior a and b."""
     w = F.lit(float(_weight(children)))
     a = F.col("bad") + F.col("prior") * w
-    return children.withColumn("a", a).withColumn("b", F.col("n") - F.col("bad") + (1 - F.col("prior")) * w).drop("prior")
+    return children.withColumn("a", a).withColumn(
+        "b", F.col("n") - F.col("bad") + (1 - F.col("prior")) * w
+    ).drop("prior")
 
 
 def reputation(pages: DataFrame, bad_col: str, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """host, n, bad, a, b: every host's labelled pages and posterior, one row a host; pages: host, and
     bad_col 0/1 or null."""
     domain, suffix = levels(F.col("host"), suffixes)
-    hosts = pages.groupBy("host").agg(F.count(bad_col).alias("n"), F.coalesce(F.sum(bad_col), F.lit(0)).cast("long").alias("bad"))
+    hosts = pages.groupBy("host").agg(
+        F.count(bad_col).alias("n"), F.coalesce(F.sum(bad_col), F.lit(0)).cast("long").alias("bad")
+    )
     # One row a host, written: every level below reads these sums, none the pages again.
     hosts = stage(hosts.withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     sums = lambda *key: hosts.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    all_ = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    all_ = hosts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
+    ).first()
     mean = (F.col("a") / (F.col("a") + F.col("b"))).alias("prior")
     top = _shrunk(sums("suffix").withColumn("prior", F.lit((all_.bad + START_RATE) / (all_.n + 1))))
     # A domain may be a host's own suffix and lie under another: both name it.
     middle = _shrunk(sums("domain", "suffix").join(top.select("suffix", mean), "suffix"))
-    return _shrunk(hosts.join(middle.select("domain", "suffix", mean), ["domain", "suffix"])).select("host", "n", "bad", "a", "b")
-
-
-def judge(pages: DataFrame, bad_col: str = "bad", url_col: str = "url", rules=RULES, limit: float = 0.3, z: float = 1.645, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    return _shrunk(
+        hosts.join(middle.select("domain", "suffix", mean), ["domain", "suffix"])
+    ).select("host", "n", "bad", "a", "b")
+
+
+def judge(
+    pages: DataFrame,
+    bad_col: str = "bad",
+    url_col: str = "url",
+    rules=RULES,
+    limit: float = 0.3,
+    z: float = 1.645,
+    suffixes: tuple[str, ...] = SUFFIXES,
+) -> DataFrame:
     """pages with `host`, `path`, `rule`, `verdict`, and `bound`, the lower posterior bound of the bad rate."""
     others = replaced(pages.columns, OUT)
     work = pages.select(*others, F.col(url_col).alias("__u_url"), F.col(bad_col).alias("__u_bad"))
@@ -145,10 +163,19 @@ def outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url", out: str
     """pages with `bad`: 1 where the document that the page shows is labelled toxic or of no quality, 0 where
     it is labelled otherwise, null where it has no label. A page shows the document whose number ends its
     path; of several labels of a document the worst counts."""
-    worst = labels.groupBy(F.col("doc_id").cast("long").alias("__u_doc")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)).alias("__u_bad"))
+    worst = labels.groupBy(F.col("doc_id").cast("long").alias("__u_doc")).agg(
+        F.max(
+            F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(
+                F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0
+            )
+        ).alias("__u_bad")
+    )
     number = F.expr("try_cast(nullif(regexp_extract(path, '/([0-9]+)([.]html?)?/?$', 1), '') as bigint)")
     others = replaced(pages.columns, (out,))
-    work = parsed(pages.select(*(F.col(c).alias(f"__u_{k}") for k, c in enumerate(others)), F.col(url_col).alias("__u_url")), "__u_url")
+    work = parsed(
+        pages.select(*(F.col(c).alias(f"__u_{k}") for k, c in enumerate(others)), F.col(url_col).alias("__u_url")),
+        "__u_url",
+    )
     both = work.withColumn("__u_doc", number).join(worst, "__u_doc", "left")
     return both.select(*(F.col(f"__u_{k}").alias(c) for k, c in enumerate(others)), F.col("__u_bad").alias(out))
 
@@ -156,13 +183,18 @@ def outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url", out: str
 def op6_url_filter(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return judge(outcomes(pages, labels)).select("page_id", "host", "path", "rule", "verdict", F.round("bound", 6).alias("bound"))
+    return judge(outcomes(pages, labels)).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("bound", 6).alias("bound")
+    )
 
 
 def _sql() -> str:
     """The same in SQL; labels and suffixes as above."""
     few = ", ".join(f"'{x}'" for x in SUFFIXES)
-    fits = [f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h + p}'" for _, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
+    fits = [
+        f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h + p}'"
+        for _, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    ]
     says = " ".join(f"when '{h + p}' then '{v}'" for v, h, p in RULES)
     weight = lambda t: f"""(select coalesce(case when x > 0 then least(greatest(1 / x - 1, {MIN_WEIGHT}), {MAX_WEIGHT}) end, {MAX_WEIGHT}) from
   (select sum((bad - n * p) * (bad - n * p) - n * p * (1 - p)) / nullif(sum(n * (n - 1) * p * (1 - p)), 0) x from {t} where n > 1))"""
