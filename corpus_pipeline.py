@@ -31,7 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one, also where they repeat an id: an exact repeat goes, another text under the id is judged by its own
     class. Rows without an id come after all ids, so one stays only if its class has no row with an id."""
     rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", "zstd")
-    found = ngram_join.near_duplicates(rows, id_col="__row", row_col="__row").select(F.col("doc_id").alias("__row"), "class_id")
+    found = ngram_join.near_duplicates(rows, id_col="__row", row_col="__row").select(
+        F.col("doc_id").alias("__row"), "class_id"
+    )
     order = rows.select("__row", F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row").alias("o"))
     kept = found.join(order, "__row").groupBy("class_id").agg(F.min("o").alias("o")).select("o.__row")
     return rows.join(kept.hint("shuffle_hash"), "__row", "left_semi").select(*docs.columns)
@@ -55,11 +57,19 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, token ids and their number for every row; null and empty texts have no ids."""
-    out = bpe.encode(docs.select("doc_id", "source", "lang", "text"), public_tokenizers.path("byte_bpe_50k.json"), keep_text=False)
+    out = bpe.encode(
+        docs.select("doc_id", "source", "lang", "text"), public_tokenizers.path("byte_bpe_50k.json"), keep_text=False
+    )
     return out.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
-STAGES = [("language", language), ("near_duplicates", near_duplicates), ("substrings", substrings), ("mixture", mixture), ("encoding", encoding)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("mixture", mixture),
+    ("encoding", encoding),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,13 @@ def _table(spark: SparkSession, a: argparse.Namespace):
     url = extract.jdbc_options(database) if database else {}
     more = {"split": a.split_column, "parts": a.split_parts} if url else {}
     if a.schema == "v1":
-        return extract.from_table(extract.read_table(spark, a.v1_table, a.v1_schema, **more, **url), "v1", id_column=a.v1_idcolumn)
-    people, places = (extract.read_table(spark, t, a.schema_name, **more, **url) for t in ("private_demographic", "private_address_history"))
+        return extract.from_table(
+            extract.read_table(spark, a.v1_table, a.v1_schema, **more, **url), "v1", id_column=a.v1_idcolumn
+        )
+    people, places = (
+        extract.read_table(spark, t, a.schema_name, **more, **url)
+        for t in ("private_demographic", "private_address_history")
+    )
     joined = extract.addresses(people, places, a.address_selection)
     if a.debug_query:
         joined.explain("formatted")
@@ -72,7 +77,9 @@ def run_garble(a: argparse.Namespace) -> None:
     spark = session()
     path, metadata, at = _source(a)
     secret = clk.check_secret(Path(a.secretfile).read_text())
-    schemas = files.json_documents(a.schemadir) if a.schemadir else {k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")}
+    schemas = files.json_documents(a.schemadir) if a.schemadir else {
+        k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")
+    }
     metadata["garble_time"] = datetime.now().isoformat()
     out = clk.clks(files.read_people(spark, path), schemas, secret).cache()
     made = []
@@ -111,11 +118,19 @@ def run_households(a: argparse.Namespace) -> None:
             households.sizes(households.assign(people, a.exact_addresses, pairs=pairs)).show()
         own = found.select(F.col("household_position").alias("position"), *households.FIELDS, "record_ids")
         files.write_csv(own, path.replace("pii-", "households_pii-"), "position")
-    schemas = {Path(a.schemafile).stem: json.loads(Path(a.schemafile).read_text())} if a.schemafile else {"fn-phone-addr-zip": clk.SCHEMAS["fn-phone-addr-zip"]}
+    schemas = {
+        Path(a.schemafile).stem: json.loads(Path(a.schemafile).read_text())
+    } if a.schemafile else {"fn-phone-addr-zip": clk.SCHEMAS["fn-phone-addr-zip"]}
     name = next(iter(schemas))
     made = str(Path(a.output).with_name(f"{name}.json"))
-    n = files.write_clks(clk.clks(found.withColumnRenamed("household_position", "position"), schemas, secret, "households"), name, made)
-    metadata |= {"number_of_households": n, "household_garble_time": datetime.now().isoformat(), "households_inferred": not a.householddef}
+    n = files.write_clks(
+        clk.clks(found.withColumnRenamed("household_position", "position"), schemas, secret, "households"), name, made
+    )
+    metadata |= {
+        "number_of_households": n,
+        "household_garble_time": datetime.now().isoformat(),
+        "households_inferred": not a.householddef,
+    }
     copy = Path(a.output).with_name("households_" + at.name)
     copy.write_text(json.dumps(metadata))
     files.write_zip(a.output, [made, str(copy)])
@@ -155,7 +170,9 @@ def run_garble_sites(a: argparse.Namespace) -> None:
     SITE_block.zip. The sites' records are garbled in one pass and told apart by a site column."""
     spark, sites = session(), a.sites.split(",")
     secret = clk.check_secret(Path(a.secretfile).read_text())
-    schemas = files.json_documents(a.schemadir) if a.schemadir else {k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")}
+    schemas = files.json_documents(a.schemadir) if a.schemadir else {
+        k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")
+    }
     people = [files.read_people(spark, f"{a.folder}/pii_{site}.csv").withColumn("site", F.lit(site)) for site in sites]
     out = stage(clk.clks(reduce(DataFrame.unionByName, people), schemas, secret), "clks")
     for site in sites:
@@ -177,7 +194,9 @@ def run_all_sites(a: argparse.Namespace) -> None:
         people = files.read_people(spark, f"{a.folder}/pii_{site}.csv")
         found = stage(households.households(people, households.assign(people), secrets.randbits(31)), "households")
         files.write_csv(households.scoring_rows(found), f"{a.folder}/{site}_hh_scoring.csv", "household_position")
-        files.write_csv(households.representatives(found), f"{a.folder}/{site}_household_pos_pid.csv", "household_position")
+        files.write_csv(
+            households.representatives(found), f"{a.folder}/{site}_household_pos_pid.csv", "household_position"
+        )
     run_answer_key_map(a)
     run_score(a)
 
@@ -185,7 +204,9 @@ def run_all_sites(a: argparse.Namespace) -> None:
 def run_resolve(a: argparse.Namespace) -> None:
     """LINK_IDs and HOUSEHOLD_IDs of linkage archives to record ids."""
     spark = session()
-    for source, archive, name in ((a.sourcefile, a.linkszip, "LINK_ID"), (a.hhsourcefile, a.hhlinkszip, "HOUSEHOLD_ID")):
+    for source, archive, name in (
+        (a.sourcefile, a.linkszip, "LINK_ID"), (a.hhsourcefile, a.hhlinkszip, "HOUSEHOLD_ID")
+    ):
         if not (source and archive):
             continue
         own = json.loads(Path(files.metadata_path(source).replace("households_metadata", "metadata")).read_text())
@@ -196,7 +217,9 @@ def run_resolve(a: argparse.Namespace) -> None:
                 raise SystemExit(f"{archive} was made from other data than {source}; --force goes on")
         given = files.links_in_zip(spark, archive, name)
         people = files.positioned(files.read_csv(spark, source))
-        out = links.resolve_links(given, people) if name == "LINK_ID" else links.resolve_households(given, people.withColumnRenamed("position", "household_position"))
+        out = links.resolve_links(given, people) if name == "LINK_ID" else links.resolve_households(
+            given, people.withColumnRenamed("position", "household_position")
+        )
         files.write_csv(out, f"{a.outputdir}/{name.lower().replace('_', '')}_to_patid.csv")
 
 
@@ -212,7 +235,9 @@ def run_profile(a: argparse.Namespace) -> None:
 
 def run_validate(a: argparse.Namespace) -> None:
     """Differences between the metadata of two archives."""
-    found = links.metadata_issues(files.metadata_in_zip(a.source_archive), files.metadata_in_zip(a.linkage_archive)["input_system_metadata"])
+    found = links.metadata_issues(
+        files.metadata_in_zip(a.source_archive), files.metadata_in_zip(a.linkage_archive)["input_system_metadata"]
+    )
     print(f"{len(found)} differences")
     if a.verbose:
         print("\n".join(found))
@@ -222,7 +247,9 @@ def run_score(a: argparse.Namespace) -> None:
     """Precision, recall and F-score of each site's households (files SITE_key.csv and so on)."""
     spark = session()
     for site in a.sites.split(","):
-        key = files.read_csv(spark, f"{a.folder}/{site}_key.csv").select(F.col("record_id").alias("pid"), "household_id")
+        key = files.read_csv(spark, f"{a.folder}/{site}_key.csv").select(
+            F.col("record_id").alias("pid"), "household_id"
+        )
         scored = files.positioned(files.read_csv(spark, f"{a.folder}/{site}_hh_scoring.csv"), "line")
         mapped = files.read_csv(spark, f"{a.folder}/{site}_mapping.csv").toDF("household_position", "household_id")
         print(site)
@@ -235,7 +262,11 @@ def run_answer_key(a: argparse.Namespace) -> None:
     key = evaluate.answer_key(spark.read.text(a.key, wholetext=True)).cache()
     for site in a.sites.split(","):
         people = files.read_csv(spark, f"{a.folder}/{site}.csv")
-        files.write_csv(with_position(evaluate.site_key(key, people), ["record_id", "household_id", "seed_record_id"]), f"{a.folder}/{site}_key.csv", "position")
+        files.write_csv(
+            with_position(evaluate.site_key(key, people), ["record_id", "household_id", "seed_record_id"]),
+            f"{a.folder}/{site}_key.csv",
+            "position",
+        )
 
 
 def run_answer_key_map(a: argparse.Namespace) -> None:
@@ -243,13 +274,20 @@ def run_answer_key_map(a: argparse.Namespace) -> None:
     SITE_household_pos_pid.csv, the hh_pos_pid.csv of households -t), and full_answer_key.csv of all sites."""
     spark, sites, ids = session(), a.sites.split(","), None
     for site in sites:
-        key = files.positioned(files.read_csv(spark, f"{a.folder}/{site}_key.csv"), "line").na.fill("", ["household_id"])
+        key = files.positioned(
+            files.read_csv(spark, f"{a.folder}/{site}_key.csv"), "line"
+        ).na.fill("", ["household_id"])
         at = files.read_csv(spark, f"{a.folder}/{site}_household_pos_pid.csv").toDF("household_position", "pid")
-        mapped = evaluate.position_households(at.withColumn("household_position", F.col("household_position").cast("long")), key)
+        mapped = evaluate.position_households(
+            at.withColumn("household_position", F.col("household_position").cast("long")), key
+        )
         files.write_csv(mapped, f"{a.folder}/{site}_mapping.csv", "HOUSEHOLD_POSITION")
         own = key.select(F.lit(site).alias("site"), "household_id")
         ids = own if ids is None else ids.unionAll(own)
-    files.write_csv(evaluate.by_site(ids, sites).orderBy(F.coalesce(*(F.col(f"`{x}`") for x in sites))), f"{a.folder}/full_answer_key.csv")
+    files.write_csv(
+        evaluate.by_site(ids, sites).orderBy(F.coalesce(*(F.col(f"`{x}`") for x in sites))),
+        f"{a.folder}/full_answer_key.csv",
+    )
 
 
 def parser() -> argparse.ArgumentParser:
@@ -268,24 +306,42 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--schema_name", default="cdm")
             c.add_argument("--address_selection", choices=["full", "preferred", "single"], default="full")
             c.add_argument("--debug_query", action="store_true")
-            c.add_argument("--url", help="database, as a JDBC url or driver://user:password@host/name; without one, catalog tables")
+            c.add_argument(
+                "--url", help="database, as a JDBC url or driver://user:password@host/name; without one, catalog tables"
+            )
             c.add_argument("--split_column", help="numeric column by whose range a database table is read in parts")
             c.add_argument("--split_parts", type=int, default=0)
         return c
 
     c = command("extract", run_extract, db=True)
-    c.add_argument("source", nargs="?"), c.add_argument("--csv_config"), c.add_argument("-o", "--outputdir", default="temp-data"), c.add_argument("--seed", type=int)
+    c.add_argument("source", nargs="?"), c.add_argument("--csv_config"), c.add_argument(
+        "-o", "--outputdir", default="temp-data"
+    ), c.add_argument("--seed", type=int)
     c = command("garble", run_garble)
     c.add_argument("sourcefile", nargs="?"), c.add_argument("schemadir"), c.add_argument("secretfile")
     c.add_argument("-z", "--outputzip", default="garbled.zip"), c.add_argument("-o", "--outputdir", default="output")
     c = command("households", run_households)
-    c.add_argument("sourcefile", nargs="?"), c.add_argument("secretfile"), c.add_argument("-d", "--householddef"), c.add_argument("--schemafile")
-    c.add_argument("--mappingfile", default="output/households/households.csv"), c.add_argument("-o", "--output", default="output/garbled_households.zip")
-    c.add_argument("-t", "--testrun", action="store_true"), c.add_argument("--split_factor", type=int, default=4, help="kept for old calls; Spark splits the work")
-    c.add_argument("--exact_addresses", action="store_true"), c.add_argument("--pairsfile"), c.add_argument("--debug", action="store_true"), c.add_argument("--seed", type=int, help="of the random order of households")
-    c.add_argument("--keep_order", action="store_true", help="households by their least position, which the order of the input shows through")
+    c.add_argument(
+        "sourcefile", nargs="?"
+    ), c.add_argument("secretfile"), c.add_argument("-d", "--householddef"), c.add_argument("--schemafile")
+    c.add_argument(
+        "--mappingfile", default="output/households/households.csv"
+    ), c.add_argument("-o", "--output", default="output/garbled_households.zip")
+    c.add_argument("-t", "--testrun", action="store_true"), c.add_argument(
+        "--split_factor", type=int, default=4, help="kept for old calls; Spark splits the work"
+    )
+    c.add_argument("--exact_addresses", action="store_true"), c.add_argument("--pairsfile"), c.add_argument(
+        "--debug", action="store_true"
+    ), c.add_argument("--seed", type=int, help="of the random order of households")
+    c.add_argument(
+        "--keep_order",
+        action="store_true",
+        help="households by their least position, which the order of the input shows through",
+    )
     c = command("block", run_block)
-    c.add_argument("--schemafile", required=True), c.add_argument("--clkpath", default="output"), c.add_argument("-o", "--outputdir", default="output")
+    c.add_argument("--schemafile", required=True), c.add_argument("--clkpath", default="output"), c.add_argument(
+        "-o", "--outputdir", default="output"
+    )
     c = command("linkid_to_patid", run_resolve)
     for name in ("sourcefile", "linkszip", "hhsourcefile", "hhlinkszip"):
         c.add_argument(f"--{name}")
@@ -295,11 +351,20 @@ def parser() -> argparse.ArgumentParser:
     c = command("validate_metadata", run_validate)
     c.add_argument("source_archive"), c.add_argument("linkage_archive")
     c = command("garble_sites", run_garble_sites)
-    c.add_argument("inbox"), c.add_argument("secretfile"), c.add_argument("--schemadir"), c.add_argument("--blockschema")
+    c.add_argument("inbox"), c.add_argument("secretfile"), c.add_argument("--schemadir"), c.add_argument(
+        "--blockschema"
+    )
     c.add_argument("--folder", default="temp-data"), c.add_argument("--sites", default=SITES)
-    for name, run in (("hh_score", run_score), ("build_key", run_answer_key), ("answer_key_map", run_answer_key_map), ("hh_all_sites", run_all_sites)):
+    for name, run in (
+        ("hh_score", run_score),
+        ("build_key", run_answer_key),
+        ("answer_key_map", run_answer_key_map),
+        ("hh_all_sites", run_all_sites),
+    ):
         c = command(name, run)
-        c.add_argument("--folder", default="temp-data"), c.add_argument("--sites", default="a,b,c,d,e,f"), c.add_argument("--key", default="temp-data/key.json")
+        c.add_argument("--folder", default="temp-data"), c.add_argument(
+            "--sites", default="a,b,c,d,e,f"
+        ), c.add_argument("--key", default="temp-data/key.json")
     return p
 
 

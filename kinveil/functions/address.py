@@ -19,14 +19,18 @@ def parse(address: Column) -> Column:
     """struct(number, street, suffix, prefix, value, raw), blanks for what is absent; null reads as blank."""
     raw = F.coalesce(address, F.lit(""))
     words = F.filter(F.split(F.regexp_replace(F.upper(raw), r"[,]", " "), r"\s+"), lambda w: w != "")
-    unit = F.array_position(F.transform(words, lambda w: F.regexp_replace(w, r"\.$", "").isin(*UNIT_TYPES) | w.startswith("#")), True).cast("int")
+    unit = F.array_position(
+        F.transform(words, lambda w: F.regexp_replace(w, r"\.$", "").isin(*UNIT_TYPES) | w.startswith("#")), True
+    ).cast("int")
     size = F.size(words)
     cut = F.when(unit > 1, unit - 1).otherwise(size)
     main = F.slice(words, 1, F.greatest(cut, F.lit(0)))
     rest = F.slice(words, F.least(cut + 1, size + 1), F.greatest(size - cut, F.lit(0)))
     numbered = F.coalesce(F.get(main, F.lit(0)).rlike("^[0-9]"), F.lit(False))
     number = F.when(numbered, main[0]).otherwise("")
-    middle = F.slice(main, F.when(numbered, 2).otherwise(1), F.greatest(F.size(main) - F.when(numbered, 1).otherwise(0), F.lit(0)))
+    middle = F.slice(
+        main, F.when(numbered, 2).otherwise(1), F.greatest(F.size(main) - F.when(numbered, 1).otherwise(0), F.lit(0))
+    )
     last = F.regexp_replace(F.coalesce(F.get(middle, F.size(middle) - 1), F.lit("")), r"\.$", "")
     typed = (F.size(middle) > 1) & last.isin(*STREET_TYPES)
     suffix = F.when(typed, last).otherwise("")
@@ -36,7 +40,14 @@ def parse(address: Column) -> Column:
     prefix = F.when(bare, "").otherwise(F.regexp_replace(head, r"\.$", ""))
     tail = F.coalesce(F.get(rest, F.size(rest) - 1), F.lit(""))
     value = F.when((F.size(rest) > 1) | bare, F.regexp_replace(tail, "^#", "")).otherwise("")
-    return F.struct(number.alias("number"), street.alias("street"), suffix.alias("suffix"), prefix.alias("prefix"), value.alias("value"), raw.alias("raw"))
+    return F.struct(
+        number.alias("number"),
+        street.alias("street"),
+        suffix.alias("suffix"),
+        prefix.alias("prefix"),
+        value.alias("value"),
+        raw.alias("raw"),
+    )
 
 
 def parse_with_tagger(address: Column) -> Column:
@@ -46,7 +57,13 @@ def parse_with_tagger(address: Column) -> Column:
     def tag(values: pd.Series) -> pd.DataFrame:
         import usaddress
 
-        tags = {"AddressNumber": "number", "StreetName": "street", "StreetNamePostType": "suffix", "OccupancyType": "prefix", "OccupancyIdentifier": "value"}
+        tags = {
+            "AddressNumber": "number",
+            "StreetName": "street",
+            "StreetNamePostType": "suffix",
+            "OccupancyType": "prefix",
+            "OccupancyIdentifier": "value",
+        }
         out = []
         for v in values:
             row = dict.fromkeys(tags.values(), "") | {"raw": v or ""}

@@ -16,7 +16,9 @@ _WS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
 
 @F.pandas_udf(StringType())
 def _nfkd(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode())
+    return values.map(
+        lambda v: None if v is None else unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode()
+    )
 
 
 def strip(c: Column) -> Column:
@@ -43,7 +45,18 @@ def clean_sex(c: Column) -> Column:
 
 
 #: Date directives and how Spark spells them (one letter reads one or two digits).
-_DIRECTIVES = {"%Y": "yyyy", "%y": "yy", "%m": "M", "%d": "d", "%b": "MMM", "%B": "MMMM", "%j": "D", "%H": "H", "%M": "m", "%S": "s"}
+_DIRECTIVES = {
+    "%Y": "yyyy",
+    "%y": "yy",
+    "%m": "M",
+    "%d": "d",
+    "%b": "MMM",
+    "%B": "MMMM",
+    "%j": "D",
+    "%H": "H",
+    "%M": "m",
+    "%S": "s",
+}
 
 
 def java_format(date_format: str) -> str:
@@ -62,7 +75,9 @@ def clean_dob(c: Column, date_format: str, strict: bool = True) -> Column:
     value = strip(c)
     parse = F.to_date if strict else F.try_to_date
     blank = F.coalesce(value, F.lit("")) == ""
-    return F.when(blank, "").otherwise(F.date_format(parse(F.when(~blank, value), java_format(date_format)), "yyyy-MM-dd"))
+    return F.when(blank, "").otherwise(
+        F.date_format(parse(F.when(~blank, value), java_format(date_format)), "yyyy-MM-dd")
+    )
 
 
 def iso_date(c: Column) -> Column:
@@ -72,7 +87,9 @@ def iso_date(c: Column) -> Column:
 
 def century_date(c: Column) -> Column:
     """YYMMDD: years whose first digit is 0, 1 or 2 are 20xx, others 19xx; what is no date is null."""
-    return F.try_to_date(F.concat(F.when(F.substring(c, 1, 1).isin("0", "1", "2"), "20").otherwise("19"), c), "yyyyMMdd")
+    return F.try_to_date(
+        F.concat(F.when(F.substring(c, 1, 1).isin("0", "1", "2"), "20").otherwise("19"), c), "yyyyMMdd"
+    )
 
 
 def shape(c: Column) -> Column:

@@ -75,7 +75,9 @@ def _street(a: Parts, b: Parts) -> float:
     best = 0.0
     for x, y in ((a, b), (b, a)):
         if x.street and y.suffix:
-            best = max(best, 0.7 * max(jw(f"{x.street} {x.suffix}", y.suffix) if x.suffix else 0.0, jw(x.street, y.suffix)))
+            best = max(
+                best, 0.7 * max(jw(f"{x.street} {x.suffix}", y.suffix) if x.suffix else 0.0, jw(x.street, y.suffix))
+            )
     return best
 
 
@@ -122,7 +124,9 @@ def _between(a: tuple, b: tuple) -> float:
 
 @F.pandas_udf(DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series(
+        [None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], dtype="float64"
+    )
 
 
 @F.pandas_udf(DoubleType())

@@ -28,12 +28,25 @@ def candidates(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
     people: position, household_zip, family_name, parsed (struct of address parts). Blanks are equal to
     blanks, nulls count as blanks."""
     carry = carry or []
-    own = people.withColumns({"household_zip": F.coalesce("household_zip", F.lit("")), "family_name": F.coalesce("family_name", F.lit("")), "street": F.col("parsed.street"), "number": F.col("parsed.number")}).where("parsed.raw <> ''")
+    own = people.withColumns(
+        {
+            "household_zip": F.coalesce("household_zip", F.lit("")),
+            "family_name": F.coalesce("family_name", F.lit("")),
+            "street": F.col("parsed.street"),
+            "number": F.col("parsed.number"),
+        }
+    ).where("parsed.raw <> ''")
     left, right = _sides(own, ["household_zip", "street", "number"], carry)
-    by_address = left.join(right, ["household_zip", "street", "number"]).where("a < b").drop("household_zip", "street", "number")
+    by_address = left.join(
+        right, ["household_zip", "street", "number"]
+    ).where("a < b").drop("household_zip", "street", "number")
     left, right = _sides(own, ["household_zip", "family_name"], [*carry, "street", "number"])
-    by_name = left.join(right, ["household_zip", "family_name"]).where("a < b and not (street_a = street_b and number_a = number_b)")
-    return by_address.unionByName(by_name.drop("household_zip", "family_name", "street_a", "street_b", "number_a", "number_b"))
+    by_name = left.join(right, ["household_zip", "family_name"]).where(
+        "a < b and not (street_a = street_b and number_a = number_b)"
+    )
+    return by_address.unionByName(
+        by_name.drop("household_zip", "family_name", "street_a", "street_b", "number_a", "number_b")
+    )
 
 
 #: A house number of fewer characters has to be equal for two different addresses to score above 0.95: with a
@@ -48,31 +61,41 @@ def likely(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
     people: as in candidates()."""
     carry = carry or []
     blank = {c: F.coalesce(c, F.lit("")) for c in ("household_zip", "family_name")}
-    own = people.withColumns(blank | {"street": F.col("parsed.street"), "number": F.col("parsed.number"), "raw": F.col("parsed.raw")}).where("raw <> ''")
+    own = people.withColumns(
+        blank | {"street": F.col("parsed.street"), "number": F.col("parsed.number"), "raw": F.col("parsed.raw")}
+    ).where("raw <> ''")
     numbered = own.where("number <> ''")
 
     def join(rows: DataFrame, keys: list[str], more: list[str], condition: str) -> DataFrame:
         left, right = _sides(rows, keys, [*carry, *more])
-        return left.join(right, keys).where(f"a < b and {condition}").drop(*keys, *(f"{c}_{s}" for c in more for s in "ab"))
+        return left.join(right, keys).where(f"a < b and {condition}").drop(
+            *keys, *(f"{c}_{s}" for c in more for s in "ab")
+        )
 
     same_street = join(numbered, ["household_zip", "street", "number"], [], "true")
     same_name = join(numbered, ["household_zip", "family_name", "number"], ["street"], "street_a <> street_b")
     same_text = join(own.where("number = ''"), ["household_zip", "raw"], [], "true")
     segment = f"substring(number, {SEGMENT} * k + 1, {SEGMENT})"
-    long = numbered.where(F.length("number") >= LONG_NUMBER - 1).withColumn("k", F.explode(F.expr(f"sequence(0, length(number) div {SEGMENT} - 1)"))).withColumn("segment", F.expr(segment))
+    long = numbered.where(F.length("number") >= LONG_NUMBER - 1).withColumn(
+        "k", F.explode(F.expr(f"sequence(0, length(number) div {SEGMENT} - 1)"))
+    ).withColumn("segment", F.expr(segment))
     side = lambda s: f"substring(number_{s}, {SEGMENT} * j + 1, {SEGMENT})"
     # Of several equal segments the first counts. The segment before k are full on both sides.
     first = f"(k = 0 or not exists(sequence(0, k - 1), j -> {side('a')} = {side('b')}))"
     left, right = _sides(long, ["household_zip", "family_name", "k", "segment"], [*carry, "number"])
     near = left.join(right, ["household_zip", "family_name", "k", "segment"])
-    near = near.where(f"a < b and number_a <> number_b and greatest(length(number_a), length(number_b)) >= {LONG_NUMBER} and {first}")
+    near = near.where(
+        f"a < b and number_a <> number_b and greatest(length(number_a), length(number_b)) >= {LONG_NUMBER} and {first}"
+    )
     near = near.drop("household_zip", "family_name", "k", "segment", "number_a", "number_b")
     return reduce(DataFrame.unionByName, [same_street, same_name, same_text, near])
 
 
 def exact(people: DataFrame) -> DataFrame:
     """Pairs (a < b) of equal zip and address."""
-    own = people.where("household_street_address <> ''").withColumn("household_zip", F.coalesce("household_zip", F.lit("")))
+    own = people.where("household_street_address <> ''").withColumn(
+        "household_zip", F.coalesce("household_zip", F.lit(""))
+    )
     left, right = _sides(own, ["household_zip", "household_street_address"], [])
     return left.join(right, ["household_zip", "household_street_address"]).where("a < b").select("a", "b")
 
@@ -83,10 +106,15 @@ def bit(filter_: Column, index: int) -> Column:
     return F.shiftright(byte, 7 - index % 8).bitwiseAND(F.lit(1))
 
 
-def lambda_fold(clks: DataFrame, tables: int = 3, bits: int = 5, seed: int = 0, length: int = 4096, clk: str = "clk") -> DataFrame:
+def lambda_fold(
+    clks: DataFrame, tables: int = 3, bits: int = 5, seed: int = 0, length: int = 4096, clk: str = "clk"
+) -> DataFrame:
     """clks with a row for each of `tables` hash tables: `block` is the table and `bits` sampled bits."""
     rng = random.Random(seed)
-    keys = [F.concat(F.lit(f"{t}:"), *[bit(F.col(clk), i).cast("string") for i in rng.sample(range(length), bits)]) for t in range(tables)]
+    keys = [
+        F.concat(F.lit(f"{t}:"), *[bit(F.col(clk), i).cast("string") for i in rng.sample(range(length), bits)])
+        for t in range(tables)
+    ]
     return clks.withColumn("block", F.explode(F.array(*keys)))
 
 

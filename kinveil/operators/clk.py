@@ -78,7 +78,16 @@ class Schema:
                 features.append(Feature(f["identifier"]))
                 continue
             h = f["hashing"]
-            features.append(Feature(f["identifier"], False, h["comparison"]["n"], h["strategy"]["bitsPerFeature"], h.get("missingValue", {}).get("sentinel"), tuple(f["format"].get("values", ()))))
+            features.append(
+                Feature(
+                    f["identifier"],
+                    False,
+                    h["comparison"]["n"],
+                    h["strategy"]["bitsPerFeature"],
+                    h.get("missingValue", {}).get("sentinel"),
+                    tuple(f["format"].get("values", ())),
+                )
+            )
         return cls(conf["l"], conf["kdf"].get("keySize", 64), tuple(features))
 
 
@@ -86,14 +95,24 @@ def example(*hashed: str, ignored: tuple[str, ...] = ("record_id",)) -> dict:
     """A schema document of 4096 bits: bigrams and 300 bits for each field, single letters and 200 for sex."""
 
     def one(name: str) -> dict:
-        kind = {"type": "enum", "values": ["A", "F", "M", "NI", "UN", "OT"]} if name == "sex" else {"type": "string", "encoding": "utf-8"}
-        hashing: dict = {"comparison": {"type": "ngram", "n": 1 if name == "sex" else 2, "positional": False}, "strategy": {"bitsPerFeature": 200 if name == "sex" else 300}, "hash": {"type": "blakeHash"}}
+        kind = {
+            "type": "enum", "values": ["A", "F", "M", "NI", "UN", "OT"]
+        } if name == "sex" else {"type": "string", "encoding": "utf-8"}
+        hashing: dict = {
+            "comparison": {"type": "ngram", "n": 1 if name == "sex" else 2, "positional": False},
+            "strategy": {"bitsPerFeature": 200 if name == "sex" else 300},
+            "hash": {"type": "blakeHash"},
+        }
         if name in ("sex", "DOB"):
             hashing["missingValue"] = {"sentinel": ""}
         return {"identifier": name, "format": kind, "hashing": hashing}
 
     conf = {"l": 4096, "k": 30, "hash": {"type": "blakeHash"}, "kdf": {"type": "HKDF", "hash": "SHA256", "keySize": 64}}
-    return {"version": 3, "clkConfig": conf, "features": [*({"identifier": n, "ignored": True} for n in ignored), *map(one, hashed)]}
+    return {
+        "version": 3,
+        "clkConfig": conf,
+        "features": [*({"identifier": n, "ignored": True} for n in ignored), *map(one, hashed)],
+    }
 
 
 #: The four linkage schemas by name (fixed values: names, fields, bits and lengths).
@@ -120,7 +139,9 @@ def shares(bits: int, count: int) -> list[int]:
 
 @lru_cache(1 << 16)
 def _stream(key: bytes, token: str, blocks: int) -> np.ndarray:
-    raw = b"".join(hashlib.blake2b(token.encode(), key=key, salt=i.to_bytes(16, "little")).digest() for i in range(blocks))
+    raw = b"".join(
+        hashlib.blake2b(token.encode(), key=key, salt=i.to_bytes(16, "little")).digest() for i in range(blocks)
+    )
     return np.frombuffer(raw, "<u2")
 
 
@@ -164,9 +185,16 @@ def clks(df: DataFrame, schemas: dict[str, dict], secret: str, context: str = "i
     @F.pandas_udf(T.StructType([T.StructField(n, T.BinaryType()) for n in parsed]))
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.astype(object).where(rows.notna(), None)
-        return pd.DataFrame({name: [encode(s, keys, r) for r in rows[list(names)].itertuples(index=False, name=None)] for name, (s, keys, names) in zip(parsed, work, strict=True)})
-
-    return df.withColumn("__clk", run(F.struct(*[F.col(f).cast("string").alias(f) for f in fields]))).select(*df.columns, "__clk.*")
+        return pd.DataFrame(
+            {
+                name: [encode(s, keys, r) for r in rows[list(names)].itertuples(index=False, name=None)]
+                for name, (s, keys, names) in zip(parsed, work, strict=True)
+            }
+        )
+
+    return df.withColumn(
+        "__clk", run(F.struct(*[F.col(f).cast("string").alias(f) for f in fields]))
+    ).select(*df.columns, "__clk.*")
 
 
 def text(clk: bytes) -> str:

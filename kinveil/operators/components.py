@@ -19,17 +19,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     """(node, component) for every node of an edge; component is its least node. Edges with a null end
     and loops are ignored (a node with a loop only is no row); repeated edges count once."""
     ends = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"), F.col(a), F.col(b))
-    now = ends.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).select("hi", "lo").distinct()
+    now = ends.where(
+        F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))
+    ).select("hi", "lo").distinct()
     now = stage(now, "edges")
     total, before = now.count(), None
     for _ in range(rounds):
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = stage(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
-        large = join_groups(both, least, ["u"], "n", 2 * total).where("v > u and v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
+            now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+        )
+        least = stage(
+            both.groupBy("u").agg(
+                F.min("v").alias("m"), F.count("*").alias("n")
+            ).select("u", F.least("u", "m").alias("m"), "n"),
+            "least",
+        )
+        large = join_groups(both, least, ["u"], "n", 2 * total).where("v > u and v <> m").select(
+            F.col("v").alias("hi"), F.col("m").alias("lo")
+        ).distinct()
         # Every edge of the large star leaves a node for a smaller one; few nodes have many smaller neighbours.
         large = stage(large, "large")
         down = stage(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")), "down")
-        moved = join_groups(large, down, ["hi"], "n", large.count()).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        moved = join_groups(large, down, ["hi"], "n", large.count()).where("lo <> m").select(
+            F.col("lo").alias("hi"), F.col("m").alias("lo")
+        )
         small = stage(moved.unionAll(down.select("hi", F.col("m").alias("lo"))).distinct(), "stars")
         discard(now, least, large, down)
         now = small
@@ -39,4 +52,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         before = total, mark
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
+    return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(
+        now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
+    )

@@ -11,7 +11,9 @@ KEY = "map<string, array<struct<record_id: string, seed_record_id: string, house
 def answer_key(documents: DataFrame, column: str = "value") -> DataFrame:
     """Rows of answer-key documents (JSON text): distinct record_id, seed_record_id, household_id, file_name."""
     parsed = documents.select(F.from_json(column, KEY).alias("m"))
-    return parsed.select(F.explode(F.map_values("m")).alias("a")).select(F.explode("a").alias("r")).select("r.*").distinct()
+    return parsed.select(
+        F.explode(F.map_values("m")).alias("a")
+    ).select(F.explode("a").alias("r")).select("r.*").distinct()
 
 
 def site_key(key: DataFrame, site_ids: DataFrame) -> DataFrame:
@@ -23,8 +25,12 @@ def position_households(pos_pid: DataFrame, key: DataFrame) -> DataFrame:
     line); of several lines of a record the last counts. A pid without a key is an error."""
     last = key.groupBy(F.col("record_id").alias("pid")).agg(F.max_by("household_id", "line").alias("hid"))
     out = pos_pid.join(last, "pid", "left")
-    ok = F.when(F.col("hid").isNull(), F.raise_error(F.concat(F.lit("no key for "), F.coalesce("pid", F.lit("null"))))).otherwise(F.lit(True))
-    return out.where(ok).select(F.col("household_position").alias("HOUSEHOLD_POSITION"), F.col("hid").alias("HOUSEHOLD_ID"))
+    ok = F.when(
+        F.col("hid").isNull(), F.raise_error(F.concat(F.lit("no key for "), F.coalesce("pid", F.lit("null"))))
+    ).otherwise(F.lit(True))
+    return out.where(ok).select(
+        F.col("household_position").alias("HOUSEHOLD_POSITION"), F.col("hid").alias("HOUSEHOLD_ID")
+    )
 
 
 def by_site(ids: DataFrame, sites: list[str]) -> DataFrame:
@@ -39,14 +45,37 @@ def score(scored: DataFrame, mapping: DataFrame, key: DataFrame) -> DataFrame:
     last = scored.groupBy("household_position").agg(F.max_by("pid", "line").alias("pid"))
     true = key.select("pid", "household_id", F.lit(1).alias("hit")).distinct()
     seen = last.join(mapping, "household_position").join(true, ["pid", "household_id"], "left")
-    sums = seen.agg(F.count("hit").alias("tp"), F.count("*").alias("n")).join(F.broadcast(true.agg(F.count("*").alias("total"))))
-    rates = sums.select("tp", (F.col("n") - F.col("tp")).alias("fp"), (F.col("total") - F.col("tp")).alias("fn"), F.try_divide("tp", "n").alias("precision"), F.try_divide("tp", "total").alias("recall"))
-    return rates.withColumn("fscore", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    sums = seen.agg(
+        F.count("hit").alias("tp"), F.count("*").alias("n")
+    ).join(F.broadcast(true.agg(F.count("*").alias("total"))))
+    rates = sums.select(
+        "tp",
+        (F.col("n") - F.col("tp")).alias("fp"),
+        (F.col("total") - F.col("tp")).alias("fn"),
+        F.try_divide("tp", "n").alias("precision"),
+        F.try_divide("tp", "total").alias("recall"),
+    )
+    return rates.withColumn(
+        "fscore", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    )
 
 
 def pair_score(found: DataFrame, true: DataFrame) -> DataFrame:
     """Precision and recall over pairs in one household, by counts; found, true: (pid, household)."""
-    pairs = lambda df, *by: df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("p"))
+    pairs = (
+        lambda df,
+        *by: df.groupBy(*by).agg(F.count("*").alias("n")).agg(
+            F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("p")
+        )  # noqa: E731,
+    )
     both = found.withColumnRenamed("household", "f").join(true.withColumnRenamed("household", "t"), "pid")
-    out = pairs(both, "f", "t").withColumnRenamed("p", "tp").join(F.broadcast(pairs(both, "f").withColumnRenamed("p", "found"))).join(F.broadcast(pairs(both, "t").withColumnRenamed("p", "true")))
-    return out.select("tp", "found", "true", F.try_divide("tp", "found").alias("precision"), F.try_divide("tp", "true").alias("recall"))
+    out = pairs(both, "f", "t").withColumnRenamed("p", "tp").join(
+        F.broadcast(pairs(both, "f").withColumnRenamed("p", "found"))
+    ).join(F.broadcast(pairs(both, "t").withColumnRenamed("p", "true")))
+    return out.select(
+        "tp",
+        "found",
+        "true",
+        F.try_divide("tp", "found").alias("precision"),
+        F.try_divide("tp", "true").alias("recall"),
+    )

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from kinveil.functions import clean
 
 #: The canonical record, and the physical names of its fields in each source version.
-HEADER = ["record_id", "given_name", "family_name", "DOB", "sex", "phone_number", "household_street_address", "household_zip"]
+HEADER = [
+    "record_id", "given_name", "family_name", "DOB", "sex", "phone_number", "household_street_address", "household_zip"
+]
 VERSIONS: dict[str, dict[str, str | list[str]]] = {
     "v1": {"record_id": "patid", "given_name": "given_name", "family_name": "family_name", "DOB": "birth_date", "sex": "sex", "phone_number": "household_phone", "household_street_address": "household_street_address", "household_zip": "household_zip"},
     "v2": {"record_id": "patid", "given_name": "pat_firstname", "family_name": "pat_lastname", "DOB": "birth_date", "sex": "sex", "phone_number": "primary_phone", "household_street_address": ["address_street", "address_detail"], "household_zip": "address_zip5"},
@@ -54,7 +56,9 @@ def from_table(df: DataFrame, version: str = "v2", date_column: bool = True, id_
     """Canonical records of a v1 or v2 table (addresses joined already). Ids stay as they are."""
     names = VERSIONS[version] | ({"record_id": id_column} if id_column else {})
     dob = resolve(df.columns, str(names["DOB"]))
-    born = F.lit("") if dob is None else clean.iso_date(F.col(dob)) if date_column else clean.clean_dob(F.col(dob), "%Y-%m-%d")
+    born = F.lit("") if dob is None else clean.iso_date(F.col(dob)) if date_column else clean.clean_dob(
+        F.col(dob), "%Y-%m-%d"
+    )
     fields = {
         "record_id": lookup(df, names["record_id"]),
         "given_name": clean.clean_string(lookup(df, names["given_name"])),
@@ -118,7 +122,9 @@ def translated(df: DataFrame, key: str, conf: Translation) -> Column:
     return F.when(filled, clean.clean_string(mapped(raw, conf.rules.get(found)))).otherwise(default(key))
 
 
-def from_csv(df: DataFrame, conf: Translation, position: str = "position", strict: bool = True, keep_ids: bool = False) -> DataFrame:
+def from_csv(
+    df: DataFrame, conf: Translation, position: str = "position", strict: bool = True, keep_ids: bool = False
+) -> DataFrame:
     """Canonical records (with position) of all-string CSV rows. Rows of blank id are numbered from
     initial_id in the order of position. keep_ids leaves ids as they are in the file."""
     get = lambda key: translated(df, key, conf)
@@ -144,13 +150,24 @@ def with_ids(records: DataFrame, initial: int = 0) -> DataFrame:
     that no task numbers all of them."""
     blank = records.where("record_id = ''").withColumn("__blk", F.expr("position div 65536"))
     ahead = blank.groupBy("__blk").agg(F.count("*").alias("__n"))
-    ahead = ahead.select("__blk", (F.sum("__n").over(W.orderBy("__blk").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"))
+    ahead = ahead.select(
+        "__blk",
+        (F.sum("__n").over(W.orderBy("__blk").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"),
+    )
     nth = F.row_number().over(W.partitionBy("__blk").orderBy("position")) - 1
     named = blank.join(ahead, "__blk").withColumn("record_id", (F.lit(initial) + F.col("__ahead") + nth).cast("string"))
     return records.where("record_id <> ''").unionByName(named.drop("__blk", "__ahead"))
 
 
-def addresses(people: DataFrame, places: DataFrame, mode: str = "full", key: str = "patid", preferred: str = "address_preferred", start: str = "address_period_start", tie: str = "addressid") -> DataFrame:
+def addresses(
+    people: DataFrame,
+    places: DataFrame,
+    mode: str = "full",
+    key: str = "patid",
+    preferred: str = "address_preferred",
+    start: str = "address_period_start",
+    tie: str = "addressid",
+) -> DataFrame:
     """People with addresses. single: one row for each; preferred: those marked Y; full: the marked one
     that began last (unknown starts last, then the least id). Who has none is left out."""
     if mode not in ("single", "preferred", "full"):
@@ -166,7 +183,9 @@ def addresses(people: DataFrame, places: DataFrame, mode: str = "full", key: str
 def issues(df: DataFrame, fields: list[str], allowed: dict[str, list[str]] | None = None) -> DataFrame:
     """(field, issue, n) of all fields by one aggregation, no row for counts of 0."""
     allowed = allowed or {}
-    kinds = ["NULL Value", "Contains Non-ASCII Characters", "Contains Non-printable Characters", "Empty String", "No Mapping"]
+    kinds = [
+        "NULL Value", "Contains Non-ASCII Characters", "Contains Non-printable Characters", "Empty String", "No Mapping"
+    ]
 
     def tests(name: str) -> list[Column]:
         c = F.col(f"`{name}`")
@@ -175,7 +194,13 @@ def issues(df: DataFrame, fields: list[str], allowed: dict[str, list[str]] | Non
 
     counts = [F.count_if(t).alias(f"{i}_{k}") for i, name in enumerate(fields) for k, t in enumerate(tests(name))]
     one = df.agg(*counts)
-    rows = F.array(*[F.struct(F.lit(name).alias("field"), F.lit(kind).alias("issue"), F.col(f"{i}_{k}").alias("n")) for i, name in enumerate(fields) for k, kind in enumerate(kinds)])
+    rows = F.array(
+        *[
+            F.struct(F.lit(name).alias("field"), F.lit(kind).alias("issue"), F.col(f"{i}_{k}").alias("n"))
+            for i, name in enumerate(fields)
+            for k, kind in enumerate(kinds)
+        ]
+    )
     return one.select(F.explode(rows).alias("r")).select("r.*").where("n > 0")
 
 
@@ -194,10 +219,20 @@ def jdbc_options(source: str) -> dict[str, str]:
     kind = at.scheme.split("+")[0]
     host = f"//{at.hostname}{f':{at.port}' if at.port else ''}" if at.hostname else ""
     out = {"url": f"jdbc:{kind}:{host}{at.path}" + (f"?{at.query}" if at.query else "")}
-    return out | ({"user": unquote(at.username)} if at.username else {}) | ({"password": unquote(at.password)} if at.password else {})
+    return out | ({"user": unquote(at.username)} if at.username else {}) | (
+        {"password": unquote(at.password)} if at.password else {}
+    )
 
 
-def read_table(spark: SparkSession, name: str, schema: str | None = None, split: str | None = None, parts: int = 0, fetch: int = 10_000, **jdbc: str) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    name: str,
+    schema: str | None = None,
+    split: str | None = None,
+    parts: int = 0,
+    fetch: int = 10_000,
+    **jdbc: str,
+) -> DataFrame:
     """A catalog table, or with a url (and driver options) a table of another database.
 
     Without a numeric column to split by, a database table is read by one task, `fetch` rows a trip; with
@@ -212,5 +247,7 @@ def read_table(spark: SparkSession, name: str, schema: str | None = None, split:
         if low is not None:
             parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
             reader = spark.read.format("jdbc").options(fetchsize=str(fetch), **jdbc)
-            reader = reader.options(partitionColumn=split, lowerBound=str(int(low)), upperBound=str(int(high) + 1), numPartitions=str(parts))
+            reader = reader.options(
+                partitionColumn=split, lowerBound=str(int(low)), upperBound=str(int(high) + 1), numPartitions=str(parts)
+            )
     return reader.option("dbtable", full).load()

@@ -30,13 +30,24 @@ def scored(people: DataFrame, empty_similarity: float = 0.0, tagger: bool = Fals
     """(a, b, family_name, phone_number, address, score) of candidate pairs whose address passes its
     threshold. Only pairs that can pass it are formed, and names are compared only where it passes."""
     pairs = blocking.likely(prepared(people, tagger), ["family_name", "phone_number", "parsed"])
-    near = pairs.withColumn("address", address_column(F.col("parsed_a"), F.col("parsed_b"))).where(F.col("address") > ADDRESS_ABOVE)
-    names = near.withColumns({"family_name": jaro_winkler_column(F.col("family_name_a"), F.col("family_name_b"), empty_similarity), "phone_number": jaro_winkler_column(F.col("phone_number_a"), F.col("phone_number_b"), empty_similarity)})
-    total = SURNAME_WEIGHT * F.col("family_name") + PHONE_WEIGHT * F.col("phone_number") + ADDRESS_WEIGHT * F.col("address")
+    near = pairs.withColumn(
+        "address", address_column(F.col("parsed_a"), F.col("parsed_b"))
+    ).where(F.col("address") > ADDRESS_ABOVE)
+    names = near.withColumns(
+        {
+            "family_name": jaro_winkler_column(F.col("family_name_a"), F.col("family_name_b"), empty_similarity),
+            "phone_number": jaro_winkler_column(F.col("phone_number_a"), F.col("phone_number_b"), empty_similarity),
+        }
+    )
+    total = SURNAME_WEIGHT * F.col("family_name") + PHONE_WEIGHT * F.col(
+        "phone_number"
+    ) + ADDRESS_WEIGHT * F.col("address")
     return names.select("a", "b", "family_name", "phone_number", "address", total.alias("score"))
 
 
-def matches(people: DataFrame, exact_addresses: bool = False, empty_similarity: float = 0.0, pairs: DataFrame | None = None) -> DataFrame:
+def matches(
+    people: DataFrame, exact_addresses: bool = False, empty_similarity: float = 0.0, pairs: DataFrame | None = None
+) -> DataFrame:
     """Matching pairs (a < b); pairs: take these instead, as from an earlier run."""
     if pairs is not None:
         return pairs.select(F.col("a").cast("long"), F.col("b").cast("long"))
@@ -45,15 +56,25 @@ def matches(people: DataFrame, exact_addresses: bool = False, empty_similarity:
     return scored(people, empty_similarity).where(F.col("score") > TOTAL_ABOVE).select("a", "b")
 
 
-def assign(people: DataFrame, exact_addresses: bool = False, empty_similarity: float = 0.0, pairs: DataFrame | None = None) -> DataFrame:
+def assign(
+    people: DataFrame, exact_addresses: bool = False, empty_similarity: float = 0.0, pairs: DataFrame | None = None
+) -> DataFrame:
     """(position, household): household is its least position. With exact addresses no pairs are made:
     equal zip and address are the household."""
     if exact_addresses and pairs is None:
-        least = people.where("household_street_address <> ''").groupBy(F.coalesce("household_zip", F.lit("")).alias("z"), F.col("household_street_address").alias("s")).agg(F.min("position").alias("household"))
-        joined = people.join(least, (F.coalesce("household_zip", F.lit("")) == F.col("z")) & (F.col("household_street_address") == F.col("s")), "left")
+        least = people.where("household_street_address <> ''").groupBy(
+            F.coalesce("household_zip", F.lit("")).alias("z"), F.col("household_street_address").alias("s")
+        ).agg(F.min("position").alias("household"))
+        joined = people.join(
+            least,
+            (F.coalesce("household_zip", F.lit("")) == F.col("z")) & (F.col("household_street_address") == F.col("s")),
+            "left",
+        )
         return joined.select("position", F.coalesce("household", "position").alias("household"))
     found = components(matches(people, exact_addresses, empty_similarity, pairs)).withColumnRenamed("node", "position")
-    return people.select("position").join(found, "position", "left").select("position", F.coalesce("component", "position").alias("household"))
+    return people.select("position").join(found, "position", "left").select(
+        "position", F.coalesce("component", "position").alias("household")
+    )
 
 
 def households(people: DataFrame, assigned: DataFrame, seed: int | None = None) -> DataFrame:
@@ -67,19 +88,41 @@ def households(people: DataFrame, assigned: DataFrame, seed: int | None = None)
     members = F.array_sort(F.collect_list(F.struct("position", "record_id")))
     out = rows.groupBy("household").agg(members.alias("m"), who.alias("who"), F.min(order).alias("order"))
     out = with_position(out, ["order", "household"], "household_position")
-    return out.select("household_position", F.col("m.position").alias("members"), "who.*", F.concat_ws(",", "m.record_id").alias("record_ids"))
+    return out.select(
+        "household_position",
+        F.col("m.position").alias("members"),
+        "who.*",
+        F.concat_ws(",", "m.record_id").alias("record_ids"),
+    )
 
 
 def sizes(assigned: DataFrame) -> DataFrame:
     """What describes the sizes of households."""
     per = assigned.groupBy("household").agg(F.count("*").alias("n"))
     q = F.percentile("n", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = per.agg(F.count("*").alias("households"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"), F.min("n").alias("least"), q.alias("q"), F.max("n").alias("most"))
-    return out.select("households", "mean", "std", "least", *(F.col("q")[i].alias(k) for i, k in enumerate(("q25", "q50", "q75"))), "most")
+    out = per.agg(
+        F.count("*").alias("households"),
+        F.avg("n").alias("mean"),
+        F.stddev_samp("n").alias("std"),
+        F.min("n").alias("least"),
+        q.alias("q"),
+        F.max("n").alias("most"),
+    )
+    return out.select(
+        "households",
+        "mean",
+        "std",
+        "least",
+        *(F.col("q")[i].alias(k) for i, k in enumerate(("q25", "q50", "q75"))),
+        "most",
+    )
 
 
 def mapping(found: DataFrame) -> DataFrame:
-    return found.select(F.col("household_position").alias("HOUSEHOLD_POSITION"), F.concat_ws(",", F.transform("members", lambda p: p.cast("string"))).alias("PII_POSITIONS"))
+    return found.select(
+        F.col("household_position").alias("HOUSEHOLD_POSITION"),
+        F.concat_ws(",", F.transform("members", lambda p: p.cast("string"))).alias("PII_POSITIONS"),
+    )
 
 
 def scoring_rows(found: DataFrame) -> DataFrame:

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 def _whole(out: DataFrame, missing: str) -> DataFrame:
     """An error at run time if a position has no row, as dropped rows would go unnoticed."""
-    return out.where(F.when(F.col(missing).isNull(), F.raise_error(F.concat(F.lit("no row for position "), F.coalesce(F.col("position").cast("string"), F.lit("null"))))).otherwise(F.lit(True)))
+    return out.where(
+        F.when(
+            F.col(missing).isNull(),
+            F.raise_error(
+                F.concat(F.lit("no row for position "), F.coalesce(F.col("position").cast("string"), F.lit("null")))
+            ),
+        ).otherwise(F.lit(True))
+    )
 
 
 def resolve_links(links: DataFrame, people: DataFrame) -> DataFrame:
@@ -39,6 +46,12 @@ def metadata_issues(source: dict, linkage: dict) -> list[str]:
 
 def metadata_diff(source: DataFrame, linkage: DataFrame) -> DataFrame:
     """The same on tables (key, value): key, issue, source_value, linkage_value."""
-    both = source.select("key", F.col("value").alias("source_value"), F.lit(True).alias("s")).join(linkage.select("key", F.col("value").alias("linkage_value"), F.lit(True).alias("l")), "key", "full_outer")
-    issue = F.when(F.col("l").isNull(), "source only").when(F.col("s").isNull(), "linkage only").when(~F.col("source_value").eqNullSafe(F.col("linkage_value")), "differs")
-    return both.withColumn("issue", issue).where("issue is not null").select("key", "issue", "source_value", "linkage_value")
+    both = source.select("key", F.col("value").alias("source_value"), F.lit(True).alias("s")).join(
+        linkage.select("key", F.col("value").alias("linkage_value"), F.lit(True).alias("l")), "key", "full_outer"
+    )
+    issue = F.when(F.col("l").isNull(), "source only").when(F.col("s").isNull(), "linkage only").when(
+        ~F.col("source_value").eqNullSafe(F.col("linkage_value")), "differs"
+    )
+    return both.withColumn("issue", issue).where("issue is not null").select(
+        "key", "issue", "source_value", "linkage_value"
+    )

@@ -15,6 +15,11 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = stage(df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()), "ranges")
     ahead = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
-    ahead = ahead.select("__range", (F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"))
+    ahead = ahead.select(
+        "__range",
+        (F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"),
+    )
     nth = F.row_number().over(W.partitionBy("__range").orderBy(*order)) - 1
-    return dealt.join(F.broadcast(ahead), "__range").withColumn(name, (F.col("__ahead") + nth).cast("long")).drop("__range", "__ahead")
+    return dealt.join(F.broadcast(ahead), "__range").withColumn(
+        name, (F.col("__ahead") + nth).cast("long")
+    ).drop("__range", "__ahead")

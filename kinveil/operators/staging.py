@@ -59,7 +59,9 @@ def stage_buckets(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     name = f"kinveil_{tag}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark).rstrip('/')}/{name}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option(
+        "compression", "zstd"
+    ).saveAsTable(name)
     _held.append(path)
     atexit.register(lambda: path in _held and _delete(spark, path))
     out = spark.table(name)

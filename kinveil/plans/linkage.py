@@ -51,34 +51,62 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def pii(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(PII.replace("from customer join part", "from {customer} join {part}"), customer=table(spark, sf, "customer"), part=table(spark, sf, "part"))
+    return spark.sql(
+        PII.replace("from customer join part", "from {customer} join {part}"),
+        customer=table(spark, sf, "customer"),
+        part=table(spark, sf, "part"),
+    )
 
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
     """pii with the phone as digits and the date as text."""
-    return pii(spark, sf).withColumn("phone_number", clean.clean_phone(F.col("phone_number"))).withColumn("DOB", clean.iso_date(F.col("dob")))
+    return pii(spark, sf).withColumn(
+        "phone_number", clean.clean_phone(F.col("phone_number"))
+    ).withColumn("DOB", clean.iso_date(F.col("dob")))
 
 
 WITH = f"with pii as ({PII}), people as (select * replace (regexp_replace(phone_number, '[^0-9]', '', 'g') as phone_number) from pii)"
 
 
-@query(f"""{WITH} select record_id, given_name, family_name, strftime(dob, '%Y-%m-%d') dob, sex, phone_number, household_street_address, household_zip from people""")
+@query(
+    f"""{WITH} select record_id, given_name, family_name, strftime(dob, '%Y-%m-%d') dob, sex, phone_number, household_street_address, household_zip from people"""
+)
 def extract_clean(spark, sf):
-    messy = pii(spark, sf).select(F.col("record_id").alias("PatID"), F.lower("given_name").alias("pat_firstname"), F.concat(F.lit(" \t"), "family_name", F.lit(" ")).alias("pat_lastname"), F.col("dob").alias("birth_date"), F.concat("sex", F.lit(" ")).alias("sex"), F.col("phone_number").alias("primary_phone"), F.col("household_street_address").alias("address_street"), F.lit(None).cast("string").alias("address_detail"), F.concat(F.lit("\n"), "household_zip").alias("address_zip5"))
+    messy = pii(spark, sf).select(
+        F.col("record_id").alias("PatID"),
+        F.lower("given_name").alias("pat_firstname"),
+        F.concat(F.lit(" \t"), "family_name", F.lit(" ")).alias("pat_lastname"),
+        F.col("dob").alias("birth_date"),
+        F.concat("sex", F.lit(" ")).alias("sex"),
+        F.col("phone_number").alias("primary_phone"),
+        F.col("household_street_address").alias("address_street"),
+        F.lit(None).cast("string").alias("address_detail"),
+        F.concat(F.lit("\n"), "household_zip").alias("address_zip5"),
+    )
     return extract.from_table(messy, "v2").withColumnRenamed("DOB", "dob")
 
 
 CLEAN_SQL = "trim(regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ')"
 
 
-@query(f"select doc_id, upper({CLEAN_SQL.format('text')}) cleaned, upper({CLEAN_SQL.format('lang')}) lang from documents")
+@query(
+    f"select doc_id, upper({CLEAN_SQL.format('text')}) cleaned, upper({CLEAN_SQL.format('lang')}) lang from documents"
+)
 def clean_strings(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean.clean_string(F.col("text")).alias("cleaned"), clean.clean_string(F.col("lang")).alias("lang"))
+    return table(spark, sf, "documents").select(
+        "doc_id", clean.clean_string(F.col("text")).alias("cleaned"), clean.clean_string(F.col("lang")).alias("lang")
+    )
 
 
 def _history(spark, sf):
     who = table(spark, sf, "customer").select(F.col("c_custkey").alias("patid"), F.col("c_name").alias("name"))
-    where = table(spark, sf, "orders").select(F.col("o_custkey").alias("patid"), F.col("o_orderkey").alias("addressid"), F.when(F.col("o_orderstatus") == "O", "Y").otherwise("N").alias("address_preferred"), F.to_date("o_orderdate").alias("address_period_start"), F.col("o_orderpriority").alias("address_street"))
+    where = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("patid"),
+        F.col("o_orderkey").alias("addressid"),
+        F.when(F.col("o_orderstatus") == "O", "Y").otherwise("N").alias("address_preferred"),
+        F.to_date("o_orderdate").alias("address_period_start"),
+        F.col("o_orderpriority").alias("address_street"),
+    )
     return who, where
 
 
@@ -95,7 +123,9 @@ def address_preferred(spark, sf):
     return extract.addresses(*_history(spark, sf), "preferred")
 
 
-@query(f"select * exclude (n) from (select *, row_number() over (partition by patid order by address_period_start desc nulls last, addressid) n from ({HISTORY}) where address_preferred = 'Y') where n = 1")
+@query(
+    f"select * exclude (n) from (select *, row_number() over (partition by patid order by address_period_start desc nulls last, addressid) n from ({HISTORY}) where address_preferred = 'Y') where n = 1"
+)
 def address_latest_preferred(spark, sf):
     return extract.addresses(*_history(spark, sf), "full")
 
@@ -115,7 +145,17 @@ CONFIG = {
   case when given_name = 'RED' then 'ROT' else given_name end given_name, family_name, strftime(dob, '%Y-%m-%d') dob, 'F' sex,
   case when phone_number = '5550100001' then 'PLACEHOLDER/UNKNOWN' else phone_number end phone_number, household_street_address, household_zip from people""")
 def csv_translate(spark, sf):
-    rows = pii(spark, sf).select("position", F.when(F.col("position") % 2 == 1, F.col("record_id")).otherwise("").alias("record_id"), F.lower("given_name").alias("first name"), F.col("family_name").alias("Last Name"), F.date_format("dob", "M/d/yyyy").alias("Born"), F.col("phone_number").alias("Phone"), F.col("household_street_address").alias("Street"), F.lit(" ").alias("detail"), F.col("household_zip").alias("Zip"))
+    rows = pii(spark, sf).select(
+        "position",
+        F.when(F.col("position") % 2 == 1, F.col("record_id")).otherwise("").alias("record_id"),
+        F.lower("given_name").alias("first name"),
+        F.col("family_name").alias("Last Name"),
+        F.date_format("dob", "M/d/yyyy").alias("Born"),
+        F.col("phone_number").alias("Phone"),
+        F.col("household_street_address").alias("Street"),
+        F.lit(" ").alias("detail"),
+        F.col("household_zip").alias("Zip"),
+    )
     return extract.from_csv(rows, extract.Translation.of(CONFIG)).withColumnRenamed("DOB", "dob")
 
 
@@ -132,12 +172,16 @@ def validation_report(spark, sf):
     return extract.issues(table(spark, sf, "documents"), ["text", "lang"], {"lang": ["en", "de"]})
 
 
-@query(f"{WITH} select count(*) row_count, count(distinct record_id) distinct_ids, cast(null as bigint) repeated_ids from people")
+@query(
+    f"{WITH} select count(*) row_count, count(distinct record_id) distinct_ids, cast(null as bigint) repeated_ids from people"
+)
 def profile_counts(spark, sf):
     return profile.counts(pii(spark, sf))
 
 
-@query(f"{WITH} select family_name as value, count(*) n from people group by 1 having count(*) >= 3 order by n desc, 1 limit 10")
+@query(
+    f"{WITH} select family_name as value, count(*) n from people group by 1 having count(*) >= 3 order by n desc, 1 limit 10"
+)
 def profile_top_n(spark, sf):
     return profile.top(pii(spark, sf), F.col("family_name"), 10, 3)
 
@@ -145,10 +189,15 @@ def profile_top_n(spark, sf):
 SHAPE = "regexp_replace(regexp_replace({0}, '\\pN', '#', 'g'), '\\pL', 'X', 'g')"
 
 
-@query(f"{WITH} select 'phone' field, {SHAPE.format('phone_number')} as value, count(*) n from pii group by 2 union all select 'zip', {SHAPE.format('household_zip')}, count(*) from pii group by 2")
+@query(
+    f"{WITH} select 'phone' field, {SHAPE.format('phone_number')} as value, count(*) n from pii group by 2 union all select 'zip', {SHAPE.format('household_zip')}, count(*) from pii group by 2"
+)
 def profile_formats(spark, sf):
     df = pii(spark, sf)
-    one = lambda f, c: profile.top(df, clean.shape(F.col(c))).select(F.lit(f).alias("field"), "value", "n")
+    one = (
+        lambda f,
+        c: profile.top(df, clean.shape(F.col(c))).select(F.lit(f).alias("field"), "value", "n")  # noqa: E731,
+    )
     return one("phone", "phone_number").unionByName(one("zip", "household_zip"))
 
 
@@ -165,12 +214,16 @@ def profile_chars(spark, sf):
     return profile.characters(people(spark, sf))
 
 
-@query(f"{WITH} select cast(min(dob) as varchar) min_dob, cast(max(dob) as varchar) max_dob, count(*) filter (dob is null) missing from people")
+@query(
+    f"{WITH} select cast(min(dob) as varchar) min_dob, cast(max(dob) as varchar) max_dob, count(*) filter (dob is null) missing from people"
+)
 def dob_range(spark, sf):
     return profile.dates(pii(spark, sf), "dob")
 
 
-@query(f"{WITH}, d as (select strptime(case when substring(y, 1, 1) in ('0', '1', '2') then '20' || y else '19' || y end, '%Y%m%d')::date d from (select strftime(dob, '%y%m%d') y from people)) select min(d) min_dob, max(d) max_dob from d")
+@query(
+    f"{WITH}, d as (select strptime(case when substring(y, 1, 1) in ('0', '1', '2') then '20' || y else '19' || y end, '%Y%m%d')::date d from (select strftime(dob, '%y%m%d') y from people)) select min(d) min_dob, max(d) max_dob from d"
+)
 def yymmdd(spark, sf):
     return profile.century_dates(pii(spark, sf).select(F.date_format("dob", "yyMMdd").alias("DOB")))
 
@@ -185,18 +238,24 @@ def block_candidates(spark, sf):
     return blocking.candidates(households.prepared(people(spark, sf))).select("a", "b")
 
 
-@query(f"{WITH} select a.position a, b.position b from people a join people b using (household_zip, household_street_address) where a.position < b.position and household_street_address <> ''")
+@query(
+    f"{WITH} select a.position a, b.position b from people a join people b using (household_zip, household_street_address) where a.position < b.position and household_street_address <> ''"
+)
 def block_exact(spark, sf):
     return blocking.exact(people(spark, sf))
 
 
-@query(f"{WITH}, n as (select distinct family_name f from people) select a.f a, b.f b, round(jaro_winkler_similarity(a.f, b.f), 9) similarity from n a join n b on left(a.f, 1) = left(b.f, 1) and a.f < b.f union all select a.f, g.g, round(jaro_winkler_similarity(a.f, g.g), 9) from n a join (select distinct given_name g from people) g on left(a.f, 1) = left(g.g, 1)")
+@query(
+    f"{WITH}, n as (select distinct family_name f from people) select a.f a, b.f b, round(jaro_winkler_similarity(a.f, b.f), 9) similarity from n a join n b on left(a.f, 1) = left(b.f, 1) and a.f < b.f union all select a.f, g.g, round(jaro_winkler_similarity(a.f, g.g), 9) from n a join (select distinct given_name g from people) g on left(a.f, 1) = left(g.g, 1)"
+)
 def jw_surname(spark, sf):
     df = pii(spark, sf)
     names = df.select(F.col("family_name").alias("a")).distinct()
     surnames = names.join(names.withColumnRenamed("a", "b"), F.expr("left(a, 1) = left(b, 1) and a < b"))
     given = names.join(df.select(F.col("given_name").alias("b")).distinct(), F.expr("left(a, 1) = left(b, 1)"))
-    return surnames.unionByName(given).select("a", "b", F.round(jaro_winkler_column(F.col("a"), F.col("b")), 9).alias("similarity"))
+    return surnames.unionByName(given).select(
+        "a", "b", F.round(jaro_winkler_column(F.col("a"), F.col("b")), 9).alias("similarity")
+    )
 
 
 def _jw(a: str, b: str) -> str:
@@ -215,7 +274,9 @@ PAIRS = PARSED + f""", near as (select a.position a, b.position b, a.family_name
   pairs as (select *, 0.25::double * family_name + 0.2::double * phone_number + 0.55::double * address as score from scored)"""
 
 
-@query(f"{PAIRS} select a, b, round(family_name, 9) family_name, round(phone_number, 9) phone_number, round(address, 9) address, round(score, 9) score from pairs where score > 0.85")
+@query(
+    f"{PAIRS} select a, b, round(family_name, 9) family_name, round(phone_number, 9) phone_number, round(address, 9) address, round(score, 9) score from pairs where score > 0.85"
+)
 def match_pairs(spark, sf):
     out = households.scored(people(spark, sf)).where(F.col("score") > households.TOTAL_ABOVE)
     return out.select("a", "b", *(F.round(c, 9).alias(c) for c in ("family_name", "phone_number", "address", "score")))
@@ -237,20 +298,30 @@ def _households(spark, sf):
     return households.households(own, households.assign(own))
 
 
-@query(f"{HOUSEHOLDS} select household_position, array_to_string(members, ',') members, family_name, phone_number, household_street_address, household_zip, record_id representative, record_ids from numbered join people on position = household")
+@query(
+    f"{HOUSEHOLDS} select household_position, array_to_string(members, ',') members, family_name, phone_number, household_street_address, household_zip, record_id representative, record_ids from numbered join people on position = household"
+)
 def household_table(spark, sf):
-    return _households(spark, sf).withColumn("members", F.concat_ws(",", F.transform("members", lambda x: x.cast("string"))))
+    return _households(spark, sf).withColumn(
+        "members", F.concat_ws(",", F.transform("members", lambda x: x.cast("string")))
+    )
 
 
-@query(f"{COMPONENTS}, n as (select count(*) n from assigned group by household) select count(*) households, avg(n) mean, round(stddev_samp(n), 9) std, min(n) least, quantile_cont(n, 0.25) q25, quantile_cont(n, 0.5) q50, quantile_cont(n, 0.75) q75, max(n) most from n")
+@query(
+    f"{COMPONENTS}, n as (select count(*) n from assigned group by household) select count(*) households, avg(n) mean, round(stddev_samp(n), 9) std, min(n) least, quantile_cont(n, 0.25) q25, quantile_cont(n, 0.5) q50, quantile_cont(n, 0.75) q75, max(n) most from n"
+)
 def household_sizes(spark, sf):
     return households.sizes(households.assign(people(spark, sf))).withColumn("std", F.round("std", 9))
 
 
-@query(f"{WITH} select household_zip, household_street_address, count(*) members, min(position) household from people where household_street_address <> '' group by 1, 2")
+@query(
+    f"{WITH} select household_zip, household_street_address, count(*) members, min(position) household from people where household_street_address <> '' group by 1, 2"
+)
 def households_exact(spark, sf):
     own = people(spark, sf)
-    return households.assign(own, exact_addresses=True).join(own.where("household_street_address <> ''"), "position").groupBy("household_zip", "household_street_address", "household").agg(F.count("*").alias("members"))
+    return households.assign(own, exact_addresses=True).join(
+        own.where("household_street_address <> ''"), "position"
+    ).groupBy("household_zip", "household_street_address", "household").agg(F.count("*").alias("members"))
 
 
 @query(f"{HOUSEHOLDS} select household_position, unnest(string_split(record_ids, ',')) pid from numbered")
@@ -258,32 +329,53 @@ def household_scoring_rows(spark, sf):
     return households.scoring_rows(_households(spark, sf))
 
 
-@query(f"{WITH} select 'L' || cast((position * 31) % 100003 as varchar) as \"LINK_ID\", record_id as \"PATID\" from people")
+@query(
+    f"{WITH} select 'L' || cast((position * 31) % 100003 as varchar) as \"LINK_ID\", record_id as \"PATID\" from people"
+)
 def link_resolve(spark, sf):
     own = pii(spark, sf)
-    given = own.select(F.concat(F.lit("L"), ((F.col("position") * 31) % 100003).cast("string")).alias("LINK_ID"), "position")
+    given = own.select(
+        F.concat(F.lit("L"), ((F.col("position") * 31) % 100003).cast("string")).alias("LINK_ID"), "position"
+    )
     return links.resolve_links(given, own)
 
 
-@query(f"{HOUSEHOLDS} select 'H' || cast(household_position as varchar) as \"HOUSEHOLD_ID\", unnest(string_split(record_ids, ',')) as \"PATID\" from numbered")
+@query(
+    f"{HOUSEHOLDS} select 'H' || cast(household_position as varchar) as \"HOUSEHOLD_ID\", unnest(string_split(record_ids, ',')) as \"PATID\" from numbered"
+)
 def household_link_resolve(spark, sf):
     """Every household has a link, and all of its members get it."""
     found = _households(spark, sf)
-    given = found.select(F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"), F.col("household_position").alias("position"))
+    given = found.select(
+        F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"),
+        F.col("household_position").alias("position"),
+    )
     return links.resolve_households(given, found)
 
 
-@query(f"{WITH} select distinct record_id, 'S' || cast(position % 50 as varchar) seed_record_id, household_zip household_id, 'site_' || cast(position % 3 as varchar) file_name from people")
+@query(
+    f"{WITH} select distinct record_id, 'S' || cast(position % 50 as varchar) seed_record_id, household_zip household_id, 'site_' || cast(position % 3 as varchar) file_name from people"
+)
 def answer_key(spark, sf):
-    row = F.struct("record_id", F.concat(F.lit("S"), (F.col("position") % 50).cast("string")).alias("seed_record_id"), F.col("household_zip").alias("household_id"), F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("file_name"))
+    row = F.struct(
+        "record_id",
+        F.concat(F.lit("S"), (F.col("position") % 50).cast("string")).alias("seed_record_id"),
+        F.col("household_zip").alias("household_id"),
+        F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("file_name"),
+    )
     documents = pii(spark, sf).select(F.to_json(F.create_map("record_id", F.array(row, row))).alias("value"))
     return evaluate.answer_key(documents)
 
 
-@query(f"{WITH} select case when count(*) filter (position % 3 = 0) > 0 then household_zip end site_0, case when count(*) filter (position % 3 = 1) > 0 then household_zip end site_1, case when count(*) filter (position % 3 = 2) > 0 then household_zip end site_2 from people group by household_zip")
+@query(
+    f"{WITH} select case when count(*) filter (position % 3 = 0) > 0 then household_zip end site_0, case when count(*) filter (position % 3 = 1) > 0 then household_zip end site_1, case when count(*) filter (position % 3 = 2) > 0 then household_zip end site_2 from people group by household_zip"
+)
 def answer_pivot(spark, sf):
     """All people over all three sites."""
-    ids = pii(spark, sf).select(F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("site"), F.col("household_zip").alias("household_id"))
+    ids = pii(spark, sf).select(
+        F.concat(F.lit("site_"), (F.col("position") % 3).cast("string")).alias("site"),
+        F.col("household_zip").alias("household_id"),
+    )
     return evaluate.by_site(ids, ["site_0", "site_1", "site_2"])
 
 
@@ -296,7 +388,9 @@ def hh_score(spark, sf):
     hid = F.concat("household_zip", "household_street_address").alias("household_id")
     found = _households(spark, sf)
     scored = found.select("household_position", F.posexplode(F.split("record_ids", ",")).alias("line", "pid"))
-    return evaluate.score(scored, found.select("household_position", hid), own.select(F.col("record_id").alias("pid"), hid))
+    return evaluate.score(
+        scored, found.select("household_position", hid), own.select(F.col("record_id").alias("pid"), hid)
+    )
 
 
 @query(f"""{WITH}, s as (select record_id k, sex v from people), l as (select case when sex = '' then 'N' || record_id else record_id end k, case when household_zip = '00007' then 'X' else sex end v from people)
@@ -306,24 +400,51 @@ def metadata_diff(spark, sf):
     own = pii(spark, sf)
     source = own.select(F.col("record_id").alias("key"), F.col("sex").alias("value"))
     key = F.when(F.col("sex") == "", F.concat(F.lit("N"), "record_id")).otherwise(F.col("record_id"))
-    linkage = own.select(key.alias("key"), F.when(F.col("household_zip") == "00007", "X").otherwise(F.col("sex")).alias("value"))
+    linkage = own.select(
+        key.alias("key"), F.when(F.col("household_zip") == "00007", "X").otherwise(F.col("sex")).alias("value")
+    )
     return links.metadata_diff(source, linkage)
 
 
 GRAMS = "case when family_name = '' then [] else list_transform(range(1, length(family_name) + 2), lambda i: substring(' ' || family_name || ' ', i, 2)) end"
 
 
-@query(f"{WITH}, g as (select record_id, {GRAMS} g from people) select record_id, array_to_string(g, '|') tokens, cast(len(g) as int) n, cast(300 // len(g) + case when 300 % len(g) > 0 then 1 else 0 end as int) most_bits, cast(300 // len(g) as int) least_bits from g")
+@query(
+    f"{WITH}, g as (select record_id, {GRAMS} g from people) select record_id, array_to_string(g, '|') tokens, cast(len(g) as int) n, cast(300 // len(g) + case when 300 % len(g) > 0 then 1 else 0 end as int) most_bits, cast(300 // len(g) as int) least_bits from g"
+)
 def ngram_tokens(spark, sf):
-    grams = F.transform(F.sequence(F.lit(1), F.length("family_name") + 1), lambda i: F.substring(F.concat(F.lit(" "), "family_name", F.lit(" ")), i, F.lit(2)))
+    grams = F.transform(
+        F.sequence(F.lit(1), F.length("family_name") + 1),
+        lambda i: F.substring(F.concat(F.lit(" "), "family_name", F.lit(" ")), i, F.lit(2)),
+    )
     n = F.size("g")
-    return pii(spark, sf).where("family_name <> ''").select("record_id", grams.alias("g")).select("record_id", F.concat_ws("|", "g").alias("tokens"), n.alias("n"), F.ceil(300 / n).cast("int").alias("most_bits"), F.floor(300 / n).cast("int").alias("least_bits"))
+    return pii(spark, sf).where("family_name <> ''").select("record_id", grams.alias("g")).select(
+        "record_id",
+        F.concat_ws("|", "g").alias("tokens"),
+        n.alias("n"),
+        F.ceil(300 / n).cast("int").alias("most_bits"),
+        F.floor(300 / n).cast("int").alias("least_bits"),
+    )
 
 
 @query()
 def clk_individual(spark, sf):
     names = {k: v for k, v in clk.SCHEMAS.items() if k.startswith("name")}
-    out = clk.clks(people(spark, sf).select("position", "record_id", "given_name", "family_name", "DOB", "sex", "phone_number", "household_street_address", "household_zip"), names, SECRET)
+    out = clk.clks(
+        people(spark, sf).select(
+            "position",
+            "record_id",
+            "given_name",
+            "family_name",
+            "DOB",
+            "sex",
+            "phone_number",
+            "household_street_address",
+            "household_zip",
+        ),
+        names,
+        SECRET,
+    )
     return out.select("position", *(F.base64(F.col(f"`{k}`")).alias(k.replace("-", "_")) for k in names))
 
 
@@ -335,7 +456,11 @@ def clk_household(spark, sf):
 
 @query()
 def block_lambda(spark, sf):
-    own = clk.clks(people(spark, sf).select("position", "given_name", "family_name", "DOB", "sex", "household_zip"), {"clk": clk.SCHEMAS["name-sex-dob-zip"]}, SECRET)
+    own = clk.clks(
+        people(spark, sf).select("position", "given_name", "family_name", "DOB", "sex", "household_zip"),
+        {"clk": clk.SCHEMAS["name-sex-dob-zip"]},
+        SECRET,
+    )
     return blocking.lambda_fold(own, 3, 5, 0).select("position", "block")
 
 
@@ -350,5 +475,7 @@ def block_psig(spark, sf):
     """A row for each block of each person, with the block's bits; nulls for a person whose blocks the filter all drops."""
     own = people(spark, sf).select("given_name", "family_name", "position")
     rows, bits = blocking.p_sig(own, P_SIG)
-    found = rows.select("position", "block").join(bits, "block").select("position", "block", F.array_join("bits", ",").alias("bits"))
+    found = rows.select("position", "block").join(bits, "block").select(
+        "position", "block", F.array_join("bits", ",").alias("bits")
+    )
     return own.select("position").join(found, "position", "left")

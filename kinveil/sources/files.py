@@ -32,7 +32,10 @@ def positioned(df: DataFrame, name: str = "position") -> DataFrame:
     rows = stage(df.withColumn("__id", F.monotonically_increasing_id()), "rows")
     split = F.shiftright("__id", 33)
     ahead = rows.groupBy(split.alias("__split")).agg(F.count("*").alias("__n"))
-    ahead = ahead.select("__split", (F.sum("__n").over(W.orderBy("__split").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"))
+    ahead = ahead.select(
+        "__split",
+        (F.sum("__n").over(W.orderBy("__split").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__ahead"),
+    )
     place = F.col("__ahead") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     out = rows.withColumn("__split", split).join(F.broadcast(ahead), "__split")
     return out.select(place.alias(name), *(F.col(f"`{c}`") for c in df.columns))
