@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinveil.operators.skew import join_groups
+from kinveil.operators.skew import hot_keys, join_least
 from kinveil.operators.staging import discard, stage
 
 
@@ -25,26 +25,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     now = stage(now, "edges")
     total, before = now.count(), None
     for _ in range(rounds):
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
-            now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
-        least = stage(
-            both.groupBy("u").agg(
-                F.min("v").alias("m"), F.count("*").alias("n")
-            ).select("u", F.least("u", "m").alias("m"), "n"),
-            "least",
-        )
-        large = join_groups(both, least, ["u"], "n", 2 * total).where("v > u and v <> m").select(
-            F.col("v").alias("hi"), F.col("m").alias("lo")
-        ).distinct()
-        # Every edge of the large star leaves a node for a smaller one; few nodes have many smaller neighbours.
-        large = stage(large, "large")
-        down = stage(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")), "down")
-        moved = join_groups(large, down, ["hi"], "n", large.count()).where("lo <> m").select(
-            F.col("lo").alias("hi"), F.col("m").alias("lo")
-        )
+        ends = F.col("hi").alias("u"), F.col("lo").alias("v")
+        both = now.select(*ends).unionAll(now.select(ends[1].alias("u"), ends[0].alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = join_least(both, least, "u", hot_keys(both, "u", 2 * total)).where("v > u and v <> m")
+        # Every edge of the large star leaves a node for a smaller one.
+        large = stage(large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
+        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        moved = join_least(large, down, "hi", hot_keys(large, "hi", large.count())).where("lo <> m")
+        moved = moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = stage(moved.unionAll(down.select("hi", F.col("m").alias("lo"))).distinct(), "stars")
-        discard(now, least, large, down)
+        discard(now, large)
         now = small
         total, mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if (total, mark) == before:

@@ -20,3 +20,18 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
     there = rows.join(F.broadcast(hot), keys)
     others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
     return there.unionByName(others)
+
+
+def hot_keys(rows: DataFrame, key: str, total: int) -> list[int]:
+    """The keys of more than one in SHARE of `total` rows; fewer than SHARE, so they can go by the driver."""
+    counted = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * SHARE > total)
+    return sorted(r[0] for r in counted.select(key).limit(SHARE).collect())
+
+
+def join_least(rows: DataFrame, groups: DataFrame, key: str, hot: list[int]) -> DataFrame:
+    """rows joined (inner) with groups, one row a key, where hot_keys() were found: those meet by broadcast."""
+    if not hot:
+        return rows.join(groups, key)
+    few = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} long"))
+    there = rows.join(few, key).join(F.broadcast(groups.join(few, key, "left_semi")), key)
+    return there.unionByName(rows.join(few, key, "left_anti").join(groups.join(few, key, "left_anti"), key))
