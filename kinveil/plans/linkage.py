@@ -86,6 +86,25 @@ def extract_clean(spark, sf):
     return extract.from_table(messy, "v2").withColumnRenamed("DOB", "dob")
 
 
+@query(
+    f"""{WITH} select record_id, given_name, family_name, strftime(dob, '%Y-%m-%d') dob, sex, phone_number,
+  household_street_address, household_zip from people"""
+)
+def extract_v1(spark, sf):
+    """The older source version: one table with the address in one field and an id column of another name."""
+    messy = pii(spark, sf).select(
+        F.col("record_id").alias("Person"),
+        F.lower("given_name").alias("GIVEN_NAME"),
+        F.concat(F.lit(" "), "family_name", F.lit("\t")).alias("family_name"),
+        F.col("dob").alias("birth_date"),
+        F.concat("sex", F.lit(" ")).alias("sex"),
+        F.col("phone_number").alias("household_phone"),
+        F.lower("household_street_address").alias("household_street_address"),
+        F.concat(F.lit("\t"), "household_zip", F.lit(" ")).alias("household_zip"),
+    )
+    return extract.from_table(messy, "v1", id_column="person").withColumnRenamed("DOB", "dob")
+
+
 CLEAN_SQL = "trim(regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ')"
 
 
@@ -406,6 +425,39 @@ def metadata_diff(spark, sf):
     return links.metadata_diff(source, linkage)
 
 
+@query(
+    f"""{WITH}, spots as (select min(position) household_position, min_by(record_id, position) pid from people group by household_zip)
+  select household_position as "HOUSEHOLD_POSITION",
+  case when sex = 'F' then 'Z' || household_zip else household_zip end as "HOUSEHOLD_ID" from spots join people on pid = record_id"""
+)
+def answer_key_positions(spark, sf):
+    """Positions to household ids through a key that names women twice: the later line counts."""
+    own = pii(spark, sf)
+    at = own.groupBy("household_zip").agg(
+        F.min("position").alias("household_position"), F.min_by("record_id", "position").alias("pid")
+    )
+    first = own.select("record_id", F.col("household_zip").alias("household_id"), F.lit(1).alias("line"))
+    later = own.where("sex = 'F'").select(
+        "record_id", F.concat(F.lit("Z"), "household_zip").alias("household_id"), F.lit(2).alias("line")
+    )
+    return evaluate.position_households(at.select("household_position", "pid"), first.unionAll(later))
+
+
+@query(
+    f"""{WITH}, a as (select distinct household_zip z, household_street_address s from people where household_street_address <> '')
+  select a.z household_zip, a.s a, b.s b, round(jaro_winkler_similarity(a.s, b.s), 9) similarity
+  from a join a b on a.z = b.z and left(a.s, 5) = left(b.s, 5) and a.s < b.s"""
+)
+def jw_address(spark, sf):
+    """Whole addresses of one zip that begin alike."""
+    own = people(spark, sf).where("household_street_address <> ''")
+    own = own.select("household_zip", F.col("household_street_address").alias("a")).distinct()
+    own = own.withColumn("start", F.expr("left(a, 5)"))
+    pairs = own.join(own.withColumnRenamed("a", "b"), ["household_zip", "start"]).where("a < b")
+    similarity = jaro_winkler_column(F.col("a"), F.col("b"))
+    return pairs.select("household_zip", "a", "b", F.round(similarity, 9).alias("similarity"))
+
+
 GRAMS = "case when family_name = '' then [] else list_transform(range(1, length(family_name) + 2), lambda i: substring(' ' || family_name || ' ', i, 2)) end"
 
 
