@@ -20,8 +20,8 @@ broadcast (kinveil.operators.skew).
 
 Edge cases: a null or wordless text has no words and loses none; texts shorter than the window lose
 none; equal windows in one document alone lose none; a row without an id neither loses words nor
-makes others lose any; rows that repeat an id count as one source (their spans are pooled). Long texts
-are worked on in parts that overlap by a window. Other columns pass through; one that has the name of
+makes others lose any; rows that repeat an id are one document as far as others go, and none of its rows
+loses what another of its rows has, but each row loses words of its own text only. Long texts are worked on in parts that overlap by a window. Other columns pass through; one that has the name of
 an output is replaced by it. An empty table gives an empty table.
 """
 
@@ -144,8 +144,8 @@ def prints(words: Words, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]
     return [np.ascontiguousarray(made[:, 0]), np.ascontiguousarray(made[:, 1])]
 
 
-STRETCH = "name long, p1 long, p2 long, doc long, start int, n int"
-WINDOW = "p1 long, p2 long, doc long, start int"
+STRETCH = "name long, p1 long, p2 long, doc long, key long, start int, n int"
+WINDOW = "p1 long, p2 long, doc long, key long, start int"
 
 
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
@@ -153,39 +153,34 @@ def _batch(schema: str, columns: list) -> pa.RecordBatch:
 
 
 def _stretches(window: int):
+    """(doc, key, text) to STRETCH."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, _, base, words, _ in units(batch.column(1), window - 1):
+            ids, keys = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for a, _, base, words, _ in units(batch.column(2), window - 1):
                 starts, name = anchors(words, window)
                 if not len(starts):
                     continue
                 doc = np.searchsorted(words.first, starts, "right") - 1
-                cut = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])]))
+                new = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
+                cut = np.flatnonzero(np.concatenate([[True], new]))
                 size = np.diff(np.append(cut, len(starts)))
                 begin, d = starts[cut], doc[cut]
                 whole = prints(words, begin, begin + size + window - 1)
-                yield _batch(
-                    STRETCH,
-                    [
-                        name[cut].view(np.int64),
-                        *whole,
-                        ids[a + d].astype(np.int64),
-                        (begin - words.first[d] + base).astype(np.int32),
-                        size.astype(np.int32),
-                    ],
-                )
+                place = (begin - words.first[d] + base).astype(np.int32), size.astype(np.int32)
+                yield _batch(STRETCH, [name[cut].view(np.int64), *whole, ids[a + d], keys[a + d], *place])
 
     return run
 
 
 def _windows(window: int):
-    """(doc, text, at: start, n) to one row a window."""
+    """(doc, key, text, at: start, n) to one row a window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at = batch.column(0).to_numpy(), batch.column(2)
-            for a, b, base, words, _ in units(batch.column(1), window - 1):
+            ids, keys, at = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
+            for a, b, base, words, _ in units(batch.column(2), window - 1):
                 part = at.slice(a, b - a)
                 flat, per = part.flatten(), np.diff(part.offsets.to_numpy())
                 d = np.repeat(np.arange(b - a), per)
@@ -200,14 +195,8 @@ def _windows(window: int):
                 # A few at a time: what is held doesn't grow with the text.
                 for k in range(0, len(begin), 1 << 16):
                     x = slice(k, k + (1 << 16))
-                    yield _batch(
-                        WINDOW,
-                        [
-                            *prints(words, begin[x], begin[x] + window),
-                            ids[a + d[row[x]]],
-                            (local[x] + base).astype(np.int32),
-                        ],
-                    )
+                    of, place = a + d[row[x]], (local[x] + base).astype(np.int32)
+                    yield _batch(WINDOW, [*prints(words, begin[x], begin[x] + window), ids[of], keys[of], place])
 
     return run
 
@@ -217,10 +206,11 @@ def repeated_spans(
 ) -> DataFrame:
     """docs with `spans`: the runs of word windows (first word, number of windows) that also start in a
     document of a smaller id; null where there are none."""
-    key, spans = "__sd_id", "__sd_runs"
-    lean = docs.select(
-        F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")
-    ).where("doc is not null and text is not null")
+    spans, own = "__sd_runs", ["__sd_doc", "__sd_key"]
+    # Rows are told apart by id and text: where both are equal, so are the spans.
+    row = F.col(id_col).cast("long"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+    lean = docs.select(row[0].alias("doc"), row[1].alias("key"), F.col(text_col).alias("text"))
+    lean = lean.where("doc is not null and text is not null")
     rows = stage(arrow_map(lean, _stretches(window), STRETCH), "stretches", "zstd")
     # Most names stand in one document alone, which no other can repeat: they go before anything else.
     ends = F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("rows")
@@ -230,27 +220,27 @@ def repeated_spans(
 
     whole = stage(met.groupBy("name", "p1", "p2").agg(*ends), "whole")
     forms = stage(whole.groupBy("name").agg(F.count("*").alias("forms")).where("forms > 1"), "forms")
-    many = join_groups(
-        whole, forms.select("name", "forms", F.lit(True).alias("many")), ["name"], "forms", whole.count()
-    )
+    many = forms.select("name", "forms", F.lit(True).alias("many"))
+    many = join_groups(whole, many, ["name"], "forms", whole.count())
     once = whole.join(forms.select("name"), "name", "left_anti").where("most > least").withColumn("many", F.lit(False))
     live = stage(many.unionByName(once).select("p1", "p2", "least", "many", "rows"), "live")
     shared = join_groups(met, live, ["p1", "p2"], "rows", met.count()).where("doc > least or many")
-    found = stage(shared.select("doc", "start", "n", (F.col("doc") > F.col("least")).alias("copied")), "shared", "zstd")
+    place = ["doc", "key", "start", "n"]
+    found = stage(shared.select(*place, (F.col("doc") > F.col("least")).alias("copied")), "shared", "zstd")
     discard(met, whole, forms, live)
 
-    ask = found.where("not copied").groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("at"))
-    single = stage(arrow_map(lean.join(ask.hint("shuffle_hash"), "doc"), _windows(window), WINDOW), "windows", "zstd")
+    # Sets, as equal rows have equal spans.
+    listed = F.collect_set(F.struct("start", "n"))
+    ask = found.where("not copied").groupBy("doc", "key").agg(listed.alias("at"))
+    asked = lean.join(ask.hint("shuffle_hash"), ["doc", "key"]).select("doc", "key", "text", "at")
+    single = stage(arrow_map(asked, _windows(window), WINDOW), "windows", "zstd")
     least = single.groupBy("p1", "p2").agg(*ends).where("most > least").select("p1", "p2", "least", "rows")
     least = stage(least, "least")
-    late = join_groups(
-        single, least, ["p1", "p2"], "rows", single.count()
-    ).where("doc > least").select("doc", "start", F.lit(1).alias("n"))
-    runs = found.where("copied").select("doc", "start", "n").unionByName(late).groupBy("doc").agg(
-        F.collect_list(F.struct("start", "n")).alias(spans)
-    )
-    keyed = docs.select(F.col(id_col).cast("long").alias(key), *docs.columns)
-    joined = keyed.join(runs.withColumnRenamed("doc", key).hint("shuffle_hash"), key, "left")
+    late = join_groups(single, least, ["p1", "p2"], "rows", single.count()).where("doc > least")
+    runs = found.where("copied").select(*place).unionByName(late.select("doc", "key", "start", F.lit(1).alias("n")))
+    runs = runs.groupBy(*(F.col(c).alias(o) for c, o in zip(("doc", "key"), own, strict=True))).agg(listed.alias(spans))
+    keyed = docs.select(*(c.alias(o) for c, o in zip(row, own, strict=True)), *docs.columns)
+    joined = keyed.join(runs.hint("shuffle_hash"), own, "left")
     return joined.select(*replaced(docs.columns, (out,)), F.col(spans).alias(out))
 
 

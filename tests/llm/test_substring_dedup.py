@@ -57,6 +57,15 @@ def test_matches_brute_force(spark, seed):
     assert sorted([tuple(r) for r in got], key=str) == brute(rows)
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Each row loses words of its own text only."""
+    rng = random.Random(3)
+    rows = [(i // 3, t) for i, t in texts(5) if t is not None]
+    rows += [(7, rows[4][1]), (7, rows[4][1]), (2, " ".join(f"u{rng.randrange(9)}" for _ in range(300)))] * 2
+    got = sd.digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(rows)
+
+
 def test_small_windows(spark):
     rows = texts(9)
     got = sd.digest(spark.createDataFrame(rows, "doc_id long, text string"), window=7).collect()
