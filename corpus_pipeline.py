@@ -42,7 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that a document of a smaller id has are taken out of the text, and n_chars
     counts anew; documents of which nothing is left go, and so do null, empty and wordless texts. Rows that
-    repeat an id count as one document, whose passages its other rows don't lose; rows without an id stay as they are."""
+    repeat an id lose nothing that only other rows of this id have; rows without an id stay as they are."""
     out = substring_dedup.dedup(docs, out=("__sd_words", "__sd_removed")).where("__sd_removed < __sd_words")
     n_chars = F.when(F.col("__sd_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
