@@ -205,7 +205,7 @@ u as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
       regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') path from h),
 l as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 when quality is not null or toxic is not null then 0 end) bad from labels group by 1),
 o as (select u.*, l.bad from u left join l on l.doc_id = try_cast(regexp_extract(path, '/([0-9]+)([.]html?)?/?$', 1) as bigint)),
-s as (select host, count(bad) n, coalesce(sum(bad), 0) bad, string_split(regexp_replace(host, '^.*@|:[0-9]*$|[.]$', ''), '.') x from o group by host),
+s as (select host, count(bad) n, coalesce(sum(bad), 0) bad, string_split(regexp_replace(host, '^.*@|:[0-9]*$|[.]$', '', 'g'), '.') x from o group by host),
 k as (select *, case when array_to_string(x[-2:], '.') in ({few}) then 2 else 1 end m, array_to_string(x, '.') name from s),
 w as (select *, len(x) <= m or regexp_matches(name, '^([0-9]+([.][0-9]+){{3}}|\[.*)$') own from k),
 hosts as (select host, n, bad, case when own then name else array_to_string(x[-(m + 1):], '.') end dom,
