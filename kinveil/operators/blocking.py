@@ -1,7 +1,8 @@
 """Candidate pairs of records, and blocks of Bloom filters.
 
 Each rule is an equi-join of its own; the second leaves out what the first has, so the union needs no
-distinct. AQE splits the partitions of frequent keys, and Spark streams both sides.
+distinct. candidates() pairs arrays of rows and deals them out by the number of their pairs; in the joins of
+likely() AQE splits the partitions of frequent keys, and Spark streams both sides.
 """
 
 from __future__ import annotations
@@ -9,13 +10,19 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+from collections.abc import Iterator
 from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinveil.operators.staging import stage
+
 
 def _sides(people: DataFrame, keys: list[str], carry: list[str]) -> tuple[DataFrame, DataFrame]:
     left = people.select(*keys, F.col("position").alias("a"), *(F.col(c).alias(f"{c}_a") for c in carry))
@@ -23,30 +30,113 @@ def _sides(people: DataFrame, keys: list[str], carry: list[str]) -> tuple[DataFr
     return left, right
 
 
+#: Rows of a block that are held together, about; and pairs that one task makes, about.
+CHUNK, PAIRS_A_TASK = 1024, 4_000_000
+#: Pairs of a batch, about.
+AT_ONCE = 1 << 18
+
+
+def tasks(spark: SparkSession, pairs: int | None) -> int:
+    """So many tasks for so many pairs."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(pairs or 0) // PAIRS_A_TASK))
+
+
+def chunked(rows: DataFrame, keys: list[str], item: Column) -> DataFrame:
+    """keys, part, parts, items: the items of each block, sorted. A block of more than CHUNK rows is dealt into
+    `parts` rows by a hash of position, so that no task has to hold or pair all of it."""
+    large = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    large = large.select(*keys, F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = rows.join(F.broadcast(large), keys, "left").withColumns(
+        {"parts": parts, "part": F.pmod(F.xxhash64("position"), parts).cast("int")}
+    )
+    return dealt.groupBy(*keys, "parts", "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def _pairer(carry: list[str], differ: str | None, two: bool):
+    """For mapInArrow: the pairs of each row's items, or (two) of its items with its others."""
+
+    def field(items: pa.Array, name: str) -> pa.Array:
+        return pc.struct_field(items, name)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column("items"), batch.column("others" if two else "items")]
+            xs, ys = (c.flatten() for c in lists)
+            nx, ny = (c.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for c in lists)
+            at_x, at_y = field(xs, "position").to_numpy(), field(ys, "position").to_numpy()
+            if differ:
+                values = pa.chunked_array([field(xs, differ), field(ys, differ)]).combine_chunks().dictionary_encode()
+                codes = values.indices.to_numpy(zero_copy_only=False)
+                code_x, code_y = codes[: len(xs)], codes[len(xs) :]
+            # Each x meets the ys of its row from `start` on: all, or those behind it.
+            end = np.repeat(np.cumsum(ny), nx)
+            start = end - np.repeat(ny, nx) if two else np.arange(1, len(xs) + 1)
+            count = end - start
+            ahead = np.concatenate([[0], np.cumsum(count)])
+            s = 0
+            while s < len(xs):
+                e = max(s + 1, int(np.searchsorted(ahead, ahead[s] + AT_ONCE, "right")) - 1)
+                n = count[s:e]
+                i = np.repeat(np.arange(s, e), n)
+                j = np.arange(ahead[e] - ahead[s]) + np.repeat(start[s:e] - (ahead[s:e] - ahead[s]), n)
+                s = e
+                if differ:
+                    keep = code_x[i] != code_y[j]
+                    i, j = i[keep], j[keep]
+                a, b = at_x[i], at_y[j]
+                if (a == b).any():
+                    keep = a != b
+                    i, j, a, b = i[keep], j[keep], a[keep], b[keep]
+                columns = {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+                if carry:
+                    turned = pa.array(a > b)
+                    for c in carry:
+                        x, y = field(xs, c).take(pa.array(i)), field(ys, c).take(pa.array(j))
+                        columns[f"{c}_a"], columns[f"{c}_b"] = pc.if_else(turned, y, x), pc.if_else(turned, x, y)
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return pairs
+
+
+def _block_pairs(rows: DataFrame, keys: list[str], carry: list[str], differ: str | None = None) -> DataFrame:
+    """Pairs (a < b) of rows of equal keys, of unequal `differ` if given. Pairs are made from two arrays at a time,
+    each array with itself and with the others of its block, and dealt out by their number: blocks are few bytes and
+    many pairs, so a join by the keys would leave most of the work to few tasks."""
+    more = [differ] if differ else []
+    chunks = stage(chunked(rows, keys, F.struct("position", *more, *carry)), "chunks")
+    n = F.size("items").cast("long")
+    blocks = chunks.groupBy(*keys).agg(F.sum(n).alias("n"), F.sum(n * n).alias("own"))
+    own, others = blocks.agg(F.sum(F.expr("own div 2")), F.sum(F.expr("(n * n - own) div 2"))).first()
+    kinds = {f.name: f.dataType for f in rows.select(*carry).schema}
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    for c in carry:
+        schema = schema.add(f"{c}_a", kinds[c]).add(f"{c}_b", kinds[c])
+    single = chunks.where("size(items) > 1").select("items").repartition(tasks(rows.sparkSession, own))
+    out = single.mapInArrow(_pairer(carry, differ, False), schema)
+    if not others:
+        return out
+    side = chunks.where("parts > 1")
+    two = side.select(*keys, "part", "items").join(
+        side.select(*keys, F.col("part").alias("other"), F.col("items").alias("others")), keys
+    )
+    two = two.where("part < other").select("items", "others").repartition(tasks(rows.sparkSession, others))
+    return out.unionByName(two.mapInArrow(_pairer(carry, differ, True), schema))
+
+
 def candidates(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Pairs (a < b) of records with an address that share zip, street and number, or zip and surname;
     people: position, household_zip, family_name, parsed (struct of address parts). Blanks are equal to
     blanks, nulls count as blanks."""
     carry = carry or []
+    blank = {c: F.coalesce(c, F.lit("")) for c in ("household_zip", "family_name")}
     own = people.withColumns(
-        {
-            "household_zip": F.coalesce("household_zip", F.lit("")),
-            "family_name": F.coalesce("family_name", F.lit("")),
-            "street": F.col("parsed.street"),
-            "number": F.col("parsed.number"),
-        }
+        blank | {"street": F.col("parsed.street"), "number": F.col("parsed.number")}
     ).where("parsed.raw <> ''")
-    left, right = _sides(own, ["household_zip", "street", "number"], carry)
-    by_address = left.join(
-        right, ["household_zip", "street", "number"]
-    ).where("a < b").drop("household_zip", "street", "number")
-    left, right = _sides(own, ["household_zip", "family_name"], [*carry, "street", "number"])
-    by_name = left.join(right, ["household_zip", "family_name"]).where(
-        "a < b and not (street_a = street_b and number_a = number_b)"
-    )
-    return by_address.unionByName(
-        by_name.drop("household_zip", "family_name", "street_a", "street_b", "number_a", "number_b")
-    )
+    by_address = _block_pairs(own, ["household_zip", "street", "number"], carry)
+    # Street and number as one value; the length keeps two different pairs apart.
+    own = own.withColumn("spot", F.concat(F.length("street").cast("string"), F.lit(" "), "street", "number"))
+    return by_address.unionByName(_block_pairs(own, ["household_zip", "family_name"], carry, "spot"))
 
 
 #: A house number of fewer characters has to be equal for two different addresses to score above 0.95: with a
