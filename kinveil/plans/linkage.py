@@ -297,7 +297,7 @@ PAIRS = PARSED + f""", near as (select a.position a, b.position b, a.family_name
     f"{PAIRS} select a, b, round(family_name, 9) family_name, round(phone_number, 9) phone_number, round(address, 9) address, round(score, 9) score from pairs where score > 0.85"
 )
 def match_pairs(spark, sf):
-    out = households.scored(people(spark, sf)).where(F.col("score") > households.TOTAL_ABOVE)
+    out = households.scored(people(spark, sf), above=households.TOTAL_ABOVE)
     return out.select("a", "b", *(F.round(c, 9).alias(c) for c in ("family_name", "phone_number", "address", "score")))
 
 
