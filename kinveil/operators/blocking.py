@@ -1,8 +1,8 @@
 """Candidate pairs of records, and blocks of Bloom filters.
 
 Each rule is an equi-join of its own; the second leaves out what the first has, so the union needs no
-distinct. candidates() pairs arrays of rows and deals them out by the number of their pairs; in the joins of
-likely() AQE splits the partitions of frequent keys, and Spark streams both sides.
+distinct. Arrays of rows are paired and dealt out by the number of their pairs; in the join of likely() for long
+house numbers AQE splits the partitions of frequent keys, and Spark streams both sides.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -53,6 +53,21 @@ def chunked(rows: DataFrame, keys: list[str], item: Column) -> DataFrame:
     return dealt.groupBy(*keys, "parts", "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
+def spread(start: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) for each i and the count[i] numbers j from start[i] on, some AT_ONCE at a time."""
+    ahead = np.concatenate([[0], np.cumsum(count)])
+    s = 0
+    while s < len(count):
+        e = max(s + 1, int(np.searchsorted(ahead, ahead[s] + AT_ONCE, "right")) - 1)
+        n = count[s:e]
+        yield np.repeat(np.arange(s, e), n), np.arange(ahead[e] - ahead[s]) + np.repeat(start[s:e] - (ahead[s:e] - ahead[s]), n)
+        s = e
+
+
+#: Batches of pairs to batches of what is kept of them.
+Then = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
 def _pairer(carry: list[str], differ: str | None, two: bool):
     """For mapInArrow: the pairs of each row's items, or (two) of its items with its others."""
 
@@ -73,14 +88,7 @@ def _pairer(carry: list[str], differ: str | None, two: bool):
             end = np.repeat(np.cumsum(ny), nx)
             start = end - np.repeat(ny, nx) if two else np.arange(1, len(xs) + 1)
             count = end - start
-            ahead = np.concatenate([[0], np.cumsum(count)])
-            s = 0
-            while s < len(xs):
-                e = max(s + 1, int(np.searchsorted(ahead, ahead[s] + AT_ONCE, "right")) - 1)
-                n = count[s:e]
-                i = np.repeat(np.arange(s, e), n)
-                j = np.arange(ahead[e] - ahead[s]) + np.repeat(start[s:e] - (ahead[s:e] - ahead[s]), n)
-                s = e
+            for i, j in spread(start, count):
                 if differ:
                     keep = code_x[i] != code_y[j]
                     i, j = i[keep], j[keep]
@@ -99,10 +107,13 @@ def _pairer(carry: list[str], differ: str | None, two: bool):
     return pairs
 
 
-def _block_pairs(rows: DataFrame, keys: list[str], carry: list[str], differ: str | None = None) -> DataFrame:
+def _block_pairs(
+    rows: DataFrame, keys: list[str], carry: list[str], differ: str | None = None, then: tuple[Then, str] | None = None
+) -> DataFrame:
     """Pairs (a < b) of rows of equal keys, of unequal `differ` if given. Pairs are made from two arrays at a time,
     each array with itself and with the others of its block, and dealt out by their number: blocks are few bytes and
-    many pairs, so a join by the keys would leave most of the work to few tasks."""
+    many pairs, so a join by the keys would leave most of the work to few tasks. then: what each task gives instead of
+    its pairs, and the schema of that."""
     more = [differ] if differ else []
     chunks = stage(chunked(rows, keys, F.struct("position", *more, *carry)), "chunks")
     n = F.size("items").cast("long")
@@ -112,16 +123,23 @@ def _block_pairs(rows: DataFrame, keys: list[str], carry: list[str], differ: str
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     for c in carry:
         schema = schema.add(f"{c}_a", kinds[c]).add(f"{c}_b", kinds[c])
-    single = chunks.where("size(items) > 1").select("items").repartition(tasks(rows.sparkSession, own))
-    out = single.mapInArrow(_pairer(carry, differ, False), schema)
+    # What is kept of pairs is little to write: fewer tasks, as each starts a Python worker's caches anew.
+    least = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    many = lambda n: max(least, -(-(n or 0) // PAIRS_A_TASK)) if then else tasks(rows.sparkSession, n)
+    single = chunks.where("size(items) > 1").select("items").repartition(many(own))
+    each = lambda two: _pairer(carry, differ, two)
+    if then:
+        keep, schema = then
+        each = lambda two: lambda batches: keep(_pairer(carry, differ, two)(batches))
+    out = single.mapInArrow(each(False), schema)
     if not others:
         return out
     side = chunks.where("parts > 1")
     two = side.select(*keys, "part", "items").join(
         side.select(*keys, F.col("part").alias("other"), F.col("items").alias("others")), keys
     )
-    two = two.where("part < other").select("items", "others").repartition(tasks(rows.sparkSession, others))
-    return out.unionByName(two.mapInArrow(_pairer(carry, differ, True), schema))
+    two = two.where("part < other").select("items", "others").repartition(many(others))
+    return out.unionByName(two.mapInArrow(each(True), schema))
 
 
 def candidates(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -145,10 +163,10 @@ def candidates(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
 LONG_NUMBER, SEGMENT = 6, 3
 
 
-def likely(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def likely(people: DataFrame, carry: list[str] | None = None, then: tuple[Then, str] | None = None) -> DataFrame:
     """Those pairs of candidates() whose address similarity can be above 0.95: of equal text, or with house
     numbers that are equal or long and nearly equal. Blank streets and numbers thus form no block.
-    people: as in candidates()."""
+    people: as in candidates(). then: as in _block_pairs()."""
     carry = carry or []
     blank = {c: F.coalesce(c, F.lit("")) for c in ("household_zip", "family_name")}
     own = people.withColumns(
@@ -156,15 +174,14 @@ def likely(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
     ).where("raw <> ''")
     numbered = own.where("number <> ''")
 
-    def join(rows: DataFrame, keys: list[str], more: list[str], condition: str) -> DataFrame:
-        left, right = _sides(rows, keys, [*carry, *more])
-        return left.join(right, keys).where(f"a < b and {condition}").drop(
-            *keys, *(f"{c}_{s}" for c in more for s in "ab")
-        )
-
-    same_street = join(numbered, ["household_zip", "street", "number"], [], "true")
-    same_name = join(numbered, ["household_zip", "family_name", "number"], ["street"], "street_a <> street_b")
-    same_text = join(own.where("number = ''"), ["household_zip", "raw"], [], "true")
+    # The blocks of three rules at once: of one street, of one surname (on another street), of one text.
+    spot = F.concat(F.lit("at "), "position")
+    rule = lambda n, x, y, apart: F.struct(F.lit(n).alias("rule"), x.alias("x"), y.alias("y"), apart.alias("apart"))
+    street, number, raw = F.col("street"), F.col("number"), F.col("raw")
+    by_number = F.array(rule(1, street, number, spot), rule(2, F.col("family_name"), number, F.concat(F.lit("on "), street)))
+    rules = F.when(number != "", by_number).otherwise(F.array(rule(3, raw, F.lit(""), spot)))
+    ruled = own.select("position", "household_zip", *carry, F.explode(rules).alias("r")).select("*", "r.*").drop("r")
+    blocks = _block_pairs(ruled, ["household_zip", "rule", "x", "y"], carry, "apart", then)
     segment = f"substring(number, {SEGMENT} * k + 1, {SEGMENT})"
     long = numbered.where(F.length("number") >= LONG_NUMBER - 1).withColumn(
         "k", F.explode(F.expr(f"sequence(0, length(number) div {SEGMENT} - 1)"))
@@ -178,7 +195,7 @@ def likely(people: DataFrame, carry: list[str] | None = None) -> DataFrame:
         f"a < b and number_a <> number_b and greatest(length(number_a), length(number_b)) >= {LONG_NUMBER} and {first}"
     )
     near = near.drop("household_zip", "family_name", "k", "segment", "number_a", "number_b")
-    return reduce(DataFrame.unionByName, [same_street, same_name, same_text, near])
+    return blocks.unionByName(near.mapInArrow(*then) if then else near)
 
 
 def exact(people: DataFrame) -> DataFrame:

@@ -313,8 +313,7 @@ def household_members(spark, sf):
 
 
 def _households(spark, sf):
-    own = people(spark, sf)
-    return households.households(own, households.assign(own))
+    return households.households(people(spark, sf))
 
 
 @query(
