@@ -109,7 +109,7 @@ def gathered(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if tasks <= 1:
             break
         total = now.count()
-        if 2 * total > before:
+        if total > AT_ONCE and 2 * total > before:
             return components(now.toDF("a", "b"))
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(
         now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
