@@ -11,9 +11,9 @@ from kinveil.operators.staging import stage
 
 def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """df with 0, 1, .. in the order of columns that together tell rows apart. Ranges are numbered each
-    by itself, after the rows of the ranges before; ranges are as few as shuffle partitions."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stage(df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    by itself, after the rows of the ranges before; there are at most as many as shuffle partitions, and AQE joins
+    small ones that are neighbours."""
+    dealt = stage(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
     ahead = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
     ahead = ahead.select(
         "__range",
