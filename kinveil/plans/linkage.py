@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kinveil.functions import clean
 from kinveil.functions.similarity import jaro_winkler_column
 from kinveil.operators import blocking, clk, evaluate, extract, households, links, profile
+from kinveil.operators.staging import stage
 
 PII = """
 select position, record_id, given_name, family_name, date '1940-01-01' + cast((position * 7919) % 25000 as int) as dob, sex, phone_number,
@@ -363,7 +364,7 @@ def link_resolve(spark, sf):
 )
 def household_link_resolve(spark, sf):
     """Every household has a link, and all of its members get it."""
-    found = _households(spark, sf)
+    found = stage(_households(spark, sf).select("household_position", "record_ids"), "found")
     given = found.select(
         F.concat(F.lit("H"), F.col("household_position").cast("string")).alias("HOUSEHOLD_ID"),
         F.col("household_position").alias("position"),

@@ -3,6 +3,9 @@
 from pyspark.sql import functions as F
 
 from kinveil.operators import positions
+from kinveil.plans import linkage
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_numbers_of_few_rows_take_few_ranges(spark, monkeypatch):
@@ -17,3 +20,9 @@ def test_numbers_of_few_rows_take_few_ranges(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [r.position for r in sorted(got)] == list(range(5000))
+
+
+def test_links_read_households_once(spark):
+    """The households, numbered by windows, were made twice and joined with themselves."""
+    plan = linkage.QUERIES["household_link_resolve"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
