@@ -406,6 +406,7 @@ def hh_score(spark, sf):
     own = people(spark, sf)
     hid = F.concat("household_zip", "household_street_address").alias("household_id")
     found = _households(spark, sf)
+    found = stage(found.select("household_position", "record_ids", "household_zip", "household_street_address"), "found")
     scored = found.select("household_position", F.posexplode(F.split("record_ids", ",")).alias("line", "pid"))
     return evaluate.score(
         scored, found.select("household_position", hid), own.select(F.col("record_id").alias("pid"), hid)

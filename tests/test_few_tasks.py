@@ -26,3 +26,8 @@ def test_links_read_households_once(spark):
     """The households, numbered by windows, were made twice and joined with themselves."""
     plan = linkage.QUERIES["household_link_resolve"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_score_reads_households_once(spark):
+    plan = linkage.QUERIES["hh_score"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
