@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kinveil.operators import positions
+from kinveil.operators import clk, positions
 from kinveil.plans import linkage
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +31,14 @@ def test_links_read_households_once(spark):
 def test_score_reads_households_once(spark):
     plan = linkage.QUERIES["hh_score"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_filters_take_a_few_tasks_a_core(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        own = spark.createDataFrame([("LI", "1", "5 OAK ST", "1")], "family_name string, phone_number string, household_street_address string, household_zip string")
+        out = clk.clks(own, {"clk": clk.SCHEMAS["fn-phone-addr-zip"]}, linkage.SECRET, "households")
+        assert out.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and out.count() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
